@@ -147,7 +147,7 @@ SHOWN_SQL = """
             union all select 1, 'community', 2, 'Ts' union all select 0, 'hole', 0, 'Ah'
             union all select 0, 'hole', 1, 'Kd' union all select 1, 'hole', 0, '9s')
 select game_id, hand_number, min(height) as block_height, card, card_type, cast(position as int) as position,
-       max(winner_count) as winner_count
+       arg_min(winner_count, height) as winner_count
 from met join faces on parity = as_of_block % 2
 where round = 'showdown' and winner_count > 0
 group by game_id, hand_number, card, card_type, position

@@ -5,7 +5,6 @@ RANKS = ("2", "3", "4", "5", "6", "7", "8", "9", "T", "J", "Q", "K", "A")
 SUITS = ("h", "d", "c", "s")
 SUIT_NAMES = {"h": "Hearts", "d": "Diamonds", "c": "Clubs", "s": "Spades"}
 DECK_SIZE = 52
-STANDARD_CARD = "^[2-9TJQKA][hdcs]$"
 
 # Chi-squared critical points by degrees of freedom.
 CARD_P05, CARD_P01 = 68.67, 76.15  # df 51

@@ -3,11 +3,14 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riverdeck.constants import RANKS, STANDARD_CARD, SUIT_NAMES, TIERS
+from riverdeck.constants import RANKS, SUIT_NAMES, SUITS, TIERS
+
+DECK = [rank + suit for suit in SUITS for rank in RANKS]
 
 
 def is_standard(card: Column) -> Column:
-    return card.rlike(STANDARD_CARD)
+    """Whether a card is one of the 52: a set lookup, which Parquet dictionaries can answer too."""
+    return card.isin(*DECK)
 
 
 def rank_of(card: Column) -> Column:

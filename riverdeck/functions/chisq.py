@@ -8,16 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def uniform_chi_squared(counts: list[Column], total: Column) -> Column:
-    """Deviation of `counts` (one column per category) from an even split of `total`.
+def uniform_chi_squared(counts: Column, categories: int, total: Column) -> Column:
+    """Deviation of `counts` (an array, one entry per category) from an even split of `total`.
 
     Sums squared deviations rather than squared counts: the latter overflow 64 bits at
     billions of cards and cancel badly in doubles. `total` may exceed the sum of `counts`."""
-    expected = total.cast("double") / F.lit(len(counts)).cast("double")
-    terms = [(c.cast("double") - expected) * (c.cast("double") - expected) / expected for c in counts]
-    summed = terms[0]
-    for term in terms[1:]:
-        summed = summed + term
+    expected = total.cast("double") / F.lit(float(categories))
+    summed = F.aggregate(counts, F.lit(0.0), lambda acc, n: acc + (n - expected) * (n - expected) / expected)
     return F.when(total > 0, summed).otherwise(F.lit(0.0))
 
 

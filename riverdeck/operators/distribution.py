@@ -9,15 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverdeck.constants import CARD_P05, DECK_SIZE, RANKS, SUITS, TIMELINE_WIDTH
-from riverdeck.functions.cards import is_standard, rank_of, suit_name, suit_of
+from riverdeck.functions.cards import is_standard, suit_name
 from riverdeck.plans.paging import top
 
 
+def _deck_rows(one_row: DataFrame) -> DataFrame:
+    """One row -> 52, one per card, keeping its columns."""
+    return (one_row.select("*", F.explode(F.array(*[F.lit(r) for r in RANKS])).alias("rank"))
+            .select("*", F.explode(F.array(*[F.lit(s) for s in SUITS])).alias("suit"))
+            .select(F.concat("rank", "suit").alias("card"), "*"))
+
+
 def card_domain(spark: SparkSession) -> DataFrame:
     """The 52 cards with rank and suit."""
-    ranks = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in RANKS])).alias("rank"))
-    suits = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in SUITS])).alias("suit"))
-    return ranks.crossJoin(F.broadcast(suits)).select(F.concat("rank", "suit").alias("card"), "rank", "suit")
+    return _deck_rows(spark.range(1).select()).select("card", "rank", "suit")
 
 
 def card_counts(cards: DataFrame) -> DataFrame:
@@ -28,24 +33,36 @@ def card_counts(cards: DataFrame) -> DataFrame:
         F.count_if(F.col("card_type") == "hole").alias("hole"))
 
 
+def _by_card(value: Column) -> Column:
+    """Aggregate: `value` per card of the 52, as a map of at most 52 entries."""
+    return F.map_from_entries(F.collect_list(F.when(is_standard(F.col("card")), F.struct("card", value))))
+
+
 def card_stats(cards: DataFrame) -> DataFrame:
     """The 52-card summary; cards never seen count 0, cards outside the 52 are left out."""
-    seen = card_counts(cards).filter(is_standard(F.col("card")))  # at most 52 rows
-    return (card_domain(cards.sparkSession).join(F.broadcast(seen), "card", "left")
-            .select("card", "rank", "suit",
-                    *[F.coalesce(c, F.lit(0)).cast("bigint").alias(name) for c, name in (
-                        ("total", "total_appearances"), ("community", "community_appearances"),
-                        ("hole", "hole_card_appearances"))]))
+    seen = card_counts(cards).agg(_by_card(F.struct("total", "community", "hole")).alias("seen"))
+    at = F.col("seen")[F.col("card")]
+    return _deck_rows(seen).select(
+        "card", "rank", "suit",
+        *[F.coalesce(at[c], F.lit(0)).cast("bigint").alias(name) for c, name in (
+            ("total", "total_appearances"), ("community", "community_appearances"),
+            ("hole", "hole_card_appearances"))])
+
+
+def deal(cards: DataFrame) -> DataFrame:
+    """One row: all cards dealt (cards outside the 52 included), distinct cards, and a map of
+    appearances per card of the 52. The single scan every figure here starts from."""
+    return (cards.groupBy("card").agg(F.count("*").alias("n"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_cards"),
+                 F.count("card").alias("distinct_cards"), _by_card(F.col("n")).alias("hits")))
 
 
 def _dealt(cards: DataFrame) -> DataFrame:
-    """52 rows: appearances, and the count of all cards dealt (cards outside the 52 included)."""
-    counts = cards.groupBy("card").agg(F.count("*").alias("total"))
-    dealt = counts.agg(F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("total_cards_dealt"))
-    seen = counts.filter(is_standard(F.col("card")))  # at most 52 rows
-    return (card_domain(cards.sparkSession).join(F.broadcast(seen), "card", "left")
-            .withColumn("total_appearances", F.coalesce("total", F.lit(0)).cast("bigint")).drop("total")
-            .crossJoin(F.broadcast(dealt)))
+    """52 rows: appearances, and the count of all cards dealt."""
+    return _deck_rows(deal(cards)).select(
+        "card", "rank", "suit",
+        F.coalesce(F.col("hits")[F.col("card")], F.lit(0)).cast("bigint").alias("total_appearances"),
+        F.col("total_cards").alias("total_cards_dealt"))
 
 
 def _share(part: Column, whole: Column) -> Column:

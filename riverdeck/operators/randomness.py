@@ -6,36 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverdeck import constants as c
-from riverdeck.functions.cards import is_standard, rank_of, suit_of
+from riverdeck.functions.cards import DECK
 from riverdeck.functions.chisq import chi_squared_tail, uniform_chi_squared
-from riverdeck.operators.distribution import outliers
+from riverdeck.operators.distribution import deal, outliers
 from riverdeck.operators.lookup import stats_summary
 from riverdeck.plans.paging import beside
 
 GAMES_PER_ROW = 1000
+FREEDOM = {"card": c.DECK_SIZE - 1, "suit": len(c.SUITS) - 1, "rank": len(c.RANKS) - 1}
 
 
 def uniformity(cards: DataFrame) -> DataFrame:
-    """One row: cards dealt, distinct cards, and the raw statistics by card, suit and rank.
+    """One row: cards dealt, distinct cards, and the raw statistics by card, suit and rank."""
+    ranks, suits = (F.array(*[F.lit(v) for v in values]) for values in (c.RANKS, c.SUITS))
 
-    One scan: fact rows shrink to one row per card, then every category is a conditional sum."""
-    counts = cards.groupBy("card").agg(F.count("*").alias("n"))
-    card = F.when(is_standard(F.col("card")), F.col("card"))
-    n = F.col("n")
+    def hits(card: Column) -> Column:
+        return F.coalesce(F.col("hits")[card], F.lit(0)).cast("bigint")
 
-    def sums(of: Column, values) -> list[Column]:
-        return [F.coalesce(F.sum(F.when(of == v, n)), F.lit(0)) for v in values]
+    def total(over: Column, card) -> Column:
+        return F.aggregate(over, F.lit(0).cast("bigint"), lambda acc, v: acc + hits(card(v)))
 
-    deck = [rank + suit for suit in c.SUITS for rank in c.RANKS]
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    return (counts.select("n", card.alias("card"), F.col("card").isNotNull().alias("named"))
-            .agg(total.cast("bigint").alias("total_cards"), F.count_if("named").alias("distinct_cards"),
-                 F.array(*sums(F.col("card"), deck)).alias("by_card"),
-                 F.array(*sums(suit_of(F.col("card")), c.SUITS)).alias("by_suit"),
-                 F.array(*sums(rank_of(F.col("card")), c.RANKS)).alias("by_rank"))
-            .select("total_cards", "distinct_cards", *[
-                uniform_chi_squared([F.col(f"by_{by}")[i] for i in range(k)], F.col("total_cards")).alias(f"chi_{by}")
-                for by, k in (("card", c.DECK_SIZE), ("suit", len(c.SUITS)), ("rank", len(c.RANKS)))]))
+    by = {"card": F.transform(F.array(*[F.lit(card) for card in DECK]), hits),
+          "suit": F.transform(suits, lambda s: total(ranks, lambda r: F.concat(r, s))),
+          "rank": F.transform(ranks, lambda r: total(suits, lambda s: F.concat(r, s)))}
+    return deal(cards).select("total_cards", "distinct_cards", *[
+        uniform_chi_squared(by[kind], FREEDOM[kind] + 1, F.col("total_cards")).alias(f"chi_{kind}")
+        for kind in FREEDOM])
 
 
 def _verdict(by: str, chi: Column, total: Column) -> Column:
@@ -51,9 +47,6 @@ def _verdict(by: str, chi: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(c.NO_DATA)).otherwise(found)
 
 
-FREEDOM = {"card": c.DECK_SIZE - 1, "suit": len(c.SUITS) - 1, "rank": len(c.RANKS) - 1}
-
-
 def chi_squared(cards: DataFrame, by: str = "card") -> DataFrame:
     """One row: the test of an even split by card, suit or rank. The verdict uses the unrounded
     statistic; the shown one has 6 decimals."""

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riverdeck.constants import ACTION, NEW_HAND_ACTION, SHOWDOWN_ACTIONS
 from riverdeck.functions.attrs import lenient_int
 from riverdeck.operators.events import explode_cards, route
-from riverdeck.operators.folds import dedupe_cards
 from riverdeck.plans.slices import nearest
 
 
@@ -67,8 +66,14 @@ def showdown_results(events: DataFrame, states: DataFrame) -> DataFrame:
 
 def showdowns(events: DataFrame, states: DataFrame, dedupe: bool = True) -> DataFrame:
     """Cards revealed at showdowns, one row each. Every trigger of one showdown names the same
-    cards; deduped, the first block that showed them stays."""
-    return dedupe_cards(explode_cards(showdown_results(events, states), "winner_count"), dedupe)
+    cards; deduped, the first block that showed a card stays (a block has one snapshot)."""
+    cards = explode_cards(showdown_results(events, states), "winner_count")
+    if not dedupe:
+        return cards
+    return (cards.groupBy("game_id", "hand_number", "card", "card_type", "position")
+            .agg(F.min("block_height").alias("block_height"),
+                 F.min_by("winner_count", "block_height").alias("winner_count"))
+            .select(*cards.columns))
 
 
 def biggest_pot(states: DataFrame) -> DataFrame:
