@@ -164,13 +164,14 @@ def card_sequences(cards: DataFrame, first: int = 0, second: int = 1, min_count:
     Hands are reduced to (card, copies) per position first and joined on those, so repeated
     rows of a hand multiply as numbers and never as rows."""
     hand = ["game_id", "hand_number"]
-    placed = (cards.filter((F.col("card_type") == "community") & F.col("position").isin(first, second))
-              .groupBy(*hand, "position", "card").agg(F.count("*").alias("copies")))
-    left = placed.filter(F.col("position") == first).select(
-        *hand, F.col("card").alias("first_card"), F.col("copies").alias("a"))
-    right = placed.filter(F.col("position") == second).select(
-        *hand, F.col("card").alias("second_card"), F.col("copies").alias("b"))
-    base = placed.filter(F.col("position") == first).agg(F.sum("copies").alias("base"))
+    board = cards.filter(F.col("card_type") == "community")
+
+    def placed(position: int, card: str, copies: str) -> DataFrame:
+        return (board.filter(F.col("position") == position)
+                .groupBy(*hand, F.col("card").alias(card)).agg(F.count("*").alias(copies)))
+
+    left, right = placed(first, "first_card", "a"), placed(second, "second_card", "b")
+    base = board.filter(F.col("position") == first).agg(F.count("*").alias("base"))
     pairs = (left.join(right, hand)
              .groupBy("first_card", "second_card").agg(F.sum(F.col("a") * F.col("b")).alias("occurrences"))
              .filter(F.col("occurrences") >= min_count).crossJoin(F.broadcast(base))

@@ -146,9 +146,12 @@ def scan_gaps(heights: DataFrame, start: int | None = None, end: int | None = No
     span = heights.agg(
         (F.lit(start).cast("bigint") if start is not None else F.min("height")).alias("lo"),
         (F.lit(end).cast("bigint") if end is not None else F.max("height")).alias("hi"))
-    ranges = (span.filter("lo <= hi")
-              .select("hi", F.explode(F.sequence("lo", "hi", F.lit(width).cast("bigint"))).alias("at"))
+    # sequence() refuses to count down, also for rows a filter would drop: hence greatest().
+    ranges = (span
+              .select("hi", F.explode(F.sequence(
+                  "lo", F.greatest("lo", "hi"), F.lit(width).cast("bigint"))).alias("at"))
               .repartition("at"))
-    wanted = ranges.select(F.explode(F.sequence(
-        "at", F.least(F.col("at") + (width - 1), F.col("hi")))).alias("missing_block"))
+    wanted = (ranges
+              .select("hi", F.explode(F.sequence("at", F.col("at") + (width - 1))).alias("missing_block"))
+              .filter("missing_block <= hi").select("missing_block"))
     return wanted.join(scanned, "missing_block", "left_anti")

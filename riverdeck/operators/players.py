@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverdeck.constants import LOWEST_TIER, MICRO_UNITS
 from riverdeck.functions.loyalty import integer_div, rakeback_pct, vip_points
-from riverdeck.plans.paging import beside, top
+from riverdeck.plans.paging import top
 from riverdeck.plans.slices import global_rank
 
 # Action name -> column that counts it.
@@ -158,12 +158,15 @@ BOARDS = {
 def leaderboard(stats: DataFrame, by: str, min_hands: int | None = None, k: int | None = None) -> DataFrame:
     """Players ranked by net_profit, total_hands or aggression_factor; ties share a rank.
 
-    With `k`, only the first k rows are ranked: what is above them decides their rank."""
+    With `k`, only the first k rows are kept; the rows above a row decide its rank, so ranking
+    those k alone gives the same ranks."""
     least, columns = BOARDS[by]
     entered = stats.filter(F.col("total_hands") >= (least if min_hands is None else min_hands)).select(*columns)
-    if k is not None:
-        entered = top(entered, [F.desc(by), F.asc("player_address")], k)
-    ranked = global_rank(entered, by, ["player_address"])
+    if k is None:
+        ranked = global_rank(entered, by, ["player_address"])
+    else:
+        first = top(entered, [F.desc(by), F.asc("player_address")], k)
+        ranked = first.withColumn("rank", F.rank().over(Window.orderBy(F.desc(by))).cast("bigint"))
     if by != "aggression_factor":
         return ranked.select(*columns, "rank")
     return ranked.select(

@@ -12,7 +12,7 @@ from riverdeck.operators.distribution import deal, outliers
 from riverdeck.operators.lookup import stats_summary
 from riverdeck.plans.paging import beside
 
-GAMES_PER_ROW = 1000
+GAMES_PER_ROW = 100_000  # a seed is met in no more games than it has uses
 FREEDOM = {"card": c.DECK_SIZE - 1, "suit": len(c.SUITS) - 1, "rank": len(c.RANKS) - 1}
 
 
@@ -87,18 +87,16 @@ def chi_squared_pvalue(cards: DataFrame, by: str | None = None) -> DataFrame:
 def duplicate_seeds(hands: DataFrame) -> DataFrame:
     """Seeds used more than once, the empty seed included: uses, first and last block, games.
 
-    Rows shrink to one per (seed, game) first. A seed met in very many games gets one row per
-    `part`, each with a bounded share of its games; the other columns repeat."""
-    met = hands.groupBy("deck_seed", "game_id").agg(
-        F.count("*").alias("n"), F.min("block_height").alias("lo"), F.max("block_height").alias("hi"))
-    seeds = (met.groupBy("deck_seed")
-             .agg(F.sum("n").alias("times_used"), F.min("lo").alias("first_block"),
-                  F.max("hi").alias("last_block"), F.count("*").alias("games_met"))
+    Rows shrink to one per (seed, game) before they meet. A seed used very often gets one row
+    per `part`, each with a bounded share of its games; the other columns repeat."""
+    seeds = (hands.groupBy("deck_seed")
+             .agg(F.count("*").alias("times_used"), F.min("block_height").alias("first_block"),
+                  F.max("block_height").alias("last_block"))
              .filter(F.col("times_used") > 1))
-    parts = F.ceil(F.col("games_met") / F.lit(GAMES_PER_ROW))
+    parts = F.ceil(F.col("times_used") / F.lit(GAMES_PER_ROW))
     row = ["deck_seed", "times_used", "first_block", "last_block", "part"]
-    return (met.select("deck_seed", "game_id").join(seeds, "deck_seed")
-            .withColumn("part", F.when(parts > 1, F.pmod(F.xxhash64("game_id"), parts)).otherwise(F.lit(0)).cast("int"))
+    return (hands.select("deck_seed", "game_id").distinct().join(seeds, "deck_seed")
+            .withColumn("part", F.pmod(F.xxhash64("game_id"), parts).cast("int"))
             .repartition("deck_seed", "part")
             .groupBy(*row).agg(F.array_join(F.sort_array(F.collect_list("game_id")), ",").alias("games")))
 

@@ -22,13 +22,13 @@ SLICE = "_slice"
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows with their range-slice number over (keys, order), pinned so the numbers stay put.
+    """Rows with their range-slice number over (keys, order).
 
-    `order` must make rows of a key distinct, or equal rows pile up in one slice."""
+    `order` must make rows of a key distinct, or equal rows pile up in one slice. The numbers
+    hold within one job; pin the frame before using them a second time."""
     slices = slice_count(df.sparkSession)
-    return pinned(
-        df.repartitionByRange(slices, *[F.col(k).asc() for k in keys], *order)
-        .withColumn(SLICE, F.spark_partition_id()))
+    return (df.repartitionByRange(slices, *[F.col(k).asc() for k in keys], *order)
+            .withColumn(SLICE, F.spark_partition_id()))
 
 
 def _crossing_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,14 +41,16 @@ def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
             following: bool = False) -> DataFrame:
     """`out` = nearest non-null `value` at or before each row of its key, in `order`;
     with `following`, at or after. Key columns must not be null."""
-    sliced = cut(df, keys, [F.col(c).asc() for c in order])
     # A frame that runs to the end of the partition costs quadratic time, so look backwards
     # over the reversed order instead.
     way = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
     inside = Window.partitionBy(SLICE, *keys).orderBy(*[way(c) for c in order]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    seen = sliced.withColumn("_seen", F.last(value, ignorenulls=True).over(inside))
+    sliced = pinned(
+        cut(df, keys, [F.col(c).asc() for c in order])
+        .withColumn("_seen", F.last(value, ignorenulls=True).over(inside)), "slices")
 
+    # The value visible at a slice's border is its last one, or its first when looking forward.
     at = F.when(F.col(value).isNotNull(), F.struct(*order))
     pick = F.min_by if following else F.max_by
     edges = (sliced.join(F.broadcast(_crossing_keys(sliced, keys)), list(keys), "left_semi")
@@ -57,9 +59,8 @@ def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
         Window.unboundedPreceding, -1)  # at most one row per slice
     carried = edges.select(
         SLICE, *keys, F.last("_edge", ignorenulls=True).over(earlier).alias("_carried"))
-    return (seen.join(F.broadcast(carried), [SLICE, *keys], "left")
-            .withColumn(out, F.coalesce("_seen", "_carried"))
-            .drop(SLICE, "_seen", "_carried"))
+    return (sliced.join(F.broadcast(carried), [SLICE, *keys], "left")
+            .select(*df.columns, F.coalesce("_seen", "_carried").alias(out)))
 
 
 def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence[str] = (),
@@ -68,15 +69,16 @@ def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence
 
     `by` must not be null; `tie_break` only makes the slicing order unique."""
     keys = list(keys)
-    sliced = cut(df, keys, [F.col(by).desc(), *[F.col(c).asc() for c in tie_break]])
-    local = sliced.withColumn(
-        "_local", F.rank().over(Window.partitionBy(SLICE, *keys).orderBy(F.col(by).desc())).cast("bigint"))
+    inside = Window.partitionBy(SLICE, *keys).orderBy(F.col(by).desc())
+    local = pinned(
+        cut(df, keys, [F.col(by).desc(), *[F.col(c).asc() for c in tie_break]])
+        .withColumn("_local", F.rank().over(inside).cast("bigint")), "slices")
 
     # Per slice and key: how many rows it holds, and where its last (lowest) value starts.
     summary = local.groupBy(SLICE, *keys).agg(
         F.count("*").alias("_rows"), F.min(by).alias("_lowest"), F.max("_local").alias("_starts"))
     if keys:
-        summary = summary.join(F.broadcast(_crossing_keys(sliced, keys)), keys, "left_semi")
+        summary = summary.join(F.broadcast(_crossing_keys(local, keys)), keys, "left_semi")
     # At most one row per slice and key; without keys, one row per slice in all.
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = summary.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
@@ -85,6 +87,5 @@ def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence
                 .agg(F.min(F.col("_before") + F.col("_starts")).alias("_spanned")))
     return (local.join(F.broadcast(offsets.select(SLICE, *keys, "_before")), [SLICE, *keys], "left")
             .join(F.broadcast(spanning), [*keys, by], "left")
-            .withColumn(out, F.coalesce(
-                "_spanned", F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint"))
-            .drop(SLICE, "_local", "_before", "_spanned"))
+            .select(*df.columns, F.coalesce(
+                "_spanned", F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(out)))

@@ -1,0 +1,165 @@
+"""Distribution figures and test verdicts on hand-made decks."""
+
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from riverdeck import constants as c
+from riverdeck.functions.cards import DECK
+from riverdeck.functions.chisq import chi_squared_tail
+from riverdeck.operators import distribution as d
+from riverdeck.operators import randomness as r
+
+CARD_COLUMNS = ("game_id string, hand_number int, block_height bigint, card string, card_type string, "
+                "position int, indexed_at timestamp_ntz")
+
+
+def dealt(spark, counts, block=1):
+    """Revealed cards: `counts` maps card -> copies."""
+    rows = [("g", i, block, card, "community", 0, None) for card, n in counts.items() for i in range(n)]
+    return spark.createDataFrame(rows, CARD_COLUMNS)
+
+
+def hands_of(spark, seeds):
+    rows = [(f"g{i % 2}", i, i, seed, "", "", None) for i, seed in enumerate(seeds)]
+    return spark.createDataFrame(rows, "game_id string, hand_number int, block_height bigint, deck_seed string, "
+                                       "deck string, tx_hash string, indexed_at timestamp_ntz")
+
+
+def by_definition(counts, total):
+    even = total / len(counts)
+    return sum((n - even) ** 2 / even for n in counts)
+
+
+def test_no_cards(spark):
+    none = dealt(spark, {})
+    assert tuple(r.chi_squared(none).first()) == (c.CARD_TEST_NAME, 0.0, 51, 0, c.NO_DATA)
+    assert tuple(r.chi_squared(none, "suit").first()) == (0.0, 3, c.NO_DATA)
+    assert tuple(r.chi_squared(none, "rank").first()) == (0.0, 12, c.NO_DATA)
+    frequency = d.card_frequency(none).collect()
+    assert len(frequency) == 52 and all(f.actual_percentage == 0 == f.deviation_percentage for f in frequency)
+    assert d.rank_distribution(none).count() == 13 and d.suit_distribution(none).count() == 4
+    assert d.timeline(none).count() == d.timeline_chi_squared(none).count() == d.card_sequences(none).count() == 0
+
+
+def test_unknown_cards_count_in_the_total_only(spark):
+    cards = dealt(spark, {**{card: 2 for card in DECK}, "10S": 6, "ah": 1})
+    ace = d.card_lookup(cards, "Ah").first()
+    assert (ace.total_appearances, ace.total_cards_dealt) == (2, 111)
+    assert ace.actual_percentage == round(2 / 111 * 100, 4)
+    assert d.card_lookup(cards).count() == 52
+    assert {(u.card, u.n) for u in d.unknown_cards(cards).collect()} == {("10S", 6), ("ah", 1)}
+    row = r.uniformity(cards).first()
+    assert (row.total_cards, row.distinct_cards) == (111, 54)
+    assert row.chi_card == pytest.approx(by_definition([2] * 52, 111))
+    assert row.chi_suit == pytest.approx(by_definition([26] * 4, 111))
+    assert row.chi_rank == pytest.approx(by_definition([8] * 13, 111))
+
+
+def near(target, k, total):
+    """k counts of sum `total` whose statistic is as close to `target` as moving one card pair allows."""
+    counts, even = [total // k] * k, total / k
+    shift = round(math.sqrt(target * even / 2))
+    counts[0] += shift
+    counts[1] -= shift
+    return counts, by_definition(counts, total)
+
+
+@pytest.mark.parametrize("target, verdict", [
+    (68.0, c.CARD_PASS), (70.0, c.CARD_MARGINAL), (75.5, c.CARD_MARGINAL), (77.0, c.CARD_FAIL)])
+def test_card_verdicts(spark, target, verdict):
+    counts, exact = near(target, 52, 5200)
+    row = r.chi_squared(dealt(spark, dict(zip(DECK, counts)))).first()
+    assert row.chi_squared == pytest.approx(exact, abs=1e-6) and row.p_value_hint == verdict
+
+
+@pytest.mark.parametrize("by, cards, passes, fails, critical", [
+    ("suit", ["2h", "2d", "2c", "2s"], c.SUIT_PASS, c.SUIT_FAIL, c.SUIT_P05),
+    ("rank", [rank + "h" for rank in c.RANKS], c.RANK_PASS, c.RANK_FAIL, c.RANK_P05)])
+def test_suit_and_rank_verdicts(spark, by, cards, passes, fails, critical):
+    for target, verdict in ((critical - 1, passes), (critical + 1, fails)):
+        counts, exact = near(target, len(cards), 100 * len(cards))
+        row = r.chi_squared(dealt(spark, dict(zip(cards, counts))), by).first()
+        assert row.chi_squared == pytest.approx(exact, abs=1e-6) and row.interpretation == verdict
+
+
+def test_report_needs_a_hundred_cards(spark):
+    hands = hands_of(spark, ["a", "b", "b", "", ""])
+    few = r.randomness_report(dealt(spark, {"Ah": 99}), hands).collect()
+    assert [tuple(x) for x in few] == [(
+        "INSUFFICIENT DATA", "SKIP", "Only 99 cards indexed. Need at least 100 for statistical significance.")]
+    enough = {x.test_name: (x.result, x.details) for x in r.randomness_report(
+        dealt(spark, {"Ah": 100}), hands).collect()}
+    assert len(enough) == 5
+    assert enough["Seed Uniqueness"] == ("WARNING", "2 duplicate seeds found")
+    assert enough["Card Coverage"] == ("PARTIAL", "1 of 52 unique cards observed")
+    full = {x.test_name: x.result for x in r.randomness_report(
+        dealt(spark, {card: 2 for card in DECK}), hands_of(spark, ["a", "b"])).collect()}
+    assert full["Card Coverage"] == full["Seed Uniqueness"] == "PASS"
+    assert full["Overall Card Distribution"] == c.CARD_PASS
+
+
+def test_tail_matches_known_quantiles(spark):
+    cases = [(3.841459, 1, 0.05), (7.814728, 3, 0.05), (21.026070, 12, 0.05), (68.669294, 51, 0.05),
+             (77.385962, 51, 0.01), (0.0, 12, 1.0), (5000.0, 51, 0.0), (1399.0, 3, 0.0), (51.0, 51, 0.4737)]
+    for x, df, p in cases:
+        frame = spark.createDataFrame([(x,)], "x double").select(chi_squared_tail(F.col("x"), df))
+        assert frame.first()[0] == pytest.approx(p, abs=1e-4)
+
+
+def test_timeline_statistic_adds_unseen_cards(spark):
+    cards = dealt(spark, {"Ah": 3, "Kd": 1, "10S": 2}, block=1500)
+    row = d.timeline_chi_squared(cards).first()
+    assert row.block_range == "1000-1999" and row.total_cards == 6
+    assert row.chi_squared == pytest.approx(by_definition([3, 1] + [0] * 50, 6), abs=1e-4)
+    span = d.timeline(cards).first()
+    assert (span.block_range_start, span.cards_dealt, span.unique_cards, span.card_coverage_pct) == (1000, 6, 3, 5.77)
+
+
+def test_sequences_multiply_repeats_without_pairing_rows(spark):
+    rows = [("g", 1, 1, card, "community", position, None)
+            for position, cards in ((0, ["Ah"] * 30 + ["Kd"] * 2), (1, ["2c"] * 40)) for card in cards]
+    found = {(x.first_card, x.second_card): (x.occurrences, x.percentage)
+             for x in d.card_sequences(spark.createDataFrame(rows, CARD_COLUMNS)).collect()}
+    assert found == {("Ah", "2c"): (1200, 3750.0), ("Kd", "2c"): (80, 250.0)}
+
+
+def test_seed_checks(spark):
+    hands = hands_of(spark, ["ab", "ab", "ab", "", "", "AF", "cz"])
+    assert {(x.deck_seed, x.times_used, x.first_block, x.last_block, x.games)
+            for x in r.duplicate_seeds(hands).collect()} == {("ab", 3, 0, 2, "g0,g1"), ("", 2, 3, 4, "g0,g1")}
+    row = r.seed_uniqueness(hands).first()
+    assert (row.total_seeds, row.unique_seeds, row.duplicate_count) == (5, 3, 2)
+    assert row.entropy_score == pytest.approx(60.0)
+    assert tuple(r.seed_uniqueness(hands_of(spark, [""])).first()) == (0, 0, 0, None)
+    digits = {x.char: (x.occurrences, x.percentage) for x in r.seed_characters(hands).collect()}
+    assert digits == {"a": (3, 42.86), "b": (3, 42.86), "c": (1, 14.29)}
+    assert {x.char for x in r.seed_characters(hands, lower=True).collect()} == {"a", "b", "c", "f"}
+
+
+def test_a_busy_seed_splits_its_games(spark, monkeypatch):
+    monkeypatch.setattr(r, "GAMES_PER_ROW", 10)
+    hands = hands_of(spark, ["s"] * 50).withColumn("game_id", F.concat(F.lit("g"), "hand_number"))
+    rows = r.duplicate_seeds(hands).collect()
+    assert len(rows) > 1 and {x.times_used for x in rows} == {50}
+    games = [g for x in rows for g in x.games.split(",")]
+    assert sorted(games) == sorted(f"g{i}" for i in range(50))
+
+
+def test_document(spark):
+    cards, hands = dealt(spark, {"Ah": 60, "Kd": 60}), hands_of(spark, ["a", "a"])
+    results = spark.createDataFrame([], "game_id string, hand_number int")
+    document = json.loads(r.randomness_document(hands, results, cards).first().document)
+    assert document["summary"]["total_revealed_cards"] == 120
+    assert document["card_chi_squared"]["result"] == document["rank_chi_squared"]["result"] == "FAIL"
+    assert {x["card"] for x in document["outlier_cards"]} == set(DECK)
+    assert document["duplicate_seeds"] == 1
+
+
+def test_outlier_threshold_defaults_when_not_positive(spark):
+    cards = dealt(spark, {**{card: 100 for card in DECK}, "Ah": 200})
+    assert [x.card for x in d.outliers(cards).collect()] == ["Ah"]
+    assert d.outliers(cards, 0).count() == d.outliers(cards, -3).count() == 1
+    assert d.outliers(cards, 0.01).count() == 52
