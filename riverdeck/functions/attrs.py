@@ -11,11 +11,15 @@ _WHOLE_NUMBER = "^[+-]?[0-9]+$"
 _LONG_MAX, _LONG_MIN = 2**63 - 1, -(2**63)
 
 
+def _bound(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _unbase64(text: Column) -> Column:
     """The decoded text, or null where `text` is not strict, padded base64 of valid UTF-8."""
     raw = F.when(text.rlike(_BASE64), F.try_to_binary(text, F.lit("base64")))
-    as_text = raw.cast("string")
-    return F.when(F.is_valid_utf8(as_text), as_text)
+    return F.try_validate_utf8(raw.cast("string"))
 
 
 def is_base64_event(attributes: Column) -> Column:
@@ -48,15 +52,19 @@ def decode_attrs(attributes: Column, encoding: str = "auto") -> Column:
     else:
         raise ValueError(f"unknown encoding {encoding!r}")
     pairs = F.filter(pairs, lambda p: p["key"].isNotNull())
-    return F.map_from_entries(_last_per_key(pairs))
+    return F.map_from_entries(_bound(pairs, _last_per_key))
 
 
 def _last_per_key(pairs: Column) -> Column:
     """Keep the last entry of each key, so that building the map cannot meet a duplicate."""
-    from_the_end = F.reverse(F.transform(pairs, lambda p: p["key"]))
-    return F.filter(
-        pairs,
-        lambda p, i: i + F.array_position(from_the_end, p["key"]) == F.size(pairs))
+    def last_ones(from_the_end: Column) -> Column:
+        return F.when(
+            F.size(F.array_distinct(from_the_end)) == F.size(from_the_end), pairs,
+        ).otherwise(F.filter(
+            pairs,
+            lambda p, i: i + F.array_position(from_the_end, p["key"]) == F.size(from_the_end)))
+
+    return _bound(F.reverse(F.transform(pairs, lambda p: p["key"])), last_ones)
 
 
 def lenient_int(text: Column) -> Column:

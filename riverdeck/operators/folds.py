@@ -70,17 +70,21 @@ def fold_sessions(moves: DataFrame) -> DataFrame:
     every session of the player and game still open, so a session ends at the first leave
     after its join. A leave that finds none open does nothing."""
     key = ["player_address", "game_id"]
-    joins = (moves.filter("is_join").groupBy(*key, "height")
-             .agg(F.min("event_seq").alias("event_seq"), F.min_by("amount", "event_seq").alias("buy_in_amount"))
-             .withColumn("leave", F.lit(None).cast("struct<height:bigint,amount:bigint>")))
-    leaves = (moves.filter("NOT is_join")
-              .select(*key, "height", "event_seq", F.lit(None).cast("bigint").alias("buy_in_amount"),
-                      F.struct("height", "amount").alias("leave")))
-    paired = nearest(joins.unionByName(leaves), key, ["height", "event_seq"], "leave", "closed", following=True)
-    return (paired.filter(F.col("leave").isNull())
-            .select(*key, F.col("height").alias("join_block"), F.col("event_seq").alias("join_seq"),
-                    F.col("closed.height").alias("leave_block"), "buy_in_amount",
-                    F.coalesce("closed.amount", F.lit(0)).cast("bigint").alias("cash_out_amount")))
+    leave = F.when(~F.col("is_join"), F.struct("height", "amount"))
+    paired = nearest(moves.withColumn("leave", leave), key, ["height", "event_seq"], "leave", "closed",
+                     following=True)
+
+    def of_first(value: str, out: str) -> Column:
+        return F.min_by(value, "event_seq").alias(out)
+
+    sessions = (paired.filter("is_join")
+                .withColumns({"leave_block": F.col("closed.height"), "refund": F.col("closed.amount")})
+                .groupBy(*key, F.col("height").alias("join_block"))
+                .agg(F.min("event_seq").alias("join_seq"), of_first("leave_block", "leave_block"),
+                     of_first("amount", "buy_in_amount"), of_first("refund", "refund")))
+    return sessions.select(
+        *key, "join_block", "join_seq", "leave_block", "buy_in_amount",
+        F.coalesce("refund", F.lit(0)).cast("bigint").alias("cash_out_amount"))
 
 
 def progress(heights: DataFrame, start: int = 1, every: int = PROGRESS_EVERY) -> DataFrame:
@@ -109,4 +113,4 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     rest = [c for c in incoming.columns if c not in keys]
     first = (incoming.groupBy(*keys)
              .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*"))
-    return existing.unionByName(first.join(existing.select(*keys), keys, "left_anti").select(*existing.columns))
+    return existing.unionByName(first.join(existing.select(*keys).distinct(), keys, "left_anti").select(*existing.columns))

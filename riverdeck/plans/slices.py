@@ -1,12 +1,13 @@
-"""Ordered work per key without giving one key to one task.
+"""Ordered work per key without giving a hot key to one task.
 
 A plain window puts a whole key into one task, so a key holding a third of the rows takes a
-third of the job's time there. These plans cut the rows into range slices over
-(key, order) instead: a hot key simply spans several slices. The window then runs inside a
-slice, and what must cross a slice border is carried over by a small table.
+third of the job's time there. Rows of hot keys are cut into range slices over (key, order)
+instead: a hot key then spans several slices. The window runs inside a slice, and what must
+cross a slice border is carried over by a small table.
 
-Proven bounds: n slices have n - 1 borders, and each border is crossed by at most one key, so
-at most 2n (slice, key) pairs belong to keys that cross one. Only such tables are broadcast.
+Proven bounds, with n slices: fewer than n keys can hold more than an n-th of the rows each;
+n slices have n - 1 borders, each crossed by at most one key, so at most 2n (slice, key) pairs
+belong to keys that cross one. Only such tables are broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from riverdeck.session import pinned, slice_count
 
 SLICE = "_slice"
+HOT_ROWS = 1_000_000  # a key with no more rows than this is no burden to a task
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -37,30 +39,48 @@ def _crossing_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
             .groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with more than their share of the rows: fewer than there are slices."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    every = counts.agg(F.sum("_n").alias("_every"))
+    share = F.greatest(F.col("_every") / slice_count(df.sparkSession), F.lit(HOT_ROWS))
+    return counts.crossJoin(F.broadcast(every)).filter(F.col("_n") > share).select(*keys)
+
+
 def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
             following: bool = False) -> DataFrame:
     """`out` = nearest non-null `value` at or before each row of its key, in `order`;
     with `following`, at or after. Key columns must not be null."""
+    keys = list(keys)
     # A frame that runs to the end of the partition costs quadratic time, so look backwards
     # over the reversed order instead.
     way = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
-    inside = Window.partitionBy(SLICE, *keys).orderBy(*[way(c) for c in order]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    sliced = pinned(
-        cut(df, keys, [F.col(c).asc() for c in order])
-        .withColumn("_seen", F.last(value, ignorenulls=True).over(inside)), "slices")
 
+    def seen(*within: str) -> Column:
+        ordered = Window.partitionBy(*within).orderBy(*[way(c) for c in order])
+        return F.last(value, ignorenulls=True).over(
+            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    hot = pinned(hot_keys(df, keys), "hot-keys")
+    if hot.isEmpty():
+        return df.withColumn(out, seen(*keys))
+    few = F.broadcast(hot)
+    plain = df.join(few, keys, "left_anti").withColumn(out, seen(*keys))
+
+    sliced = pinned(
+        cut(df.join(few, keys, "left_semi"), keys, [F.col(c).asc() for c in order])
+        .withColumn("_seen", seen(SLICE, *keys)), "slices")
     # The value visible at a slice's border is its last one, or its first when looking forward.
     at = F.when(F.col(value).isNotNull(), F.struct(*order))
     pick = F.min_by if following else F.max_by
-    edges = (sliced.join(F.broadcast(_crossing_keys(sliced, keys)), list(keys), "left_semi")
+    edges = (sliced.join(F.broadcast(_crossing_keys(sliced, keys)), keys, "left_semi")
              .groupBy(SLICE, *keys).agg(pick(F.col(value), at).alias("_edge")))
     earlier = Window.partitionBy(*keys).orderBy(way(SLICE)).rowsBetween(
         Window.unboundedPreceding, -1)  # at most one row per slice
     carried = edges.select(
         SLICE, *keys, F.last("_edge", ignorenulls=True).over(earlier).alias("_carried"))
-    return (sliced.join(F.broadcast(carried), [SLICE, *keys], "left")
-            .select(*df.columns, F.coalesce("_seen", "_carried").alias(out)))
+    joined = sliced.join(F.broadcast(carried), [SLICE, *keys], "left")
+    return plain.unionByName(joined.select(*df.columns, F.coalesce("_seen", "_carried").alias(out)))
 
 
 def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence[str] = (),

@@ -9,6 +9,12 @@ from test_decode import events_frame
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
 from riverdeck.operators.states import legacy_hands
+from riverdeck.plans import slices
+
+
+@pytest.fixture(params=[0, 1_000_000], ids=["sliced", "plain"])
+def hot_rows(request, monkeypatch):
+    monkeypatch.setattr(slices, "HOT_ROWS", request.param)
 
 
 def chain(seed, blocks=60, per_block=6):
@@ -92,12 +98,12 @@ def test_results_equal_replay(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_sessions_equal_replay(spark, seed):
+def test_sessions_equal_replay(spark, hot_rows, seed):
     rows = list(chain(seed))
     assert sessions_of(folds.fold_sessions(ev.session_events(events_frame(spark, rows)))) == replay_sessions(rows)
 
 
-def test_session_edge_cases(spark):
+def test_session_edge_cases(spark, hot_rows):
     moves = [("left", 1, 0), ("joined", 2, 0), ("joined", 2, 1), ("left", 2, 2), ("joined", 2, 3), ("joined", 5, 0),
              ("joined", 6, 0), ("left", 9, 0), ("left", 9, 1), ("joined", 11, 0)]
     rows = [dict(height=h, event_seq=s, type=f"player_{kind}_game", player="p", game_id="g",
@@ -132,7 +138,7 @@ def replay_legacy(rows, states, app_hash):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_legacy_hands_equal_replay(spark, seed):
+def test_legacy_hands_equal_replay(spark, hot_rows, seed):
     rows = list(chain(seed))
     rng = random.Random(seed)
     states = [("g0", h, rng.randint(0, 5), f"deck{h}") for h in range(20, 60, 7)]

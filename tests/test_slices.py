@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riverdeck.plans.slices import global_rank, nearest
+from riverdeck.plans import slices
+from riverdeck.plans.slices import global_rank, hot_keys, nearest
+
+
+@pytest.fixture(params=["hot keys sliced", "plain"], autouse=True)
+def hot_rows(request, monkeypatch):
+    """Run everything with the sliced plan forced on small data, and with the plain one."""
+    if request.param != "plain":
+        monkeypatch.setattr(slices, "HOT_ROWS", 0)
 
 
 def skewed_rows(count, hot_share=0.5, seed=0):
@@ -52,6 +60,14 @@ def test_global_rank_equals_window_rank(spark, values, keys):
     assert sorted(map(tuple, global_rank(frame, "v", ["id"], keys).collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_few_keys_are_hot(spark, monkeypatch):
+    monkeypatch.setattr(slices, "HOT_ROWS", 0)
+    frame = spark.createDataFrame(skewed_rows(400, 0.5), "k string, at int, v int")
+    assert [r.k for r in hot_keys(frame, ["k"]).collect()] == ["hot"]
+    monkeypatch.setattr(slices, "HOT_ROWS", 1000)
+    assert hot_keys(frame, ["k"]).isEmpty()
+
+
 def test_empty_input(spark):
     none = spark.createDataFrame([], "k string, at int, v int")
     assert nearest(none, ["k"], ["at"], "v", "found").count() == 0
