@@ -12,7 +12,7 @@ from riverdeck.functions.attrs import decode_attrs, effective_height, is_base64_
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
 from riverdeck.operators import players, states
-from riverdeck.schemas import BLOCK_RESULTS, TABLES
+from riverdeck.schemas import BLOCK_RESULTS
 from riverdeck.session import scratch_path
 from riverdeck.sources import blocks, tables
 
@@ -43,7 +43,8 @@ def _maps(spark, sf_dir):
 
 def _snapshots(spark, sf_dir):
     found = blocks.game_states(spark, staging.landed_states(spark, sf_dir))
-    players_text = F.transform("players", lambda p: F.concat(p["address"], F.lit(":"), F.array_join(p["holeCards"], "+")))
+    players_text = F.transform(
+        "players", lambda p: F.concat(p["address"], F.lit(":"), F.array_join(p["holeCards"], "+")))
     winners_text = F.transform("winners", lambda w: F.concat(w["address"], F.lit(":"), w["amount"]))
     return found.select("game_id", "as_of_block", "hand_number", "round", "deck",
                         F.array_join("community", ",").alias("community"),
@@ -89,6 +90,11 @@ def _asof(events, snapshots):
                         "state.round", "state.winner_count")
 
 
+def _showdown_results(spark, sf_dir):
+    folded = folds.fold_results(states.showdown_results(view(spark, sf_dir, SHOWDOWN), _landed_states(spark, sf_dir)))
+    return folded.withColumn("community_cards", F.array_join("community_cards", ","))
+
+
 def _play_style(spark, sf_dir):
     return players.play_style(view(spark, sf_dir, "fx_player_actions"), _landed_states(spark, sf_dir))
 
@@ -138,11 +144,13 @@ select game_id, hand_number, arg_min(block_height, pos) as block_height,
        coalesce(arg_max(deck, pos) filter (not weak), arg_min(deck, pos)) as deck
 from every group by game_id, hand_number
 """
-SHOWN_SQL = """
-, asked as (select game_id, height from fx_showdown_events where action in ('show', 'muck', 'fold')),
-  met as (select a.game_id, a.height, s.as_of_block, s.hand_number, s.round, s.winner_count
-          from asked a asof join fx_game_states s on a.game_id = s.game_id and a.height >= s.as_of_block),
-  faces as (select 0 as parity, 'community' as card_type, 0 as position, '2c' as card
+MET_SQL = """
+, asked as (select game_id, height, height * 100 + event_seq as pos from fx_showdown_events where action in ('show', 'muck', 'fold')),
+  met as (select a.game_id, a.height, a.pos, s.as_of_block, s.hand_number, s.round, s.winner_count
+          from asked a asof join fx_game_states s on a.game_id = s.game_id and a.height >= s.as_of_block)
+"""
+SHOWN_SQL = MET_SQL + """
+, faces as (select 0 as parity, 'community' as card_type, 0 as position, '2c' as card
             union all select 1, 'community', 0, '2c' union all select 0, 'community', 2, 'Ts'
             union all select 1, 'community', 2, 'Ts' union all select 0, 'hole', 0, 'Ah'
             union all select 0, 'hole', 1, 'Kd' union all select 1, 'hole', 0, '9s')
@@ -241,6 +249,10 @@ from fx_events e asof left join fx_game_states s on e.game_id = s.game_id and e.
     Entry("hands_fold_legacy", _legacy_fold, with_views(LEGACY_FOLD_SQL, LEGACY, "fx_headers", STATES)),
     Entry("showdown_extract", lambda spark, sf: states.showdowns(
         view(spark, sf, SHOWDOWN), _landed_states(spark, sf)), with_views(SHOWN_SQL, SHOWDOWN, STATES)),
+    Entry("showdown_results", _showdown_results, with_views(MET_SQL + """
+select game_id, hand_number, arg_min(height, pos) as block_height, '2c,,Ts' as community_cards,
+       arg_max(winner_count, pos) as winner_count
+from met where round = 'showdown' and winner_count > 0 group by game_id, hand_number""", SHOWDOWN, STATES)),
     Entry("biggest_pot", lambda spark, sf: states.biggest_pot(_landed_states(spark, sf)), with_views("""
 , wins as (select 'p' || (as_of_block % 15) as player_address, amount from fx_game_states where winner_count >= 1
            union all

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from riverdeck.catalog.entry import over
 from riverdeck.operators import folds
 from riverdeck.operators import lookup as k
-from riverdeck.operators import randomness as r
 
 HANDS, RESULTS, CARDS, CHAIN = "fx_poker_hands", "fx_hand_results", "fx_revealed_cards", "fx_chain_events"
 PAGE_START, PAGE_END, PAGE_SIZE, PAGE_OFFSET = 100, 900_000, 50, 10
@@ -21,13 +20,6 @@ def _details(hands, results, cards):
     return k.hand_details(hands, _with_lists(results), cards)
 
 
-def _one_hand(cards):
-    """The cards of the hand with the most of them, found in the same plan."""
-    fullest = (cards.groupBy("game_id", "hand_number").agg(F.count("*").alias("n"))
-               .orderBy(F.desc("n"), F.asc("game_id"), F.asc("hand_number")).limit(1).select("game_id", "hand_number"))
-    return cards.join(F.broadcast(fullest), ["game_id", "hand_number"]).select("card", "card_type", "position")
-
-
 def _status(hands, chain):
     return k.indexing_status(hands, folds.progress(chain))
 
@@ -36,11 +28,12 @@ def _status_of_chain(hands, chain):
     return k.indexing_status(hands, folds.progress(chain), 200_000)
 
 
-def _absent(hands):
-    """Table: hands of even number. Incoming: all of them twice, the copies later and reseeded."""
-    again = hands.withColumn("deck_seed", F.lit("late")).withColumn("block_height", F.col("block_height") + 1)
-    return folds.insert_if_absent(
-        hands.filter(F.col("hand_number") % 2 == 0), hands.unionByName(again), k.HAND_KEY, ["block_height"])
+def _absent(hands, results):
+    """Table: hands with a result. Incoming: every hand, and a later copy of it."""
+    columns = [*k.HAND_KEY, "block_height", "tx_hash"]
+    started = hands.select(*columns)
+    again = started.withColumn("block_height", F.col("block_height") + 1)
+    return folds.insert_if_absent(results.select(*columns), again.unionByName(started), k.HAND_KEY, ["block_height"])
 
 
 PROGRESS = """
@@ -67,6 +60,9 @@ ENTRIES = [
                where game_id = 'g7' and block_height between {PAGE_START} and {PAGE_END})
 select matching.*, (select count(*) from matching) as total from matching
 order by block_height desc, hand_number desc, game_id limit {PAGE_SIZE} offset {PAGE_OFFSET}"""),
+    over("hands_after", lambda hands: k.hands_after(hands, 1000, 1000), HANDS, """
+select * from fx_poker_hands where (block_height, hand_number) < (1000, 1000)
+order by block_height desc, hand_number desc, game_id limit 50"""),
     over("hand_details", _details, f"{HANDS} {RESULTS} {CARDS}", """
 , entries as (select game_id, hand_number, card_type, position, card, count(*) as n from fx_revealed_cards
               group by all),
@@ -80,10 +76,8 @@ select h.game_id, h.hand_number, h.block_height, h.deck_seed, h.deck, h.tx_hash,
 from fx_poker_hands h
 left join fx_hand_results o on o.game_id = h.game_id and o.hand_number = h.hand_number
 left join shown s on s.game_id = h.game_id and s.hand_number = h.hand_number"""),
-    over("hand_cards", _one_hand, CARDS, """
-, fullest as (select game_id, hand_number from fx_revealed_cards group by game_id, hand_number
-              order by count(*) desc, game_id, hand_number limit 1)
-select card, card_type, position from fx_revealed_cards join fullest using (game_id, hand_number)"""),
+    over("hand_cards", lambda cards: k.hand_cards(cards, "g7", 104), CARDS, """
+select card, card_type, position from fx_revealed_cards where game_id = 'g7' and hand_number = 104"""),
     over("total_hands_summary", k.totals, f"{HANDS} {RESULTS} {CARDS}", """
 select count(*) as total_hands_started, (select count(*) from fx_hand_results) as total_hands_completed,
        (select count(*) from fx_revealed_cards) as total_cards_revealed, count(distinct game_id) as unique_games,
@@ -107,7 +101,9 @@ select wanted.height as missing_block
 from (select unnest(range((select min(height) from fx_chain_events),
                           (select max(height) + 1 from fx_chain_events))) as height) wanted
 where wanted.height not in (select height from fx_chain_events)"""),
-    over("insert_if_absent", _absent, HANDS, "select * from fx_poker_hands"),
-    over("randomness_document", lambda hands, results, cards: r.randomness_document(
-        hands, _with_lists(results), cards, 0.05), f"{HANDS} {RESULTS} {CARDS}", None),
+    over("insert_if_absent", _absent, f"{HANDS} {RESULTS}", """
+select game_id, hand_number, block_height, tx_hash from fx_hand_results
+union all
+select game_id, hand_number, block_height, tx_hash from fx_poker_hands h
+where not exists (select 1 from fx_hand_results o where o.game_id = h.game_id and o.hand_number = h.hand_number)"""),
 ]

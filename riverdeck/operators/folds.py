@@ -113,4 +113,5 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     rest = [c for c in incoming.columns if c not in keys]
     first = (incoming.groupBy(*keys)
              .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*"))
-    return existing.unionByName(first.join(existing.select(*keys).distinct(), keys, "left_anti").select(*existing.columns))
+    new = first.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return existing.unionByName(new.select(*existing.columns))

@@ -170,7 +170,8 @@ def randomness_report(cards: DataFrame, hands: DataFrame, min_cards: int = c.MIN
 def randomness_document(hands: DataFrame, results: DataFrame, cards: DataFrame,
                         threshold: float = 1.0) -> DataFrame:
     """One JSON document: summary, the three tests, outlier cards, number of repeated seeds."""
-    summary = stats_summary(hands, results, cards)
+    summary = stats_summary(hands, results, cards).withColumns(
+        {stamp: F.col(stamp).cast("string") for stamp in ("first_indexed_at", "last_indexed_at")})
     off = outliers(cards, threshold).agg(  # at most 52 cards
         F.sort_array(F.collect_list(F.struct(
             "card", "rank", "suit", "total_appearances", "expected_percentage", "actual_percentage",

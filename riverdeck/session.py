@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +33,35 @@ def build_session(app: str = "riverdeck", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary folder only when Spark runs locally."""
     sc = spark.sparkContext
-    root = sc.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="riverdeck-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="riverdeck-"))
+        root = sc.getCheckpointDir()
+    return root.rstrip("/")
+
+
+_scope: ContextVar[str | None] = ContextVar("riverdeck_scratch", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the scratch folder, inside the current scope if there is one."""
+    return f"{_scope.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch data made inside the block is removed at its end: finish all actions on frames
+    built inside before leaving it."""
+    path = scratch_path(spark, "scope")
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pinned(df: DataFrame, name: str = "pinned") -> DataFrame:

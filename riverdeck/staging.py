@@ -135,10 +135,10 @@ def landed_parquet(spark: SparkSession, sf_dir: str, name: str, position: str, f
 
 
 def replayed_events(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
-    """The chain events as parquet files, followed by one that repeats every third block."""
+    """The chain events as parquet files, followed by one that repeats them all."""
     def write(path: str) -> None:
         events = view(spark, sf_dir, "fx_events")
         _write_in_order(events, F.col("height"), lambda w: w.parquet(path), files)
-        events.filter(F.col("height") % 3 == 0).coalesce(1).write.mode("append").parquet(path)
+        events.coalesce(1).write.mode("append").parquet(path)
 
     return _staged_once(spark, sf_dir, "replayed", write)

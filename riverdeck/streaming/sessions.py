@@ -15,6 +15,7 @@ from pyspark.sql.types import IntegerType, StructType
 from riverdeck.operators.events import session_events
 from riverdeck.operators.folds import fold_sessions
 from riverdeck.schemas import SESSIONS
+from riverdeck.session import scratch_scope
 from riverdeck.streaming import logs
 
 _LOGGED = StructType([*SESSIONS.fields]).add("still_open", IntegerType())
@@ -34,8 +35,9 @@ def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict |
         if batch_id > 0:
             carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
             moves = moves.unionByName(_reopened(carried))
-        folded = fold_sessions(moves).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
-        logs.write_batch(folded, out, "sessions", batch_id, "still_open")
+        with scratch_scope(spark):
+            folded = fold_sessions(moves).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
+            logs.write_batch(folded, out, "sessions", batch_id, "still_open")
         logs.commit(spark, out, batch_id)
 
     return logs.start(events.writeStream, each_batch, checkpoint, trigger)

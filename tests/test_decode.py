@@ -83,10 +83,10 @@ def test_forced_encodings(spark, tmp_path):
         blocks.block_events(spark, path, "hex")
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, database=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.tuples(
     st.sampled_from(["game_id", "player", "action", "amount", "deck", "deck_seed"]),
-    st.text(max_size=8).filter(lambda s: "\x00" not in s and s.isprintable())), min_size=1, max_size=5),
+    st.text(st.characters(categories=("L", "N", "P", "S", "Zs")), max_size=8)), min_size=1, max_size=5),
     min_size=1, max_size=6))
 def test_both_encodings_decode_alike(spark, tmp_path_factory, lists):
     # An event must carry a key that settles the question; "game_id" always does.
@@ -152,7 +152,8 @@ def test_headers_states_and_status(spark, tmp_path):
     assert [tuple(r) for r in blocks.headers(spark, heads).collect()] == [(3, "AB")]
     states = write("states", [
         {"game_id": "g", "as_of_block": 4, "game_state": None},
-        {"game_id": "g", "as_of_block": 5, "game_state": {"handNumber": 2, "round": "flop", "deck": "d", "winners": []}}])
+        {"game_id": "g", "as_of_block": 5,
+         "game_state": {"handNumber": 2, "round": "flop", "deck": "d", "winners": []}}])
     assert [(r.as_of_block, r.hand_number, r.winners) for r in blocks.game_states(spark, states).collect()] == [
         (5, 2, [])]
     status = write("status", [{"result": {"sync_info": {"latest_block_height": h}}} for h in ("7", "12", "x")])

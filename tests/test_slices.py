@@ -1,5 +1,6 @@
 """Ordered plans that must not depend on how a key is spread over slices."""
 
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riverdeck.plans import slices
 from riverdeck.plans.slices import global_rank, hot_keys, nearest
+from riverdeck.session import pinned, scratch_root, scratch_scope
 
 
 @pytest.fixture(params=["hot keys sliced", "plain"], autouse=True)
@@ -72,3 +74,14 @@ def test_empty_input(spark):
     none = spark.createDataFrame([], "k string, at int, v int")
     assert nearest(none, ["k"], ["at"], "v", "found").count() == 0
     assert global_rank(none, "at", ["k"]).count() == 0
+
+
+def test_scope_removes_its_scratch_data(spark):
+    with scratch_scope(spark) as path:
+        kept = pinned(spark.range(3))
+        assert kept.count() == 3 and os.path.isdir(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_scratch_folder_is_the_one_the_session_names(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -70,8 +70,8 @@ def test_ingest_resumes_and_reports_progress(spark, tmp_path):
     landing.mkdir()
 
     def put(name, heights):
-        documents = [block(h, [{"events": [event("action_performed", [("game_id", "g"), ("player", "p")], h % 2 == 1)]}])
-                     for h in heights]
+        pairs = [("game_id", "g"), ("player", "p")]
+        documents = [block(h, [{"events": [event("action_performed", pairs, h % 2 == 1)]}]) for h in heights]
         (landing / name).write_text("\n".join(json.dumps(d) for d in documents))
 
     put("a.json", [*range(1, 121), 7])
