@@ -69,7 +69,8 @@ SESSIONS = _record(
     player_address=STRING, game_id=STRING, join_block=LONG, join_seq=INT, leave_block=LONG,
     buy_in_amount=LONG, cash_out_amount=LONG)
 
-# Stored state of the streaming folds.
+# Stored state of the streams.
+HEIGHTS = _record(height=LONG)
 _ARRIVAL = _record(height=LONG, event_seq=INT)
 HAND_PARTIALS = _record(
     game_id=STRING, hand_number=INT, first_at=_ARRIVAL, block_height=LONG, last_at=_ARRIVAL,

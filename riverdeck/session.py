@@ -60,8 +60,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _scope.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library wrote, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pinned(df: DataFrame, name: str = "pinned") -> DataFrame:

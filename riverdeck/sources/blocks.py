@@ -28,6 +28,12 @@ def raw_events(documents: DataFrame) -> DataFrame:
                     F.col("event.attributes").alias("attributes")))
 
 
+def scanned_heights(documents: DataFrame) -> DataFrame:
+    """Heights of the readable block-result documents, blocks without events included."""
+    return (documents.select(F.col("result.height").try_cast("bigint").alias("height"))
+            .filter(F.col("height").isNotNull()).distinct())
+
+
 def decode(events: DataFrame, encoding: str = "auto") -> DataFrame:
     """Raw events -> (height, event_seq, type, attrs)."""
     return events.select("height", "event_seq", "type", decode_attrs(F.col("attributes"), encoding).alias("attrs"))

@@ -1,4 +1,4 @@
-"""Landing folder -> event log, with a progress row per batch."""
+"""Landing folder -> event log, scanned heights, and a progress row per batch."""
 
 from __future__ import annotations
 
@@ -9,34 +9,56 @@ from pyspark.sql.streaming import StreamingQuery
 from riverdeck import schemas
 from riverdeck.operators.events import dedupe_events
 from riverdeck.operators.folds import progress
-from riverdeck.sources.blocks import decode, flatten, raw_events
+from riverdeck.sources.blocks import decode, flatten, raw_events, scanned_heights
 from riverdeck.streaming import logs
 
 PROGRESS = schemas.TABLES["indexing_progress"]
 
 
+def read_documents(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
+    """Block-result documents of a landing folder, as a stream in the order files arrive."""
+    return (spark.readStream.schema(schemas.BLOCK_RESULTS)
+            .option("maxFilesPerTrigger", files_per_batch).json(landing))
+
+
 def read_blocks(spark: SparkSession, landing: str, encoding: str = "auto", files_per_batch: int = 1000) -> DataFrame:
-    """Decoded events of a landing folder, as a stream in the order files arrive."""
-    documents = (spark.readStream.schema(schemas.BLOCK_RESULTS)
-                 .option("maxFilesPerTrigger", files_per_batch).json(landing))
-    return flatten(decode(raw_events(documents), encoding))
+    """Their decoded events, as a stream."""
+    return flatten(decode(raw_events(read_documents(spark, landing, files_per_batch)), encoding))
+
+
+def _landed_before(scanned: DataFrame, out: str, batch_id: int) -> DataFrame | None:
+    """Heights of this batch's span that earlier batches landed, or None: blocks arrive in
+    order, so usually there are none and file statistics tell."""
+    lo, hi = scanned.agg(F.min("height"), F.max("height")).first()
+    if batch_id == 0 or lo is None:
+        return None
+    known = (logs.read_log(scanned.sparkSession, out, "heights", schemas.HEIGHTS)
+             .filter((F.col(logs.BATCH) < batch_id) & F.col("height").between(lo, hi))
+             .select("height").distinct())
+    return None if known.isEmpty() else known
 
 
 def start_ingest(spark: SparkSession, landing: str, out: str, checkpoint: str, trigger: dict | None = None,
                  start_block: int = 1, encoding: str = "auto", files_per_batch: int = 1000) -> StreamingQuery:
     """Land decoded events under `out`. Spark's checkpoint remembers what was read, so a restart
-    goes on where the last run stopped and rescans nothing.
+    goes on where the last run stopped and rescans nothing; a block that is landed again, in the
+    same batch or a later one, is dropped.
 
     Default trigger: take what has landed, then stop; {"processingTime": "60 seconds"} polls."""
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        logs.write_batch(dedupe_events(batch), out, "events", batch_id, "type")
-        written = logs.read_batch(session, out, "events", batch_id, schemas.EVENTS)
-        logs.write_batch(progress(written, start_block), out, "progress", batch_id)
+    def each_batch(documents: DataFrame, batch_id: int) -> None:
+        session = documents.sparkSession
+        logs.write_batch(scanned_heights(documents), out, "heights", batch_id)
+        scanned = logs.read_batch(session, out, "heights", batch_id, schemas.HEIGHTS)
+        events = dedupe_events(flatten(decode(raw_events(documents), encoding)))
+        known = _landed_before(scanned, out, batch_id)
+        if known is not None:
+            events = events.join(known, "height", "left_anti").select(*schemas.EVENTS.names)
+        logs.write_batch(events, out, "events", batch_id, "type")
+        logs.write_batch(progress(scanned, start_block), out, "progress", batch_id)
         logs.commit(session, out, batch_id)
 
-    events = read_blocks(spark, landing, encoding, files_per_batch)
-    return logs.start(events.writeStream, each_batch, checkpoint, trigger)
+    return logs.start(
+        read_documents(spark, landing, files_per_batch).writeStream, each_batch, checkpoint, trigger)
 
 
 def landed_events(spark: SparkSession, out: str) -> DataFrame:
@@ -44,6 +66,11 @@ def landed_events(spark: SparkSession, out: str) -> DataFrame:
     return logs.read_log(spark, out, "events", schemas.EVENTS).drop(logs.BATCH)
 
 
+def landed_heights(spark: SparkSession, out: str) -> DataFrame:
+    """Every block scanned, as often as it was; for `resume_point` and `scan_gaps`."""
+    return logs.read_log(spark, out, "heights", schemas.HEIGHTS).drop(logs.BATCH)
+
+
 def landed_progress(spark: SparkSession, out: str) -> DataFrame:
     """One row: the furthest progress any batch reported."""
     return logs.read_log(spark, out, "progress", PROGRESS).agg(
@@ -51,7 +78,10 @@ def landed_progress(spark: SparkSession, out: str) -> DataFrame:
         F.max("total_blocks_scanned").alias("total_blocks_scanned"))
 
 
-def rates(query: StreamingQuery) -> list[dict]:
-    """Blocks documents per second of the recent batches, as Spark measured them."""
-    return [{"batch_id": p["batchId"], "documents": p["numInputRows"],
-             "documents_per_second": p.get("processedRowsPerSecond", 0.0)} for p in query.recentProgress]
+def rates(query: StreamingQuery, spark: SparkSession, out: str) -> list[dict]:
+    """Blocks and blocks per second of the stream's recent batches."""
+    seconds = {p["batchId"]: p["durationMs"]["triggerExecution"] / 1000 for p in query.recentProgress}
+    scanned = logs.read_log(spark, out, "heights", schemas.HEIGHTS)
+    blocks = scanned.filter(F.col(logs.BATCH).isin(*seconds)).groupBy(logs.BATCH).count().collect()
+    return [{"batch_id": batch, "blocks": n, "blocks_per_second": n / max(seconds[batch], 0.001)}
+            for batch, n in sorted(map(tuple, blocks))]

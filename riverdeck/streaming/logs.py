@@ -10,10 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import LongType, StructType
+
+from riverdeck.session import remove
 
 BATCH = "batch_id"
+_KEPT = 10
 _COMMITS = StructType().add("rows_from", LongType())
 
 
@@ -28,10 +31,11 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int, schema:
 def commit(spark: SparkSession, root: str, batch_id: int) -> None:
     one = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("rows_from"))
     one.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{BATCH}={batch_id}")
+    remove(spark, f"{root}/commits/{BATCH}={batch_id - _KEPT}")  # only the newest says anything
 
 
 def last_commit(spark: SparkSession, root: str) -> int | None:
-    """The newest committed batch: one number, read from one small row per batch."""
+    """The newest committed batch: one number, read from the last few commit rows."""
     commits = spark.read.schema(_COMMITS).parquet(f"{root}/commits")
     return commits.agg(F.max("rows_from")).first()[0]
 

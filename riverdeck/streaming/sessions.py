@@ -15,7 +15,7 @@ from pyspark.sql.types import IntegerType, StructType
 from riverdeck.operators.events import session_events
 from riverdeck.operators.folds import fold_sessions
 from riverdeck.schemas import SESSIONS
-from riverdeck.session import scratch_scope
+from riverdeck.session import pinned, scratch_scope
 from riverdeck.streaming import logs
 
 _LOGGED = StructType([*SESSIONS.fields]).add("still_open", IntegerType())
@@ -36,7 +36,8 @@ def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict |
             carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
             moves = moves.unionByName(_reopened(carried))
         with scratch_scope(spark):
-            folded = fold_sessions(moves).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
+            # pinned: the fold reads its input more than once, and decoding is the dear part
+            folded = fold_sessions(pinned(moves)).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
             logs.write_batch(folded, out, "sessions", batch_id, "still_open")
         logs.commit(spark, out, batch_id)
 

@@ -4,12 +4,13 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from test_decode import block, event, events_frame
 from test_folds import chain, replay_hands, replay_sessions, sessions_of
 
 from riverdeck import schemas
 from riverdeck.operators.events import dedupe_events
+from riverdeck.operators.lookup import scan_gaps
 from riverdeck.streaming import counters, hands, ingest, logs, sessions
-from test_decode import block, event, events_frame
 
 
 def land(spark, folder, rows):
@@ -65,25 +66,47 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path):
     assert [tuple(r) for r in logs.read_log(spark, out, "x", rows.schema).collect()] == [("k", 1, 0)]
 
 
-def test_ingest_resumes_and_reports_progress(spark, tmp_path):
-    landing, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
-    landing.mkdir()
+def put_blocks(landing, name, heights, with_events=True):
+    landing.mkdir(exist_ok=True)
+    pairs = [("game_id", "g"), ("player", "p")]
+    documents = [block(h, [{"events": [event("action_performed", pairs, h % 2 == 1)] * (2 if with_events else 0)}])
+                 for h in heights]
+    (landing / name).write_text("\n".join(json.dumps(d) for d in documents))
 
-    def put(name, heights):
-        pairs = [("game_id", "g"), ("player", "p")]
-        documents = [block(h, [{"events": [event("action_performed", pairs, h % 2 == 1)]}]) for h in heights]
-        (landing / name).write_text("\n".join(json.dumps(d) for d in documents))
 
-    put("a.json", [*range(1, 121), 7])
+def test_ingest_resumes_and_reports_progress(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    put_blocks(landing, "a.json", [*range(1, 121), 7])
     ingest.start_ingest(spark, str(landing), out, checkpoint).awaitTermination()
-    assert ingest.landed_events(spark, out).count() == 120
+    assert ingest.landed_events(spark, out).count() == 240
     assert tuple(ingest.landed_progress(spark, out).first()) == (100, 100)
-    put("b.json", range(121, 251))
+    put_blocks(landing, "b.json", range(121, 251))
     query = ingest.start_ingest(spark, str(landing), out, checkpoint)
     query.awaitTermination()
-    assert ingest.landed_events(spark, out).agg(F.countDistinct("height"), F.count("*")).first() == (250, 250)
+    assert ingest.landed_events(spark, out).agg(F.countDistinct("height"), F.count("*")).first() == (250, 500)
     assert tuple(ingest.landed_progress(spark, out).first()) == (200, 200)
-    assert sum(r["documents"] for r in ingest.rates(query)) == 130
+    rates = ingest.rates(query, spark, out)
+    assert [(r["batch_id"], r["blocks"]) for r in rates] == [(1, 130)] and rates[0]["blocks_per_second"] > 0
+
+
+def test_ingest_drops_replays_of_earlier_batches_and_takes_late_blocks(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    for name, heights in (("a.json", [1, 2, 4]), ("b.json", [2, 3, 4, 5]), ("c.json", [1, 2]), ("d.json", [9])):
+        put_blocks(landing, name, heights)
+        ingest.start_ingest(spark, str(landing), out, checkpoint).awaitTermination()
+    found = ingest.landed_events(spark, out).select("height", "event_seq").collect()
+    assert sorted(map(tuple, found)) == [(h, s) for h in (1, 2, 3, 4, 5, 9) for s in (0, 1)]
+    gaps = scan_gaps(ingest.landed_heights(spark, out)).collect()
+    assert sorted(r.missing_block for r in gaps) == [6, 7, 8]
+
+
+def test_blocks_without_events_count_as_scanned(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    put_blocks(landing, "a.json", range(150, 231), with_events=False)
+    ingest.start_ingest(spark, str(landing), out, str(tmp_path / "c"), start_block=150).awaitTermination()
+    assert ingest.landed_events(spark, out).count() == 0
+    assert tuple(ingest.landed_progress(spark, out).first()) == (200, 51)
+    assert scan_gaps(ingest.landed_heights(spark, out)).count() == 0
 
 
 def test_counters_equal_batch_after_restart(spark, tmp_path):
