@@ -1,5 +1,5 @@
-"""Streaming queries: each runs its stream over landed files in several micro-batches, to the
-end, and returns the final state. They must equal the batch results."""
+"""Streaming queries: tables land portion by portion, the stream takes up each portion where
+it left off, and the final state is returned. It must equal the batch result."""
 
 from __future__ import annotations
 
@@ -10,61 +10,66 @@ from riverdeck.catalog.hands import PROGRESS
 from riverdeck.fixtures import view, with_views
 from riverdeck.operators.events import dedupe_events
 from riverdeck.schemas import EVENTS as EVENT_SCHEMA
-from riverdeck.session import scratch_path
+from riverdeck.session import scratch_path, slice_count
 from riverdeck.streaming import counters, hands, ingest, logs, sessions
 
-
-def _folders(spark, name):
-    root = scratch_path(spark, name)
-    return f"{root}/out", f"{root}/checkpoint"
+BATCHES = 4
 
 
 def _ingested(spark, sf_dir):
-    out, checkpoint = _folders(spark, "ingest")
+    root = scratch_path(spark, "ingest")
+    per_batch = max(1, slice_count(spark) // BATCHES)
     ingest.start_ingest(
-        spark, staging.landed_blocks(spark, sf_dir), out, checkpoint, files_per_batch=2).awaitTermination()
-    return out
+        spark, staging.landed_blocks(spark, sf_dir), f"{root}/out", f"{root}/checkpoint",
+        files_per_batch=per_batch).awaitTermination()
+    return f"{root}/out"
 
 
-def _tail(spark, sf_dir, name, position):
-    """A fixture view as a stream of landed files, one per micro-batch."""
-    path = staging.landed_parquet(spark, sf_dir, name, position)
-    schema = view(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _taken_up(frames, spark, name, start):
+    """Land each frame and run the stream `start(stream, out, checkpoint)` until it has taken
+    it up; gives the output folder."""
+    root = scratch_path(spark, name)
+    for frame in frames:
+        frame.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(frame.schema).parquet(f"{root}/landing")
+        start(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
 
 
 def _counted(aggregate, name, key):
     def run(spark, sf_dir):
-        out, checkpoint = _folders(spark, name)
-        counts = aggregate(_tail(spark, sf_dir, name, "block_height"))
-        counters.start_counters(counts, out, checkpoint).awaitTermination()
-        return counters.current_counts(spark, out, counts.schema, key)
+        table = view(spark, sf_dir, name)
+        out = _taken_up(
+            staging.portions(table, "block_height"), spark, name,
+            lambda stream, out, checkpoint: counters.start_counters(aggregate(stream), out, checkpoint))
+        return counters.current_counts(spark, out, aggregate(table).schema, key)
 
     return run
 
 
 def _hands(spark, sf_dir):
-    out, checkpoint = _folders(spark, "hands")
-    hands.start_hands(_tail(spark, sf_dir, "fx_events", "height"), out, checkpoint).awaitTermination()
-    return hands.current_hands(spark, out)
+    events = view(spark, sf_dir, "fx_events")
+    return hands.current_hands(
+        spark, _taken_up(staging.portions(events, "height"), spark, "hands", hands.start_hands))
 
 
 def _sessions(spark, sf_dir):
-    out, checkpoint = _folders(spark, "sessions")
-    sessions.start_sessions(_tail(spark, sf_dir, "fx_events", "height"), out, checkpoint).awaitTermination()
+    events = view(spark, sf_dir, "fx_events")
+    out = _taken_up(staging.portions(events, "height"), spark, "sessions", sessions.start_sessions)
     return sessions.current_sessions(spark, out).drop("join_seq")
 
 
 def _deduped(spark, sf_dir):
-    out, checkpoint = _folders(spark, "deduped")
-    path = staging.replayed_events(spark, sf_dir)
-    events = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    """The chain events land twice; each is kept once."""
+    def start(stream, out, checkpoint):
+        def each_batch(batch, batch_id):
+            logs.write_batch(batch, out, "events", batch_id)
+            logs.commit(batch.sparkSession, out, batch_id)
 
-    def each_batch(batch, batch_id):
-        logs.write_batch(batch, out, "events", batch_id)
-        logs.commit(batch.sparkSession, out, batch_id)
+        return logs.start(dedupe_events(stream).writeStream, each_batch, checkpoint, None)
 
-    logs.start(dedupe_events(events).writeStream, each_batch, checkpoint, None).awaitTermination()
+    events = view(spark, sf_dir, "fx_events")
+    out = _taken_up([events, events], spark, "deduped", start)
     return logs.read_log(spark, out, "events", EVENT_SCHEMA).drop(logs.BATCH)
 
 

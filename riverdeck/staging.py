@@ -5,12 +5,14 @@ Written once per session and data folder, under the shared scratch folder.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverdeck.constants import ATTRIBUTES
 from riverdeck.fixtures import view
-from riverdeck.session import scratch_path
+from riverdeck.session import scratch_path, slice_count
 
 _staged: dict[tuple[str, str, str], str] = {}
 
@@ -61,20 +63,19 @@ def block_documents(events: DataFrame) -> DataFrame:
     ).alias("result"))
 
 
-def _write_in_order(df: DataFrame, position: Column, write, files: int) -> None:
-    """Write `files` files one after the other, each a later range of `position`: streaming
-    readers take files by age."""
+def portions(df: DataFrame, position: str, count: int = 3) -> Iterator[DataFrame]:
+    """`df` in `count` consecutive ranges of `position`, as it would land over time."""
     lo, hi = df.agg(F.min(position), F.max(position)).first()
-    width = (hi - lo) // files + 1
+    width = (hi - lo) // count + 1
     for low in range(lo, hi + 1, width):
-        write(df.filter(position.between(low, low + width - 1)).coalesce(1).write.mode("append"))
+        yield df.filter(F.col(position).between(low, low + width - 1))
 
 
-def landed_blocks(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
-    """Block-result documents in several files, in height order."""
+def landed_blocks(spark: SparkSession, sf_dir: str) -> str:
+    """Block-result documents, one file per slice of the chain."""
     def write(path: str) -> None:
         documents = block_documents(view(spark, sf_dir, "fx_events"))
-        _write_in_order(documents, F.col("result.height").cast("bigint"), lambda w: w.json(path), files)
+        documents.repartitionByRange(slice_count(spark), F.col("result.height").cast("bigint")).write.json(path)
 
     return _staged_once(spark, sf_dir, "blocks", write)
 
@@ -124,21 +125,3 @@ def landed_states(spark: SparkSession, sf_dir: str) -> str:
         states.unionByName(empty).write.json(path)
 
     return _staged_once(spark, sf_dir, "states", write)
-
-
-def landed_parquet(spark: SparkSession, sf_dir: str, name: str, position: str, files: int = 4) -> str:
-    """A fixture view as parquet files in order of `position`, for the streaming readers."""
-    def write(path: str) -> None:
-        _write_in_order(view(spark, sf_dir, name), F.col(position), lambda w: w.parquet(path), files)
-
-    return _staged_once(spark, sf_dir, name, write)
-
-
-def replayed_events(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
-    """The chain events as parquet files, followed by one that repeats them all."""
-    def write(path: str) -> None:
-        events = view(spark, sf_dir, "fx_events")
-        _write_in_order(events, F.col("height"), lambda w: w.parquet(path), files)
-        events.coalesce(1).write.mode("append").parquet(path)
-
-    return _staged_once(spark, sf_dir, "replayed", write)
