@@ -31,12 +31,12 @@ def vip_points(rake: Column) -> Column:
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """vip_tier, rakeback_pct and vip_points for use inside SQL text."""
+    """The same rules under their published SQL names."""
     by_rake = " ".join(f"WHEN rake >= {least} THEN '{name}'" for name, least, _ in TIERS[:-1])
     by_tier = " ".join(f"WHEN '{name}' THEN {pct}" for name, _, pct in TIERS[:-1])
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION vip_tier(rake BIGINT) RETURNS STRING "
-              f"RETURN CASE {by_rake} ELSE '{LOWEST_TIER}' END")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION rakeback_pct(tier STRING) RETURNS INT "
-              f"RETURN CASE tier {by_tier} ELSE 0 END")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION vip_points(rake BIGINT) RETURNS BIGINT "
-              f"RETURN rake div {RAKE_PER_POINT}")
+    for signature, returned, body in (
+        ("get_vip_tier(rake BIGINT)", "STRING", f"CASE {by_rake} ELSE '{LOWEST_TIER}' END"),
+        ("get_rakeback_percentage(tier STRING)", "INT", f"CASE tier {by_tier} ELSE 0 END"),
+        ("calculate_vip_points(rake BIGINT)", "BIGINT", f"rake div {RAKE_PER_POINT}"),
+    ):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {returned} RETURN {body}")

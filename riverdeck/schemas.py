@@ -70,7 +70,7 @@ SESSIONS = _record(
     buy_in_amount=LONG, cash_out_amount=LONG)
 
 # Stored state of the streams.
-HEIGHTS = _record(height=LONG)
+HEIGHTS = _record(height=LONG, copies=LONG)
 _ARRIVAL = _record(height=LONG, event_seq=INT)
 HAND_PARTIALS = _record(
     game_id=STRING, hand_number=INT, first_at=_ARRIVAL, block_height=LONG, last_at=_ARRIVAL,

@@ -29,9 +29,10 @@ def raw_events(documents: DataFrame) -> DataFrame:
 
 
 def scanned_heights(documents: DataFrame) -> DataFrame:
-    """Heights of the readable block-result documents, blocks without events included."""
+    """Heights of the readable block-result documents, blocks without events included, and how
+    many documents each has."""
     return (documents.select(F.col("result.height").try_cast("bigint").alias("height"))
-            .filter(F.col("height").isNotNull()).distinct())
+            .filter(F.col("height").isNotNull()).groupBy("height").agg(F.count("*").alias("copies")))
 
 
 def decode(events: DataFrame, encoding: str = "auto") -> DataFrame:

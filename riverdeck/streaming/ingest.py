@@ -26,16 +26,21 @@ def read_blocks(spark: SparkSession, landing: str, encoding: str = "auto", files
     return flatten(decode(raw_events(read_documents(spark, landing, files_per_batch)), encoding))
 
 
-def _landed_before(scanned: DataFrame, out: str, batch_id: int) -> DataFrame | None:
-    """Heights of this batch's span that earlier batches landed, or None: blocks arrive in
-    order, so usually there are none and file statistics tell."""
-    lo, hi = scanned.agg(F.min("height"), F.max("height")).first()
-    if batch_id == 0 or lo is None:
-        return None
-    known = (logs.read_log(scanned.sparkSession, out, "heights", schemas.HEIGHTS)
-             .filter((F.col(logs.BATCH) < batch_id) & F.col("height").between(lo, hi))
-             .select("height").distinct())
-    return None if known.isEmpty() else known
+def _without_replays(events: DataFrame, scanned: DataFrame, out: str, batch_id: int) -> DataFrame:
+    """`events` less blocks landed before. Blocks arrive once and in order, so three numbers
+    about the batch usually show that there is nothing to drop, and nothing is shuffled."""
+    lo, hi, copies = scanned.agg(F.min("height"), F.max("height"), F.max("copies")).first()
+    if lo is None:
+        return events
+    if copies > 1:
+        events = dedupe_events(events)
+    if batch_id > 0:
+        known = (logs.read_log(events.sparkSession, out, "heights", schemas.HEIGHTS)
+                 .filter((F.col(logs.BATCH) < batch_id) & F.col("height").between(lo, hi))
+                 .select("height").distinct())
+        if not known.isEmpty():
+            events = events.join(known, "height", "left_anti")
+    return events.select(*schemas.EVENTS.names)
 
 
 def start_ingest(spark: SparkSession, landing: str, out: str, checkpoint: str, trigger: dict | None = None,
@@ -49,10 +54,8 @@ def start_ingest(spark: SparkSession, landing: str, out: str, checkpoint: str, t
         session = documents.sparkSession
         logs.write_batch(scanned_heights(documents), out, "heights", batch_id)
         scanned = logs.read_batch(session, out, "heights", batch_id, schemas.HEIGHTS)
-        events = dedupe_events(flatten(decode(raw_events(documents), encoding)))
-        known = _landed_before(scanned, out, batch_id)
-        if known is not None:
-            events = events.join(known, "height", "left_anti").select(*schemas.EVENTS.names)
+        events = flatten(decode(raw_events(documents), encoding))
+        events = _without_replays(events, scanned, out, batch_id)
         logs.write_batch(events, out, "events", batch_id, "type")
         logs.write_batch(progress(scanned, start_block), out, "progress", batch_id)
         logs.commit(session, out, batch_id)
@@ -68,7 +71,7 @@ def landed_events(spark: SparkSession, out: str) -> DataFrame:
 
 def landed_heights(spark: SparkSession, out: str) -> DataFrame:
     """Every block scanned, as often as it was; for `resume_point` and `scan_gaps`."""
-    return logs.read_log(spark, out, "heights", schemas.HEIGHTS).drop(logs.BATCH)
+    return logs.read_log(spark, out, "heights", schemas.HEIGHTS).select("height")
 
 
 def landed_progress(spark: SparkSession, out: str) -> DataFrame:

@@ -8,7 +8,7 @@ from test_decode import events_frame
 
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
-from riverdeck.operators.states import legacy_hands
+from riverdeck.operators.states import legacy_hands, showdowns
 from riverdeck.plans import slices
 
 
@@ -153,6 +153,39 @@ def test_legacy_hands_equal_replay(spark, hot_rows, seed):
     assert found == replay_legacy(rows, states, lambda h: f"H{h}")
 
 
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_showdowns_equal_replay(spark, hot_rows, dedupe):
+    rng = random.Random(5)
+    asked = [dict(height=h, event_seq=s, type="action_performed", game_id=f"g{rng.randint(0, 1)}",
+                  action=rng.choice(["show", "muck", "fold", "bet"])) for h in range(1, 40) for s in range(3)]
+    hands = [["Ah", ""], [], None, ["2c"]]
+    snapshots = [(f"g{g}", h, rng.randint(0, 4), rng.choice(["showdown", "river"]),
+                  rng.choice([["Kd", "", "Ts"], [], None]), [(f"p{i}", rng.choice(hands)) for i in range(2)],
+                  [("p0", "1")] * rng.randint(0, 2)) for g in (0, 1) for h in range(2, 40, 5)]
+    states = spark.createDataFrame(
+        snapshots, "game_id string, as_of_block bigint, hand_number int, round string, community array<string>, "
+                   "players array<struct<address:string,holeCards:array<string>>>, "
+                   "winners array<struct<address:string,amount:string>>")
+    rows = []
+    for r in asked:
+        known = [s for s in snapshots if s[0] == r["game_id"] and s[1] <= r["height"]]
+        if r["action"] == "bet" or not known:
+            continue
+        _, _, number, stage, community, players, winners = max(known, key=lambda s: s[1])
+        if stage == "showdown" and winners:
+            held = [card for _, cards in players for card in cards or []]
+            for kind, cards in (("community", community or []), ("hole", held)):
+                rows += [(r["game_id"], number, r["height"], card, kind, i, len(winners))
+                         for i, card in enumerate(cards) if card]
+    if dedupe:
+        first = {}
+        for row in rows:  # heights only grow
+            first.setdefault((row[0], row[1], *row[3:6]), row)
+        rows = list(first.values())
+    found = showdowns(events_frame(spark, asked), states, dedupe)
+    assert rows and sorted(map(tuple, found.collect())) == sorted(rows)
+
+
 def test_progress_counts_from_the_start_block(spark):
     heights = spark.createDataFrame([(h,) for h in range(150, 431)], "height bigint")
     assert tuple(folds.progress(heights, 150).first()) == (400, 251)

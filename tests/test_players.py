@@ -33,10 +33,10 @@ def test_tier_boundaries_as_columns_and_in_sql(spark):
     assert [tuple(r) for r in frame.select("rake", tier, fn.rakeback_pct(tier)).collect()] == RAKES
     fn.register_sql_functions(spark)
     assert [tuple(r) for r in spark.sql(
-        "select rake, vip_tier(rake), rakeback_pct(vip_tier(rake)) from {f}", f=frame).collect()] == RAKES
+        "select rake, get_vip_tier(rake), get_rakeback_percentage(get_vip_tier(rake)) from {f}", f=frame).collect()] == RAKES
     points = spark.createDataFrame([(9_999,), (10_000,), (25_000,)], "rake bigint")
     assert [r[0] for r in points.select(fn.vip_points(F.col("rake"))).collect()] == [0, 1, 2]
-    assert [r[0] for r in spark.sql("select vip_points(rake) from {f}", f=points).collect()] == [0, 1, 2]
+    assert [r[0] for r in spark.sql("select calculate_vip_points(rake) from {f}", f=points).collect()] == [0, 1, 2]
     unknown = spark.createDataFrame([("wood",), (None,)], "tier string")
     assert [r[0] for r in unknown.select(fn.rakeback_pct(F.col("tier"))).collect()] == [0, 0]
 
@@ -162,6 +162,10 @@ def test_summaries_of_nothing(spark):
     assert k.stats_summary(hands, results, cards).first().block_height_range == "-"
     progress = spark.createDataFrame([], schemas.TABLES["indexing_progress"])
     assert tuple(k.indexing_status(hands, progress).first()) == (0, 0, 0.0, 0, 0, 0, 0)
+    stats = p.player_stats(actions_of(spark, []), sessions_of(spark, []))
+    assert tuple(p.player_summary(stats).first()) == (0, 0, None, None, None, None, 0, 0, 0, 0, 0)
+    assert loyalty.vip_distribution(stats).count() == p.leaderboard(stats, "net_profit").count() == 0
+    assert p.action_distribution(actions_of(spark, [])).count() == 0
 
 
 def test_status_percentages(spark):

@@ -1,0 +1,45 @@
+"""Published names from SQL text."""
+
+import pytest
+
+from riverdeck import schemas, sql
+from riverdeck.fixtures import view
+from riverdeck.sources.tables import read_table, write_table
+
+
+@pytest.fixture(scope="module")
+def registered(spark, sf_dir):
+    cards = [view(spark, sf_dir, v) for v in ("fx_poker_hands", "fx_hand_results", "fx_revealed_cards")]
+    people = [view(spark, sf_dir, v) for v in (
+        "fx_player_actions", "fx_player_sessions", "fx_player_monthly_stats", "fx_player_tier")]
+    sql.register_card_views(spark, *cards)
+    sql.register_player_views(spark, *people)
+    return spark.sql
+
+
+@pytest.mark.parametrize("text, rows", [
+    ("SELECT * FROM calculate_chi_squared()", 1), ("SELECT * FROM suit_chi_squared()", 1),
+    ("SELECT * FROM rank_chi_squared()", 1), ("SELECT * FROM generate_randomness_report()", 5),
+    ("SELECT * FROM card_frequency_analysis ORDER BY deviation_percentage DESC", 52),
+    ("SELECT * FROM card_distribution_stats", 52), ("SELECT * FROM suit_distribution ORDER BY suit", 4),
+    ("SELECT * FROM rank_distribution", 13), ("SELECT * FROM outlier_cards", None),
+    ("SELECT * FROM community_card_sequences LIMIT 20", None), ("SELECT * FROM distribution_over_time", None),
+    ("SELECT * FROM seed_entropy_analysis", None), ("SELECT * FROM seed_character_distribution", 16),
+    ("SELECT * FROM total_hands_summary", 1), ("SELECT * FROM player_summary", 1),
+    ("SELECT * FROM player_profiles WHERE player_address = 'p1'", 1),
+    ("SELECT * FROM leaderboard_profit LIMIT 10", 10), ("SELECT * FROM leaderboard_volume LIMIT 10", 10),
+    ("SELECT * FROM leaderboard_aggression LIMIT 10", 10), ("SELECT * FROM leaderboard_monthly LIMIT 20", 20),
+    ("SELECT * FROM vip_distribution", None),
+    ("SELECT get_vip_tier(500000000), get_rakeback_percentage('gold'), calculate_vip_points(20000)", 1)])
+def test_published_queries_run(registered, text, rows):
+    found = registered(text).collect()
+    assert rows is None or len(found) == rows
+
+
+def test_tables_round_trip(spark, tmp_path):
+    rows = [("g", 1, 5, "Ah", "hole", 0, None), ("g", 1, 4, "Kd", "hole", 1, None)]
+    cards = spark.createDataFrame(rows, schemas.TABLES["revealed_cards"])
+    write_table(cards, str(tmp_path), "revealed_cards", "block_height")
+    assert sorted(read_table(spark, str(tmp_path), "revealed_cards").collect()) == sorted(cards.collect())
+    assert set(sql.register_tables(spark, str(tmp_path), "revealed_cards")) == {"revealed_cards"}
+    assert spark.sql("SELECT count(*) FROM revealed_cards").first()[0] == 2
