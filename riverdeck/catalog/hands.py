@@ -43,14 +43,13 @@ STATUS = PROGRESS + """
 , figures as (select count(*) as hands, count(distinct game_id) as games, min(block_height) as lo
               from fx_poker_hands)
 """
-SUMMARY = """
-select (select count(*) from fx_poker_hands) as total_hands,
-       (select count(*) from fx_hand_results) as total_completed_hands,
-       (select count(*) from fx_revealed_cards) as total_revealed_cards,
-       count(distinct game_id) as unique_games,
-       min(block_height) || '-' || max(block_height) as block_height_range,
-       min(indexed_at) as first_indexed_at, max(indexed_at) as last_indexed_at
-from fx_poker_hands
+FIGURES = """
+, started as (select game_id, count(*) as n, min(block_height) as lo, max(block_height) as hi,
+                     min(indexed_at) as early, max(indexed_at) as late from fx_poker_hands group by game_id),
+  all_started as (select cast(sum(n) as bigint) as hands, count(*) as games, min(lo) as lo, max(hi) as hi,
+                         min(early) as early, max(late) as late from started),
+  finished as (select count(*) as results from fx_hand_results),
+  shown as (select count(*) as cards from fx_revealed_cards)
 """
 
 ENTRIES = [
@@ -78,12 +77,15 @@ left join fx_hand_results o on o.game_id = h.game_id and o.hand_number = h.hand_
 left join shown s on s.game_id = h.game_id and s.hand_number = h.hand_number"""),
     over("hand_cards", lambda cards: k.hand_cards(cards, "g7", 104), CARDS, """
 select card, card_type, position from fx_revealed_cards where game_id = 'g7' and hand_number = 104"""),
-    over("total_hands_summary", k.totals, f"{HANDS} {RESULTS} {CARDS}", """
-select count(*) as total_hands_started, (select count(*) from fx_hand_results) as total_hands_completed,
-       (select count(*) from fx_revealed_cards) as total_cards_revealed, count(distinct game_id) as unique_games,
-       min(block_height) as first_block, max(block_height) as last_block
-from fx_poker_hands"""),
-    over("stats_summary", k.stats_summary, f"{HANDS} {RESULTS} {CARDS}", SUMMARY),
+    over("total_hands_summary", k.totals, f"{HANDS} {RESULTS} {CARDS}", FIGURES + """
+select hands as total_hands_started, results as total_hands_completed, cards as total_cards_revealed,
+       games as unique_games, lo as first_block, hi as last_block
+from all_started cross join finished cross join shown"""),
+    over("stats_summary", k.stats_summary, f"{HANDS} {RESULTS} {CARDS}", FIGURES + """
+select hands as total_hands, results as total_completed_hands, cards as total_revealed_cards,
+       games as unique_games, concat_ws('-', lo, hi) as block_height_range, early as first_indexed_at,
+       late as last_indexed_at
+from all_started cross join finished cross join shown"""),
     over("indexing_status", _status, f"{HANDS} {CHAIN}", STATUS + """
 select cast(0 as bigint) as total_blocks, last as blocks_indexed,
        cast(last as double) / cast(last as double) * 100 as percent_complete, last as last_block_indexed,

@@ -73,15 +73,19 @@ def _expected(categories: int) -> Column:
     return F.round(F.lit(100.0) / F.lit(float(categories)), 4)
 
 
+def frequency_fields(appearances: Column, dealt: Column) -> list[Column]:
+    """A card's share of all cards, the even share, and how far apart they are, in percent."""
+    share = _share(appearances, dealt)
+    even = F.lit(1.0) / F.lit(float(DECK_SIZE))
+    return [F.round(share * 100, 4).alias("actual_percentage"), _expected(DECK_SIZE).alias("expected_percentage"),
+            F.when(dealt > 0, F.round((share - even) * 100, 4)).otherwise(F.lit(0.0)).alias("deviation_percentage")]
+
+
 def card_frequency(cards: DataFrame) -> DataFrame:
     """Per card of the 52: appearances, share of all cards, and how far off an even share it is."""
-    share = _share(F.col("total_appearances"), F.col("total_cards_dealt"))
-    even = F.lit(1.0) / F.lit(float(DECK_SIZE))
     return _dealt(cards).select(
         "card", "rank", "suit", "total_appearances", "total_cards_dealt",
-        F.round(share * 100, 4).alias("actual_percentage"), _expected(DECK_SIZE).alias("expected_percentage"),
-        F.when(F.col("total_cards_dealt") > 0, F.round((share - even) * 100, 4)).otherwise(F.lit(0.0))
-        .alias("deviation_percentage"))
+        *frequency_fields(F.col("total_appearances"), F.col("total_cards_dealt")))
 
 
 def card_lookup(cards: DataFrame, card: str = "") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverdeck.constants import MICRO_UNITS, PAGE_LIMIT
@@ -86,38 +86,44 @@ def sessions_page(sessions: DataFrame, player: str, limit: int = PAGE_LIMIT, off
     return page(rows, [F.desc("join_block"), F.asc("game_id")], limit, offset)
 
 
-def _hand_figures(hands: DataFrame) -> DataFrame:
+def hand_figures(hands: DataFrame) -> DataFrame:
     """One row. Hands shrink to one row per game before the games are counted."""
     per_game = hands.groupBy("game_id").agg(
-        F.count("*").alias("n"), F.min("block_height").alias("lo"), F.max("block_height").alias("hi"))
+        F.count("*").alias("n"), F.min("block_height").alias("lo"), F.max("block_height").alias("hi"),
+        F.min("indexed_at").alias("early"), F.max("indexed_at").alias("late"))
     return per_game.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("hands"), F.count("game_id").alias("games"),
-        F.min("lo").alias("first_block"), F.max("hi").alias("last_block"))
+        F.min("lo").alias("first_block"), F.max("hi").alias("last_block"),
+        F.min("early").alias("first_indexed_at"), F.max("late").alias("last_indexed_at"))
+
+
+def _all_figures(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:
+    return beside(hand_figures(hands), results.agg(F.count("*").alias("results")),
+                  cards.agg(F.count("*").alias("cards")))
 
 
 def totals(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:
     """One row: hands started and completed, cards revealed, games, block span."""
-    return beside(
-        _hand_figures(hands),
-        results.agg(F.count("*").alias("total_hands_completed")),
-        cards.agg(F.count("*").alias("total_cards_revealed")),
-    ).select(F.col("hands").alias("total_hands_started"), "total_hands_completed", "total_cards_revealed",
-             F.col("games").alias("unique_games"), "first_block", "last_block")
-
+    return _all_figures(hands, results, cards).select(
+        F.col("hands").alias("total_hands_started"), F.col("results").alias("total_hands_completed"),
+        F.col("cards").alias("total_cards_revealed"), F.col("games").alias("unique_games"),
+        "first_block", "last_block")
 
-def stats_summary(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:
-    """As `totals`, the span as text, with the first and last ingestion stamps."""
-    stamps = hands.agg(F.min("indexed_at").alias("first_indexed_at"), F.max("indexed_at").alias("last_indexed_at"))
 
-    def shown(name):
+def summary_fields() -> list[Column]:
+    """The summary over a row of figures (hands, results, cards, games, span and stamps)."""
+    def shown(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
-    return beside(totals(hands, results, cards), stamps).select(
-        F.col("total_hands_started").alias("total_hands"),
-        F.col("total_hands_completed").alias("total_completed_hands"),
-        F.col("total_cards_revealed").alias("total_revealed_cards"), "unique_games",
-        F.concat(shown("first_block"), F.lit("-"), shown("last_block")).alias("block_height_range"),
-        "first_indexed_at", "last_indexed_at")
+    return [F.col("hands").alias("total_hands"), F.col("results").alias("total_completed_hands"),
+            F.col("cards").alias("total_revealed_cards"), F.col("games").alias("unique_games"),
+            F.concat(shown("first_block"), F.lit("-"), shown("last_block")).alias("block_height_range"),
+            F.col("first_indexed_at"), F.col("last_indexed_at")]
+
+
+def stats_summary(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:
+    """As `totals`, the span as text, with the first and last ingestion stamps."""
+    return _all_figures(hands, results, cards).select(*summary_fields())
 
 
 def indexing_status(hands: DataFrame, progress: DataFrame, chain_height: int | None = None) -> DataFrame:
@@ -131,7 +137,7 @@ def indexing_status(hands: DataFrame, progress: DataFrame, chain_height: int | N
         percent = last / F.lit(float(chain_height)) * 100
     else:
         percent = F.when(last > 0, F.col("blocks_indexed").cast("double") / last * 100).otherwise(F.lit(0.0))
-    return beside(_hand_figures(hands), done).select(
+    return beside(hand_figures(hands), done).select(
         F.lit(chain_height or 0).cast("bigint").alias("total_blocks"), "blocks_indexed",
         percent.alias("percent_complete"), "last_block_indexed",
         F.coalesce("first_block", F.lit(0)).cast("bigint").alias("first_block_indexed"),

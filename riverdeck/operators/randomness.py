@@ -6,32 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverdeck import constants as c
-from riverdeck.functions.cards import DECK
+from riverdeck.functions.cards import DECK, rank_of, suit_of
 from riverdeck.functions.chisq import chi_squared_tail, uniform_chi_squared
-from riverdeck.operators.distribution import deal, outliers
-from riverdeck.operators.lookup import stats_summary
+from riverdeck.operators.distribution import deal, frequency_fields
+from riverdeck.operators.lookup import hand_figures, summary_fields
 from riverdeck.plans.paging import beside
 
 GAMES_PER_ROW = 100_000  # a seed is met in no more games than it has uses
 FREEDOM = {"card": c.DECK_SIZE - 1, "suit": len(c.SUITS) - 1, "rank": len(c.RANKS) - 1}
 
 
-def uniformity(cards: DataFrame) -> DataFrame:
-    """One row: cards dealt, distinct cards, and the raw statistics by card, suit and rank."""
-    ranks, suits = (F.array(*[F.lit(v) for v in values]) for values in (c.RANKS, c.SUITS))
+def _hits(card: Column) -> Column:
+    return F.coalesce(F.col("hits")[card], F.lit(0)).cast("bigint")
 
-    def hits(card: Column) -> Column:
-        return F.coalesce(F.col("hits")[card], F.lit(0)).cast("bigint")
+
+def _statistics() -> list[Column]:
+    """The raw statistics by card, suit and rank, over a row of `deal`."""
+    ranks, suits = (F.array(*[F.lit(v) for v in values]) for values in (c.RANKS, c.SUITS))
 
     def total(over: Column, card) -> Column:
-        return F.aggregate(over, F.lit(0).cast("bigint"), lambda acc, v: acc + hits(card(v)))
+        return F.aggregate(over, F.lit(0).cast("bigint"), lambda acc, v: acc + _hits(card(v)))
 
-    by = {"card": F.transform(F.array(*[F.lit(card) for card in DECK]), hits),
+    by = {"card": F.transform(F.array(*[F.lit(card) for card in DECK]), _hits),
           "suit": F.transform(suits, lambda s: total(ranks, lambda r: F.concat(r, s))),
           "rank": F.transform(ranks, lambda r: total(suits, lambda s: F.concat(r, s)))}
-    return deal(cards).select("total_cards", "distinct_cards", *[
-        uniform_chi_squared(by[kind], FREEDOM[kind] + 1, F.col("total_cards")).alias(f"chi_{kind}")
-        for kind in FREEDOM])
+    return [uniform_chi_squared(by[kind], FREEDOM[kind] + 1, F.col("total_cards")).alias(f"chi_{kind}")
+            for kind in FREEDOM]
+
+
+def uniformity(cards: DataFrame) -> DataFrame:
+    """One row: cards dealt, distinct cards, and the raw statistics by card, suit and rank."""
+    return deal(cards).select("total_cards", "distinct_cards", *_statistics())
 
 
 def _verdict(by: str, chi: Column, total: Column) -> Column:
@@ -169,17 +174,22 @@ def randomness_report(cards: DataFrame, hands: DataFrame, min_cards: int = c.MIN
 
 def randomness_document(hands: DataFrame, results: DataFrame, cards: DataFrame,
                         threshold: float = 1.0) -> DataFrame:
-    """One JSON document: summary, the three tests, outlier cards, number of repeated seeds."""
-    summary = stats_summary(hands, results, cards).withColumns(
+    """One JSON document: summary, the three tests, outlier cards, number of repeated seeds.
+    Cards are scanned once."""
+    def described(card: Column) -> Column:
+        return F.struct(
+            card.alias("card"), rank_of(card).alias("rank"), suit_of(card).alias("suit"),
+            _hits(card).alias("total_appearances"), *frequency_fields(_hits(card), F.col("total_cards")))
+
+    described_deck = F.transform(F.array(*[F.lit(card) for card in sorted(DECK)]), described)
+    off = F.filter(described_deck, lambda card: F.abs(card["deviation_percentage"]) > threshold)
+    tested = _with_pvalues(deal(cards).select(
+        F.col("total_cards").alias("cards"), off.alias("outlier_cards"), *_statistics()), list(FREEDOM))
+    figures = beside(hand_figures(hands), results.agg(F.count("*").alias("results")), tested,
+                     seed_uniqueness(hands).select(F.col("duplicate_count").alias("duplicate_seeds")))
+    stamped = figures.withColumns(
         {stamp: F.col(stamp).cast("string") for stamp in ("first_indexed_at", "last_indexed_at")})
-    off = outliers(cards, threshold).agg(  # at most 52 cards
-        F.sort_array(F.collect_list(F.struct(
-            "card", "rank", "suit", "total_appearances", "expected_percentage", "actual_percentage",
-            "deviation_percentage"))).alias("outlier_cards"))
-    tests = _with_pvalues(uniformity(cards), list(FREEDOM)).select(*[
-        _pvalue_struct(by, F.col(f"p_{by}")).alias(f"{by}_chi_squared") for by in FREEDOM])
-    seeds = seed_uniqueness(hands).select(F.col("duplicate_count").alias("duplicate_seeds"))
-    return (beside(summary.select(F.struct("*").alias("summary")), tests, off, seeds)
-            .select(F.to_json(F.struct(
-                "summary", "card_chi_squared", "suit_chi_squared", "rank_chi_squared", "outlier_cards",
-                "duplicate_seeds")).alias("document")))
+    return stamped.select(F.to_json(F.struct(
+        F.struct(*summary_fields()).alias("summary"),
+        *[_pvalue_struct(by, F.col(f"p_{by}")).alias(f"{by}_chi_squared") for by in FREEDOM],
+        "outlier_cards", "duplicate_seeds")).alias("document"))

@@ -67,7 +67,7 @@ def test_scans_read_only_needed_columns(plans, name, columns):
 
 @pytest.mark.parametrize("name, scans", [
     ("chi_squared_cards", 1), ("card_frequency", 1), ("rank_distribution", 1), ("card_stats_refresh", 1),
-    ("randomness_report", 2), ("timeline_chi_squared", 1), ("play_style", 1), ("player_action_counts", 1)])
+    ("randomness_report", 2), ("stats_summary", 4), ("timeline_chi_squared", 1), ("play_style", 1), ("player_action_counts", 1)])
 def test_facts_are_scanned_once(plans, name, scans):
     assert plans(name).count("FileScan parquet") == scans
 
