@@ -24,13 +24,16 @@ HOT_ROWS = 1_000_000  # a key with no more rows than this is no burden to a task
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows with their range-slice number over (keys, order).
+    """Rows with their range-slice number over (keys, order), one slice to a partition.
 
     `order` must make rows of a key distinct, or equal rows pile up in one slice. The numbers
-    hold within one job; pin the frame before using them a second time."""
+    hold within one job; pin the frame before using them a second time. Placing rows by number
+    lets windows over (slice, keys) start right there, where hashing the numbers would put
+    several slices into one task."""
     slices = slice_count(df.sparkSession)
     return (df.repartitionByRange(slices, *[F.col(k).asc() for k in keys], *order)
-            .withColumn(SLICE, F.spark_partition_id()))
+            .withColumn(SLICE, F.spark_partition_id())
+            .repartitionById(slices, F.col(SLICE)))
 
 
 def _crossing_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
