@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riverdeck import staging
+from riverdeck import indexing, staging
 from riverdeck.catalog.entry import Entry, over
 from riverdeck.constants import ATTRIBUTES
 from riverdeck.fixtures import view, with_views
@@ -16,8 +16,8 @@ from riverdeck.schemas import BLOCK_RESULTS
 from riverdeck.session import scratch_path
 from riverdeck.sources import blocks, tables
 
-EVENTS, LEGACY, SHOWDOWN, HANDS, STATES = (
-    "fx_events", "fx_legacy_events", "fx_showdown_events", "fx_poker_hands", "fx_game_states")
+EVENTS, LEGACY, MIXED, SHOWDOWN, HANDS, STATES = (
+    "fx_events", "fx_legacy_events", "fx_mixed_events", "fx_showdown_events", "fx_poker_hands", "fx_game_states")
 
 
 def _raw(spark, sf_dir):
@@ -95,6 +95,23 @@ def _showdown_results(spark, sf_dir):
     return folded.withColumn("community_cards", F.array_join("community_cards", ","))
 
 
+def _index_table(name):
+    """One table of a whole indexing run over the mixed chain."""
+    def run(spark, sf_dir):
+        events = view(spark, sf_dir, MIXED)
+        tables_of_run = indexing.index_tables(
+            events, events, blocks.headers(spark, staging.landed_headers(spark, sf_dir)),
+            _landed_states(spark, sf_dir))
+        return tables_of_run[name].drop("indexed_at")
+
+    return run
+
+
+def _index_results(spark, sf_dir):
+    return _index_table("hand_results")(spark, sf_dir).withColumn(
+        "community_cards", F.array_join("community_cards", ","))
+
+
 def _play_style(spark, sf_dir):
     return players.play_style(view(spark, sf_dir, "fx_player_actions"), _landed_states(spark, sf_dir))
 
@@ -160,6 +177,18 @@ from met join faces on parity = as_of_block % 2
 where round = 'showdown' and winner_count > 0
 group by game_id, hand_number, card, card_type, position
 """
+MIXED_SQL = """
+, asked as (select game_id, height, height * 100 + event_seq as pos from fx_mixed_events where action = 'fold'),
+  met as (select a.game_id, a.height, a.pos, s.as_of_block, s.hand_number, s.winner_count, s.round
+          from asked a asof join fx_game_states s on a.game_id = s.game_id and a.height >= s.as_of_block),
+  ended as (select game_id, hand_number, height, pos, winner_count, '2c,,Ts' as board,
+                   case when as_of_block % 2 = 0 then 'Ah,Kd' else '9s,' end as held
+            from met where round = 'showdown' and winner_count > 0
+            union all
+            select game_id, cast(hand_number as int), height, height * 100 + event_seq,
+                   coalesce(try_cast(winner_count as int), 0), community_cards, coalesce(revealed_hole_cards, '')
+            from fx_mixed_events where type = 'hand_completed')
+"""
 STYLE_SQL = """
 , acted as (select player_address, game_id, hand_number,
        bool_or(round = 'preflop' and action in ('bet', 'call', 'raise', 'all-in')) as entered,
@@ -253,6 +282,16 @@ from fx_events e asof left join fx_game_states s on e.game_id = s.game_id and e.
 select game_id, hand_number, arg_min(height, pos) as block_height, '2c,,Ts' as community_cards,
        arg_max(winner_count, pos) as winner_count
 from met where round = 'showdown' and winner_count > 0 group by game_id, hand_number""", SHOWDOWN, STATES)),
+    Entry("index_hand_results", _index_results, with_views(MIXED_SQL + """
+select game_id, hand_number, arg_min(height, pos) as block_height, arg_max(board, pos) as community_cards,
+       arg_max(winner_count, pos) as winner_count, '' as tx_hash
+from ended group by game_id, hand_number""", MIXED, STATES)),
+    Entry("index_revealed_cards", _index_table("revealed_cards"), with_views(MIXED_SQL + """
+, lists as (select game_id, hand_number, height, 'community' as card_type, string_split(board, ',') as list from ended
+            union all select game_id, hand_number, height, 'hole', string_split(held, ',') from ended),
+  placed as (select * exclude (list), unnest(list) as card, unnest(range(0, len(list))) as position from lists)
+select game_id, hand_number, min(height) as block_height, card, card_type, cast(position as int) as position
+from placed where card <> '' group by game_id, hand_number, card, card_type, position""", MIXED, STATES)),
     Entry("biggest_pot", lambda spark, sf: states.biggest_pot(_landed_states(spark, sf)), with_views("""
 , wins as (select 'p' || (as_of_block % 15) as player_address, amount from fx_game_states where winner_count >= 1
            union all

@@ -116,6 +116,13 @@ select height, event_seq,
        revealed_hole_cards, winner_count, buy_in_amount, refund_amount,
        case when type = 'hand_started' and event_seq = 5 then null else block_height end as block_height
 from {fx_events}""",
+    # The legacy chain with folds in the place of departures, so that showdowns are met too.
+    "fx_mixed_events": """
+select height, event_seq, case when type = 'player_left_game' then 'action_performed' else type end as type,
+       game_id, player, case when type = 'player_left_game' then 'fold' else action end as action, amount,
+       hand_number, deck_seed, deck, community_cards, revealed_hole_cards, winner_count, buy_in_amount,
+       refund_amount, block_height
+from {fx_legacy_events}""",
     # Every chain event read as an action, so that its folds can trigger showdowns.
     "fx_showdown_events": """
 select height, event_seq, 'action_performed' as type, game_id, player, action from {fx_chain_events}""",

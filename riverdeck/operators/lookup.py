@@ -37,13 +37,15 @@ def hand_details(hands: DataFrame, results: DataFrame, cards: DataFrame) -> Data
     Cards are listed as type:position:card, followed by xN when revealed N times. Copies are
     counted before the shuffle, and a row lists 64 positions: a longer hand goes on in the
     next `part`. A hand of the game fits part 0."""
-    entry = F.concat_ws(":", "card_type", F.col("position").cast("string"), "card")
-    entry = F.when(F.col("n") > 1, F.concat(entry, F.lit(" x"), F.col("n").cast("string"))).otherwise(entry)
+    def entry(shown: Column) -> Column:
+        name = F.concat_ws(":", shown["card_type"], shown["position"].cast("string"), shown["card"])
+        return F.when(shown["n"] > 1, F.concat(name, F.lit(" x"), shown["n"].cast("string"))).otherwise(name)
+
+    part = (F.coalesce("position", F.lit(0)) / POSITIONS_PER_ROW).cast("int").alias("part")
+    listed = F.sort_array(F.collect_list(F.struct("card_type", "position", "card", "n")))
     shown = (cards.groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("n"))
-             .groupBy(*HAND_KEY, (F.coalesce("position", F.lit(0)) / POSITIONS_PER_ROW).cast("int").alias("part"))
-             .agg(F.sort_array(F.collect_list(F.struct(
-                 "card_type", "position", "card", entry.alias("entry")))).alias("shown"))
-             .select(*HAND_KEY, "part", F.array_join("shown.entry", ",").alias("revealed")))
+             .groupBy(*HAND_KEY, part).agg(listed.alias("shown"))
+             .select(*HAND_KEY, "part", F.array_join(F.transform("shown", entry), ",").alias("revealed")))
     outcome = results.select(*HAND_KEY, "community_cards", "winner_count")
     return (hands.join(outcome, HAND_KEY, "left").join(shown, HAND_KEY, "left")
             .select("game_id", "hand_number", "block_height", "deck_seed", "deck", "tx_hash", "indexed_at",
