@@ -162,7 +162,8 @@ select game_id, hand_number, arg_min(block_height, pos) as block_height,
 from every group by game_id, hand_number
 """
 MET_SQL = """
-, asked as (select game_id, height, height * 100 + event_seq as pos from fx_showdown_events where action in ('show', 'muck', 'fold')),
+, asked as (select game_id, height, height * 100 + event_seq as pos from fx_showdown_events
+            where action in ('show', 'muck', 'fold')),
   met as (select a.game_id, a.height, a.pos, s.as_of_block, s.hand_number, s.round, s.winner_count
           from asked a asof join fx_game_states s on a.game_id = s.game_id and a.height >= s.as_of_block)
 """

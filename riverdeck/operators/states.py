@@ -13,18 +13,21 @@ from riverdeck.plans.slices import nearest
 
 def state_asof(events: DataFrame, states: DataFrame) -> DataFrame:
     """Every event of a game with the latest snapshot at or before its block, as `state`
-    (null where there is none). `events` needs game_id, height, event_seq."""
+    (null where there is none). `events` needs game_id, height, event_seq; events without a game
+    drop out."""
     payload = [c for c in states.columns if c != "game_id"]
     extra = [c for c in events.columns if c not in ("game_id", "height", "event_seq")]
-    # Snapshots sort before the events of their block; several of one block keep a fixed order.
-    marks = states.select(
+    # Snapshots sort before the events of their block; which of several in one block comes last
+    # is fixed by their content.
+    marks = states.filter(F.col("game_id").isNotNull()).select(
         "game_id", F.col("as_of_block").alias("height"), F.lit(0).alias("kind"), F.lit(0).alias("event_seq"),
-        F.struct(*payload).alias("snapshot"),
+        F.xxhash64(*payload).alias("tie"), F.struct(*payload).alias("snapshot"),
         *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in extra])
-    asked = events.select(
-        "game_id", "height", F.lit(1).alias("kind"), "event_seq",
+    asked = events.filter(F.col("game_id").isNotNull()).select(
+        "game_id", "height", F.lit(1).alias("kind"), "event_seq", F.lit(0).cast("bigint").alias("tie"),
         F.lit(None).cast(marks.schema["snapshot"].dataType).alias("snapshot"), *extra)
-    matched = nearest(marks.unionByName(asked), ["game_id"], ["height", "kind", "event_seq"], "snapshot", "state")
+    order = ["height", "kind", "event_seq", "tie"]
+    matched = nearest(marks.unionByName(asked), ["game_id"], order, "snapshot", "state")
     return matched.filter(F.col("kind") == 1).select("game_id", "height", "event_seq", *extra, "state")
 
 
