@@ -59,8 +59,8 @@ ENTRIES = [
                where game_id = 'g7' and block_height between {PAGE_START} and {PAGE_END})
 select matching.*, (select count(*) from matching) as total from matching
 order by block_height desc, hand_number desc, game_id limit {PAGE_SIZE} offset {PAGE_OFFSET}"""),
-    over("hands_after", lambda hands: k.hands_after(hands, 1000, 1000), HANDS, """
-select * from fx_poker_hands where (block_height, hand_number) < (1000, 1000)
+    over("hands_after", lambda hands: k.hands_after(hands, 1000, 1000, "g30"), HANDS, """
+select * from fx_poker_hands where (-block_height, -hand_number, game_id) > (-1000, -1000, 'g30')
 order by block_height desc, hand_number desc, game_id limit 50"""),
     over("hand_details", _details, f"{HANDS} {RESULTS} {CARDS}", """
 , entries as (select game_id, hand_number, card_type, position, card, count(*) as n from fx_revealed_cards

@@ -12,6 +12,10 @@ HAND_KEY = ["game_id", "hand_number"]
 POSITIONS_PER_ROW = 64
 
 
+def _newest_first() -> list[Column]:
+    return [F.desc("block_height"), F.desc("hand_number"), F.asc("game_id")]
+
+
 def hands_page(hands: DataFrame, game_id: str | None = None, start_block: int = 0, end_block: int = 0,
                limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
     """Hands, newest first. An empty game or a block of 0 or less filters nothing."""
@@ -21,14 +25,17 @@ def hands_page(hands: DataFrame, game_id: str | None = None, start_block: int =
         hands = hands.filter(F.col("block_height") >= start_block)
     if end_block > 0:
         hands = hands.filter(F.col("block_height") <= end_block)
-    return page(hands, [F.desc("block_height"), F.desc("hand_number"), F.asc("game_id")], limit, offset)
+    return page(hands, _newest_first(), limit, offset)
 
 
-def hands_after(hands: DataFrame, block_height: int, hand_number: int, limit: int = PAGE_LIMIT) -> DataFrame:
+def hands_after(hands: DataFrame, block_height: int, hand_number: int, game_id: str,
+                limit: int = PAGE_LIMIT) -> DataFrame:
     """The page that follows a known last row: the same cost at any depth, unlike an offset."""
-    older = (F.col("block_height") < block_height) | (
-        (F.col("block_height") == block_height) & (F.col("hand_number") < hand_number))
-    return top(hands.filter(older), [F.desc("block_height"), F.desc("hand_number"), F.asc("game_id")], limit)
+    block, hand = F.col("block_height"), F.col("hand_number")
+    later_game = (hand == hand_number) & (F.col("game_id") > game_id)
+    after = (block < block_height) | ((block == block_height) & ((hand < hand_number) | later_game))
+    # The first condition alone reaches the scan; the second decides within the block.
+    return top(hands.filter(block <= block_height).filter(after), _newest_first(), limit)
 
 
 def hand_details(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:

@@ -23,6 +23,10 @@ def build_session(app: str = "riverdeck", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Counters of all players may outgrow the heap; keep them on executor disk, log changes only.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():

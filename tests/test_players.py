@@ -129,7 +129,8 @@ def test_pages(spark):
     seen = [(r.hand_number, r.total) for r in k.hands_page(hands, limit=5, offset=3).collect()]
     assert seen == [(h[1], 12) for h in newest[3:8]]
     last = newest[3]
-    assert [r.hand_number for r in k.hands_after(hands, last[2], last[1], 4).collect()] == [h[1] for h in newest[4:8]]
+    following = k.hands_after(hands, last[2], last[1], last[0], 4).collect()
+    assert [r.hand_number for r in following] == [h[1] for h in newest[4:8]]
     assert k.hands_page(hands, "", 0, -1).count() == 12
     assert {r.total for r in k.hands_page(hands, None, 97, 98).collect()} == {4}
     assert k.hands_page(hands, "none").count() == 0
@@ -138,6 +139,19 @@ def test_pages(spark):
             k.hands_page(hands, limit=limit, offset=offset)
 
 
+def test_keyset_pages_meet_every_hand_once(spark):
+    rows = [(f"g{n % 5}", n // 5, 100 - n // 20, "", "", "", None) for n in range(60)]
+    hands = spark.createDataFrame(rows, schemas.TABLES["poker_hands"])
+    seen = [tuple(r)[:3] for r in k.hands_page(hands, limit=7).drop("total").collect()]
+    while True:
+        game, number, height = seen[-1]
+        following = k.hands_after(hands, height, number, game, 7).collect()
+        if not following:
+            break
+        seen += [tuple(r)[:3] for r in following]
+    assert seen == sorted((r[:3] for r in rows), key=lambda h: (-h[2], -h[1], h[0]))
+
+
 def test_details_list_cards_once_with_their_copies_and_split_long_hands(spark):
     hands = hands_frame(spark)
     results = spark.createDataFrame([("g", 1, 9, ["Ah", "Kd"], 2, "", None)], schemas.TABLES["hand_results"])

@@ -8,7 +8,7 @@ from test_decode import block, event, events_frame
 from test_folds import chain, replay_hands, replay_sessions, sessions_of
 
 from riverdeck import schemas
-from riverdeck.operators.events import dedupe_events
+from riverdeck.operators.events import actions, dedupe_events
 from riverdeck.operators.lookup import scan_gaps
 from riverdeck.streaming import counters, hands, ingest, logs, sessions
 
@@ -109,6 +109,17 @@ def test_blocks_without_events_count_as_scanned(spark, tmp_path):
     assert scan_gaps(ingest.landed_heights(spark, out)).count() == 0
 
 
+def test_landed_events_prune_folders_and_columns(spark, tmp_path):
+    out = str(tmp_path / "out")
+    put_blocks(tmp_path / "in", "a.json", [1, 2])
+    ingest.start_ingest(spark, str(tmp_path / "in"), out, str(tmp_path / "c")).awaitTermination()
+    rows = actions(ingest.landed_events(spark, out)).select("player_address")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 4
+    assert "(type#" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "ReadSchema: struct<game_id:string,player:string>" in plan
+
+
 def test_counters_equal_batch_after_restart(spark, tmp_path):
     landing, out = tmp_path / "in", str(tmp_path / "out")
     schema = schemas.TABLES["revealed_cards"]
