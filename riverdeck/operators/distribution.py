@@ -175,13 +175,12 @@ def card_sequences(cards: DataFrame, first: int = 0, second: int = 1, min_count:
                 .groupBy(*hand, F.col("card").alias(card)).agg(F.count("*").alias(copies)))
 
     left, right = placed(first, "first_card", "a"), placed(second, "second_card", "b")
-    base = board.filter(F.col("position") == first).agg(F.count("*").alias("base"))
+    base = board.filter(F.col("position") == first).agg(F.count("*").cast("double")).scalar()
     pairs = (left.join(right, hand)
              .groupBy("first_card", "second_card").agg(F.sum(F.col("a") * F.col("b")).alias("occurrences"))
-             .filter(F.col("occurrences") >= min_count).crossJoin(F.broadcast(base))
+             .filter(F.col("occurrences") >= min_count)
              .select("first_card", "second_card", "occurrences",
-                     F.round(F.col("occurrences").cast("double") / F.col("base").cast("double") * 100, 2)
-                     .alias("percentage")))
+                     F.round(F.col("occurrences").cast("double") / base * 100, 2).alias("percentage")))
     if k is None:
         return pairs
     return top(pairs, [F.desc("occurrences"), F.asc("first_card"), F.asc("second_card")], k)

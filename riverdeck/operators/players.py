@@ -129,10 +129,9 @@ def player_overview(sessions: DataFrame, actions: DataFrame, player: str | None
 def action_distribution(actions: DataFrame) -> DataFrame:
     """Per action: count and share of all actions."""
     counts = actions.groupBy("action").agg(F.count("*").alias("count"))
-    every = counts.agg(F.sum("count").alias("every"))
-    return counts.crossJoin(F.broadcast(every)).select(
-        "action", "count",
-        F.round(F.col("count").cast("double") / F.col("every").cast("double") * 100, 2).alias("percentage"))
+    every = counts.agg(F.sum("count").cast("double")).scalar()
+    return counts.select(
+        "action", "count", F.round(F.col("count").cast("double") / every * 100, 2).alias("percentage"))
 
 
 def player_summary(stats: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ def page(df: DataFrame, order: Sequence[Column], limit: int = PAGE_LIMIT, offset
         raise ValueError(f"limit must be 1..{PAGE_MAX}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    total = df.agg(F.count("*").alias("total"))
-    return df.orderBy(*order).offset(offset).limit(limit).crossJoin(F.broadcast(total))
+    total = df.agg(F.count("*")).scalar()
+    return df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
 
 
 def top(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -34,7 +34,8 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
 
 
 def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """One-row frames (global aggregates) side by side."""
-    for other in others:
-        first = first.crossJoin(F.broadcast(other))
-    return first
+    """One-row frames (global aggregates) side by side; the others become scalar subqueries."""
+    for i, other in enumerate(others):
+        first = first.withColumn(f"_{i}", other.select(F.struct("*")).scalar())
+    kept = [c for c in first.columns if not (c.startswith("_") and c[1:].isdigit())]
+    return first.select(*kept, *[F.col(f"_{i}")[c].alias(c) for i, o in enumerate(others) for c in o.columns])

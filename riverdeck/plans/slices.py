@@ -45,9 +45,9 @@ def _crossing_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than their share of the rows: fewer than there are slices."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    every = counts.agg(F.sum("_n").alias("_every"))
-    share = F.greatest(F.col("_every") / slice_count(df.sparkSession), F.lit(HOT_ROWS))
-    return counts.crossJoin(F.broadcast(every)).filter(F.col("_n") > share).select(*keys)
+    every = counts.agg(F.sum("_n")).scalar()
+    share = F.greatest(every / slice_count(df.sparkSession), F.lit(HOT_ROWS))
+    return counts.filter(F.col("_n") > share).select(*keys)
 
 
 def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,

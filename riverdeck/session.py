@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,7 +43,9 @@ def scratch_root(spark: SparkSession) -> str:
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="riverdeck-"))
+        folder = tempfile.mkdtemp(prefix="riverdeck-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

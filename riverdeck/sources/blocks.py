@@ -83,9 +83,9 @@ def block_range(events: DataFrame, start: int = 1, end: int = 0) -> DataFrame:
 
 def resume_point(hands: DataFrame, events: DataFrame, start: int = 1) -> DataFrame:
     """One row: where indexing goes on, and whether it has caught up."""
+    latest = events.agg(F.coalesce(F.max("height"), F.lit(0)).cast("bigint")).scalar()
     last = hands.agg(F.coalesce(F.max("block_height"), F.lit(0)).cast("bigint").alias("last_indexed"))
-    latest = events.agg(F.coalesce(F.max("height"), F.lit(0)).cast("bigint").alias("latest_block"))
     following = F.when(F.col("last_indexed") == 0, F.lit(start)).otherwise(F.col("last_indexed") + 1)
-    return (last.crossJoin(F.broadcast(latest))
-            .select("last_indexed", following.cast("bigint").alias("next_block"), "latest_block",
-                    (following > F.col("latest_block")).alias("caught_up")))
+    return last.withColumn("latest_block", latest).select(
+        "last_indexed", following.cast("bigint").alias("next_block"), "latest_block",
+        (following > F.col("latest_block")).alias("caught_up"))
