@@ -26,20 +26,17 @@ def read_blocks(spark: SparkSession, landing: str, encoding: str = "auto", files
     return flatten(decode(raw_events(read_documents(spark, landing, files_per_batch)), encoding))
 
 
-def _without_replays(events: DataFrame, scanned: DataFrame, out: str, batch_id: int) -> DataFrame:
-    """`events` less blocks landed before. Blocks arrive once and in order, so three numbers
-    about the batch usually show that there is nothing to drop, and nothing is shuffled."""
-    lo, hi, copies = scanned.agg(F.min("height"), F.max("height"), F.max("copies")).first()
-    if lo is None:
-        return events
+def _without_replays(events: DataFrame, out: str, batch_id: int, copies: int, lo: int, hi: int,
+                     high: int | None) -> DataFrame:
+    """`events` (of blocks lo..hi) less blocks landed before. Blocks arrive once and in order, so
+    these numbers usually show that there is nothing to drop: nothing is shuffled or looked up."""
     if copies > 1:
         events = dedupe_events(events)
-    if batch_id > 0:
+    if high is not None and lo <= high:
         known = (logs.read_log(events.sparkSession, out, "heights", schemas.HEIGHTS)
                  .filter((F.col(logs.BATCH) < batch_id) & F.col("height").between(lo, hi))
                  .select("height").distinct())
-        if not known.isEmpty():
-            events = events.join(known, "height", "left_anti")
+        events = events.join(known, "height", "left_anti")
     return events.select(*schemas.EVENTS.names)
 
 
@@ -54,11 +51,14 @@ def start_ingest(spark: SparkSession, landing: str, out: str, checkpoint: str, t
         session = documents.sparkSession
         logs.write_batch(scanned_heights(documents), out, "heights", batch_id)
         scanned = logs.read_batch(session, out, "heights", batch_id, schemas.HEIGHTS)
+        lo, hi, copies = scanned.agg(F.min("height"), F.max("height"), F.max("copies")).first()
+        high = logs.high_before(session, out, batch_id) if batch_id > 0 else None
         events = flatten(decode(raw_events(documents), encoding))
-        events = _without_replays(events, scanned, out, batch_id)
+        if lo is not None:
+            events = _without_replays(events, out, batch_id, copies, lo, hi, high)
         logs.write_batch(events, out, "events", batch_id, "type")
         logs.write_batch(progress(scanned, start_block), out, "progress", batch_id)
-        logs.commit(session, out, batch_id)
+        logs.commit(session, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
 
     return logs.start(
         read_documents(spark, landing, files_per_batch).writeStream, each_batch, checkpoint, trigger)

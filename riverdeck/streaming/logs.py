@@ -17,7 +17,7 @@ from riverdeck.session import remove
 
 BATCH = "batch_id"
 _KEPT = 10
-_COMMITS = StructType().add("rows_from", LongType())
+_COMMITS = StructType().add("rows_from", LongType()).add("high", LongType())
 
 
 def write_batch(df: DataFrame, root: str, name: str, batch_id: int, *partition_by: str) -> None:
@@ -28,8 +28,10 @@ def read_batch(spark: SparkSession, root: str, name: str, batch_id: int, schema:
     return spark.read.schema(schema).parquet(f"{root}/{name}/{BATCH}={batch_id}")
 
 
-def commit(spark: SparkSession, root: str, batch_id: int) -> None:
-    one = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("rows_from"))
+def commit(spark: SparkSession, root: str, batch_id: int, high: int | None = None) -> None:
+    """Make a batch visible. `high` notes the highest position landed so far, where there is one."""
+    one = spark.range(1).select(
+        F.lit(batch_id).cast("bigint").alias("rows_from"), F.lit(high).cast("bigint").alias("high"))
     one.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/{BATCH}={batch_id}")
     remove(spark, f"{root}/commits/{BATCH}={batch_id - _KEPT}")  # only the newest says anything
 
@@ -40,6 +42,12 @@ def last_commit(spark: SparkSession, root: str) -> int | None:
     return commits.agg(F.max("rows_from")).first()[0]
 
 
+def high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The highest position that batches before this one landed."""
+    commits = spark.read.schema(_COMMITS).parquet(f"{root}/commits")
+    return commits.filter(F.col("rows_from") < batch_id).agg(F.max("high")).first()[0]
+
+
 def read_log(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
     """All committed rows with their batch number."""
     newest = last_commit(spark, root)
