@@ -51,6 +51,7 @@ def hand_details(hands: DataFrame, results: DataFrame, cards: DataFrame) -> Data
     part = (F.coalesce("position", F.lit(0)) / POSITIONS_PER_ROW).cast("int").alias("part")
     listed = F.sort_array(F.collect_list(F.struct("card_type", "position", "card", "n")))
     shown = (cards.groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("n"))
+             .repartition(*HAND_KEY)  # serves the listing and the join below
              .groupBy(*HAND_KEY, part).agg(listed.alias("shown"))
              .select(*HAND_KEY, "part", F.array_join(F.transform("shown", entry), ",").alias("revealed")))
     outcome = results.select(*HAND_KEY, "community_cards", "winner_count")

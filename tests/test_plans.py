@@ -87,3 +87,18 @@ def test_wide_totals_join_without_another_shuffle(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     hashed = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
     assert sum(1 for keys in hashed if keys.startswith("player_address") and "," not in keys) <= 4
+
+
+@pytest.mark.parametrize("name, shuffles", [
+    ("sessions_fold", 1), ("state_asof", 2), ("hands_fold", 1), ("results_fold", 1), ("card_dedupe", 1),
+    ("play_style", 2), ("player_action_counts", 2), ("player_recent_actions", 1), ("timeline_chi_squared", 2),
+    ("decode_block_events", 0), ("cards_explode", 0)])
+def test_shuffles(spark, sf_dir, name, shuffles):
+    """How many times rows move, with every join a shuffle join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan_of(entry_points.queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = re.findall(r"Exchange (?:hash|range)partitioning", text)
+    assert len(found) == shuffles, text
