@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import mixing
+from riverdeck.llm import mixing, quality, token_counts
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -12,4 +12,6 @@ def _register(name: str, table: str, build, sql: str | None = None) -> None:
     ENTRIES[name] = Entry(name, lambda spark, sf_dir: build(spark.read.parquet(f"{sf_dir}/{table}.parquet")), sql)
 
 
+_register("op3_count_tokens", "documents", token_counts.count_tokens)
+_register("op4_quality_rules", "documents", quality.quality_report, quality.QUALITY_SQL)
 _register("op7_mix_sources", "documents", mixing.mixing_report, mixing.MIXING_SQL)
