@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import mixing, quality, token_counts
+from riverdeck.llm import mixing, quality, simhash, token_counts
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -15,3 +15,4 @@ def _register(name: str, table: str, build, sql: str | None = None) -> None:
 _register("op3_count_tokens", "documents", token_counts.count_tokens)
 _register("op4_quality_rules", "documents", quality.quality_report, quality.QUALITY_SQL)
 _register("op7_mix_sources", "documents", mixing.mixing_report, mixing.MIXING_SQL)
+_register("op9_simhash", "documents", simhash.near_copy_report)

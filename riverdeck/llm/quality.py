@@ -161,7 +161,7 @@ QUALITY_SQL = f"""
 with worded as (
   select doc_id, coalesce(text, '') as text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines
+         [l for l in string_split(coalesce(text, ''), chr(10)) if regexp_matches(l, '[^\\x20\\x09-\\x0D]')] as lines
   from documents),
 numbered as (select *, row_number() over () as row_id, len(words) as n_words from worded),
 windows as (
