@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import mixing, quality, simhash, token_counts
+from riverdeck.llm import mixing, packing, pii, quality, simhash, token_counts
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -16,3 +16,5 @@ _register("op3_count_tokens", "documents", token_counts.count_tokens)
 _register("op4_quality_rules", "documents", quality.quality_report, quality.QUALITY_SQL)
 _register("op7_mix_sources", "documents", mixing.mixing_report, mixing.MIXING_SQL)
 _register("op9_simhash", "documents", simhash.near_copy_report)
+_register("op2_personal_data", "documents", pii.personal_data_report)
+_register("op6_pack", "documents", packing.packing_report)
