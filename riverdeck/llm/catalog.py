@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import mixing, packing, pii, quality, simhash, token_counts
+from riverdeck.llm import mixing, neighbours, packing, pii, quality, simhash, token_counts
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -18,3 +18,4 @@ _register("op7_mix_sources", "documents", mixing.mixing_report, mixing.MIXING_SQ
 _register("op9_simhash", "documents", simhash.near_copy_report)
 _register("op2_personal_data", "documents", pii.personal_data_report)
 _register("op6_pack", "documents", packing.packing_report)
+_register("op1_nearest", "embeddings", neighbours.neighbour_report)
