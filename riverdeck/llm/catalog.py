@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import mixing, neighbours, packing, pii, quality, simhash, token_counts
+from riverdeck.llm import html_text, mixing, neighbours, packing, pii, quality, simhash, token_counts, warc
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -19,3 +19,5 @@ _register("op9_simhash", "documents", simhash.near_copy_report)
 _register("op2_personal_data", "documents", pii.personal_data_report)
 _register("op6_pack", "documents", packing.packing_report)
 _register("op1_nearest", "embeddings", neighbours.neighbour_report)
+_register("op8_warc", "pages", warc.archive_report, warc.WARC_SQL)
+_register("op10_main_text", "pages", html_text.extract)
