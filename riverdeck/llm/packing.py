@@ -105,7 +105,7 @@ def cut(ids: bytes, with_ids: bool, window: int = WINDOW) -> list[dict]:
     out = []
     for start in range(0, len(ids) // 4, window):
         own = ids[4 * start:4 * (start + window)]
-        piece = {"start": start, "length": len(own) // 4, "ids_crc32": zlib.crc32(own)}
+        piece = {"start": start, "length": len(own) // 4, "ids_crc32": zlib.crc32(own), "doc_tokens": len(ids) // 4}
         out.append(piece | {"ids": array("I", own).tolist()} if with_ids else piece)
     return out
 
@@ -113,8 +113,9 @@ def cut(ids: bytes, with_ids: bool, window: int = WINDOW) -> list[dict]:
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = False, window: int = WINDOW) -> DataFrame:
     """(doc_id, text) -> doc_id, start, length, ids_crc32, [ids,] doc_tokens per piece."""
     ship(docs.sparkSession)
-    fields = ["start", "length", "ids_crc32", *["ids"] * with_ids]
-    kind = "array<struct<start:bigint,length:bigint,ids_crc32:bigint" + ",ids:array<int>" * with_ids + ">>"
+    fields = ["start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
+    kind = ("array<struct<start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint" + ",ids:array<int>" * with_ids
+            + ">>")
 
     @F.pandas_udf(kind)
     def cut_up(texts: pd.Series) -> pd.Series:
@@ -122,11 +123,8 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = False
         end = array("I", [END]).tobytes()
         return pd.Series([cut(ids(t or "") + end, with_ids, window) for t in texts], dtype=object)
 
-    cut_docs = docs.select("doc_id", cut_up(text_or_empty()).alias("cut"))
-    total = F.element_at("cut", -1)
-    return (cut_docs.select("doc_id", (total["start"] + total["length"]).alias("doc_tokens"),
-                            F.explode("cut").alias("piece"))
-            .select("doc_id", *[f"piece.{f}" for f in fields], "doc_tokens"))
+    return docs.select("doc_id", F.explode(cut_up(text_or_empty())).alias("piece")).select(
+        "doc_id", *[f"piece.{f}" for f in fields])
 
 
 class Capacities:
