@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import html_text, mixing, neighbours, packing, pii, quality, simhash, token_counts, warc
+from riverdeck.llm import html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, token_counts, warc
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -21,3 +21,4 @@ _register("op6_pack", "documents", packing.packing_report)
 _register("op1_nearest", "embeddings", neighbours.neighbour_report)
 _register("op8_warc", "pages", warc.archive_report, warc.WARC_SQL)
 _register("op10_main_text", "pages", html_text.extract)
+_register("op5_repeats", "documents", repeats.repeats_report)
