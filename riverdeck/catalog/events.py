@@ -20,6 +20,9 @@ EVENTS, LEGACY, MIXED, SHOWDOWN, HANDS, STATES = (
     "fx_events", "fx_legacy_events", "fx_mixed_events", "fx_showdown_events", "fx_poker_hands", "fx_game_states")
 
 
+NUMBERS = ("amount", "hand_number", "winner_count", "buy_in_amount", "refund_amount", "block_height")
+
+
 def _raw(spark, sf_dir):
     return blocks.raw_events(spark.read.schema(BLOCK_RESULTS).json(staging.landed_blocks(spark, sf_dir)))
 
@@ -239,14 +242,13 @@ from fx_game_states""", STATES)),
 select last_indexed, case when last_indexed = 0 then 1 else last_indexed + 1 end as next_block, latest_block,
        case when last_indexed = 0 then 1 else last_indexed + 1 end > latest_block as caught_up
 from h cross join e"""),
-    over("lenient_int", lambda events: events.filter(F.col("type") == "hand_completed").select(
-        "height", "event_seq", lenient_int(F.col("winner_count")).alias("value")), EVENTS, """
-select height, event_seq, coalesce(try_cast(winner_count as bigint), 0) as value
-from fx_events where type = 'hand_completed'"""),
-    over("height_override", lambda events: events.filter(F.col("type") == "hand_started").select(
+    over("lenient_int", lambda events: events.select(
+        "height", "event_seq", *[lenient_int(F.col(name)).alias(name) for name in NUMBERS]), EVENTS, """
+select height, event_seq, {} from fx_events""".format(
+        ", ".join(f"coalesce(try_cast({name} as bigint), 0) as {name}" for name in NUMBERS))),
+    over("height_override", lambda events: events.select(
         "height", "event_seq", effective_height(F.col("block_height"), F.col("height")).alias("value")), EVENTS, """
-select height, event_seq, coalesce(try_cast(block_height as bigint), height) as value
-from fx_events where type = 'hand_started'"""),
+select height, event_seq, coalesce(try_cast(block_height as bigint), height) as value from fx_events"""),
     over("event_route", ev.event_counts, EVENTS, "select type, count(*) as n from fx_events group by type"),
     over("cards_explode", lambda events: ev.explode_cards(ev.completed_hands(events)), EVENTS, """
 , lists as (select game_id, cast(hand_number as int) as hand_number, height as block_height,

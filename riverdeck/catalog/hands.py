@@ -44,10 +44,8 @@ STATUS = PROGRESS + """
               from fx_poker_hands)
 """
 FIGURES = """
-, started as (select game_id, count(*) as n, min(block_height) as lo, max(block_height) as hi,
-                     min(indexed_at) as early, max(indexed_at) as late from fx_poker_hands group by game_id),
-  all_started as (select cast(sum(n) as bigint) as hands, count(*) as games, min(lo) as lo, max(hi) as hi,
-                         min(early) as early, max(late) as late from started),
+, all_started as (select count(*) as hands, count(distinct game_id) as games, min(block_height) as lo,
+                         max(block_height) as hi, min(indexed_at) as early, max(indexed_at) as late from fx_poker_hands),
   finished as (select count(*) as results from fx_hand_results),
   shown as (select count(*) as cards from fx_revealed_cards)
 """
@@ -63,15 +61,10 @@ order by block_height desc, hand_number desc, game_id limit {PAGE_SIZE} offset {
 select * from fx_poker_hands where (-block_height, -hand_number, game_id) > (-1000, -1000, 'g30')
 order by block_height desc, hand_number desc, game_id limit 50"""),
     over("hand_details", _details, f"{HANDS} {RESULTS} {CARDS}", """
-, entries as (select game_id, hand_number, card_type, position, card, count(*) as n from fx_revealed_cards
-              group by all),
-  shown as (select game_id, hand_number,
-                   string_agg(card_type || ':' || position || ':' || card
-                              || case when n > 1 then ' x' || n else '' end, ','
-                              order by card_type, position, card) as revealed
-            from entries group by game_id, hand_number)
-select h.game_id, h.hand_number, h.block_height, h.deck_seed, h.deck, h.tx_hash, h.indexed_at,
-       o.community_cards, o.winner_count, cast(0 as int) as part, coalesce(s.revealed, '') as revealed
+, shown as (select game_id, hand_number, card_type, position, card, count(*) as times_revealed
+            from fx_revealed_cards group by all)
+select h.*, o.community_cards, o.winner_count, s.card_type, s.position, s.card,
+       coalesce(s.times_revealed, 0) as times_revealed
 from fx_poker_hands h
 left join fx_hand_results o on o.game_id = h.game_id and o.hand_number = h.hand_number
 left join shown s on s.game_id = h.game_id and s.hand_number = h.hand_number"""),
@@ -98,11 +91,11 @@ select cast(200000 as bigint) as total_blocks, last as blocks_indexed,
 from scanned cross join figures"""),
     over("progress_fold", folds.progress, CHAIN, PROGRESS + """
 select last as last_scanned_block, last as total_blocks_scanned from scanned"""),
-    over("scan_gaps", k.scan_gaps, CHAIN, """
+    over("scan_gaps", k.scan_gaps, "fx_scanned_heights", """
 select wanted.height as missing_block
-from (select unnest(range((select min(height) from fx_chain_events),
-                          (select max(height) + 1 from fx_chain_events))) as height) wanted
-where wanted.height not in (select height from fx_chain_events)"""),
+from (select unnest(range((select min(height) from fx_scanned_heights),
+                          (select max(height) + 1 from fx_scanned_heights))) as height) wanted
+where wanted.height not in (select height from fx_scanned_heights)"""),
     over("insert_if_absent", _absent, f"{HANDS} {RESULTS}", """
 select game_id, hand_number, block_height, tx_hash from fx_hand_results
 union all

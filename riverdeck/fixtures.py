@@ -85,7 +85,7 @@ select cast((event_id - event_id % 10) / 10 as bigint) + 1 as height, cast(event
             when 'signup' then 'bet' else 'fold' end as action,
        md5(cast(event_id as varchar(20))) as deck_seed,
        case when event_id % 3 = 0 then 'Ah,Kd,,2c,Ts' else '9s,9h,4d' end as community_cards
-from {events} where event_id % 970 < 960""",
+from {events}""",
     # The chain events as the decoder yields them: string attributes, present only where the
     # type carries them, some block heights and winner counts malformed on purpose.
     "fx_events": """
@@ -126,14 +126,19 @@ from {fx_legacy_events}""",
     # Every chain event read as an action, so that its folds can trigger showdowns.
     "fx_showdown_events": """
 select height, event_seq, 'action_performed' as type, game_id, player, action from {fx_chain_events}""",
+    # Scanned heights with gaps in them, for the query that looks for gaps.
+    "fx_scanned_heights": """
+select height from {fx_chain_events} where height % 97 < 96""",
     "fx_headers": """
 select distinct height, upper(md5(cast(height as varchar(20)))) as app_hash from {fx_chain_events}""",
+    # A snapshot of every game in every seventh block, from all events of those seven blocks;
+    # the first blocks have none before them.
     "fx_game_states": """
-select height as as_of_block, game_id, hand_number,
+select span + 5 as as_of_block, game_id, hand_number,
        case when amount % 40000 = 0 then 'showdown' else 'river' end as round,
        cast(amount / 10000 % 3 as int) as winner_count, amount
-from (select height, game_id, max(hand_number) as hand_number, max(amount) as amount
-      from {fx_chain_events} where action = 'check' group by height, game_id) s""",
+from (select height - height % 7 as span, game_id, max(hand_number) as hand_number, max(amount) as amount
+      from {fx_chain_events} group by height - height % 7, game_id) s""",
 }
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
