@@ -9,6 +9,7 @@ from riverdeck.operators import events as ev
 from riverdeck.operators import folds
 from riverdeck.operators.states import legacy_hands, showdown_results
 from riverdeck.schemas import TABLES
+from riverdeck.session import pinned
 from riverdeck.sources.tables import write_table
 
 # Tables laid out by block, so that block-range filters skip files.
@@ -27,15 +28,21 @@ def _shaped(frame: DataFrame, table: str, **constants) -> DataFrame:
 
 
 def index_tables(events: DataFrame, heights: DataFrame, headers: DataFrame | None = None,
-                 states: DataFrame | None = None, start: int = 1, dedupe: bool = True) -> dict[str, DataFrame]:
-    """The fact tables of a chain. With `headers` and `states`, hands and showdowns known only
-    from player actions and game snapshots join those announced by their own events."""
+                 states: DataFrame | None = None, start: int = 1, dedupe: bool = True,
+                 land: bool = False) -> dict[str, DataFrame]:
+    """The fact tables of a chain, as plans: nothing runs here. With `headers` and `states`, hands and
+    showdowns known only from player actions and game snapshots join those announced by their own events.
+
+    `land` writes what results and cards have in common to the scratch folder, so that writing both
+    tables matches showdowns once."""
     started = ev.started_hands(events).withColumn("weak", F.lit(False))
     completed = ev.completed_hands(events)
     if states is not None and headers is not None:
         started = started.unionByName(legacy_hands(events, headers, states).drop("tx_hash"))
     if states is not None:
         completed = completed.unionByName(showdown_results(events, states))
+    if land:
+        completed = pinned(completed, "completed")
     return {
         "poker_hands": _shaped(folds.fold_hands(started), "poker_hands", tx_hash=""),
         "hand_results": _shaped(folds.fold_results(completed), "hand_results", tx_hash=""),

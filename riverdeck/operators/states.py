@@ -14,21 +14,23 @@ from riverdeck.plans.slices import nearest
 def state_asof(events: DataFrame, states: DataFrame) -> DataFrame:
     """Every event of a game with the latest snapshot at or before its block, as `state`
     (null where there is none). `events` needs game_id, height, event_seq; events without a game
-    drop out."""
+    drop out. Of several snapshots of a game in one block, one is chosen by content.
+
+    Only the snapshots' blocks go through the ordered plan; the snapshots join by game and block."""
     payload = [c for c in states.columns if c != "game_id"]
     extra = [c for c in events.columns if c not in ("game_id", "height", "event_seq")]
-    # Snapshots sort before the events of their block; which of several in one block comes last
-    # is fixed by their content.
+    one = (states.filter(F.col("game_id").isNotNull()).groupBy("game_id", F.col("as_of_block").alias("_block"))
+           .agg(F.max_by(F.struct(*payload), F.xxhash64(*payload)).alias("state")))
+    # Snapshots sort before the events of their block.
     marks = states.filter(F.col("game_id").isNotNull()).select(
         "game_id", F.col("as_of_block").alias("height"), F.lit(0).alias("kind"), F.lit(0).alias("event_seq"),
-        F.xxhash64(*payload).alias("tie"), F.struct(*payload).alias("snapshot"),
+        F.col("as_of_block").alias("_met"),
         *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in extra])
     asked = events.filter(F.col("game_id").isNotNull()).select(
-        "game_id", "height", F.lit(1).alias("kind"), "event_seq", F.lit(0).cast("bigint").alias("tie"),
-        F.lit(None).cast(marks.schema["snapshot"].dataType).alias("snapshot"), *extra)
-    order = ["height", "kind", "event_seq", "tie"]
-    matched = nearest(marks.unionByName(asked), ["game_id"], order, "snapshot", "state")
-    return matched.filter(F.col("kind") == 1).select("game_id", "height", "event_seq", *extra, "state")
+        "game_id", "height", F.lit(1).alias("kind"), "event_seq", F.lit(None).cast("bigint").alias("_met"), *extra)
+    placed = nearest(marks.unionByName(asked), ["game_id"], ["height", "kind", "event_seq"], "_met", "_block")
+    return placed.filter(F.col("kind") == 1).join(one, ["game_id", "_block"], "left").select(
+        "game_id", "height", "event_seq", *extra, "state")
 
 
 def legacy_hands(events: DataFrame, headers: DataFrame, states: DataFrame) -> DataFrame:

@@ -1,13 +1,9 @@
 """Ordered work per key without giving a hot key to one task.
 
 A plain window puts a whole key into one task, so a key holding a third of the rows takes a
-third of the job's time there. Rows of hot keys are cut into range slices over (key, order)
-instead: a hot key then spans several slices. The window runs inside a slice, and what must
-cross a slice border is carried over by a small table.
-
-Proven bounds, with n slices: fewer than n keys can hold more than an n-th of the rows each;
-n slices have n - 1 borders, each crossed by at most one key, so at most 2n (slice, key) pairs
-belong to keys that cross one. Only such tables are broadcast.
+third of the job's time there. `nearest` cuts every key into spans of its order, `global_rank`
+into range slices over (key, order). The window runs inside a piece, and what must cross its
+border is carried over by a table with a row per piece.
 """
 
 from __future__ import annotations
@@ -20,7 +16,7 @@ from pyspark.sql import functions as F
 from riverdeck.session import pinned, slice_count
 
 SLICE = "_slice"
-HOT_ROWS = 1_000_000  # a key with no more rows than this is no burden to a task
+SPAN = 10_000  # blocks, or other units of an order, that one window covers
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -36,54 +32,28 @@ def cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFram
             .repartitionById(slices, F.col(SLICE)))
 
 
-def _crossing_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys found in more than one slice: at most one per border."""
-    return (sliced.groupBy(SLICE, *keys).agg(F.lit(1).alias("_one"))
-            .groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than their share of the rows: fewer than there are slices."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    every = counts.agg(F.sum("_n")).scalar()
-    share = F.greatest(every / slice_count(df.sparkSession), F.lit(HOT_ROWS))
-    return counts.filter(F.col("_n") > share).select(*keys)
-
-
 def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-            following: bool = False) -> DataFrame:
-    """`out` = nearest non-null `value` at or before each row of its key, in `order`;
-    with `following`, at or after. Key columns must not be null."""
-    keys = list(keys)
+            following: bool = False, span: int | None = None) -> DataFrame:
+    """`out` = nearest non-null `value` at or before each row of its key, in `order`; with
+    `following`, at or after. Key columns must not be null; `order` starts with a number.
+
+    Windows run over (key, span of that number), so a key is dealt out over the spans it has rows
+    in. What a span hands on is one value; a second window carries it over the spans of the key, of
+    which there is one row each. One plan at every size, and nothing runs before an action."""
+    keys, number, width = list(keys), order[0], span or SPAN
     # A frame that runs to the end of the partition costs quadratic time, so look backwards
     # over the reversed order instead.
     way = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
-
-    def seen(*within: str) -> Column:
-        ordered = Window.partitionBy(*within).orderBy(*[way(c) for c in order])
-        return F.last(value, ignorenulls=True).over(
-            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    hot = pinned(hot_keys(df, keys), "hot-keys")
-    if hot.isEmpty():
-        return df.withColumn(out, seen(*keys))
-    few = F.broadcast(hot)
-    plain = df.join(few, keys, "left_anti").withColumn(out, seen(*keys))
-
-    sliced = pinned(
-        cut(df.join(few, keys, "left_semi"), keys, [F.col(c).asc() for c in order])
-        .withColumn("_seen", seen(SLICE, *keys)), "slices")
-    # The value visible at a slice's border is its last one, or its first when looking forward.
-    at = F.when(F.col(value).isNotNull(), F.struct(*order))
+    within = Window.partitionBy(*keys, SLICE).orderBy(*[way(c) for c in order])
+    seen = F.last(value, ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sliced = df.withColumn(SLICE, F.floor(F.col(number) / width))
     pick = F.min_by if following else F.max_by
-    edges = (sliced.join(F.broadcast(_crossing_keys(sliced, keys)), keys, "left_semi")
-             .groupBy(SLICE, *keys).agg(pick(F.col(value), at).alias("_edge")))
-    earlier = Window.partitionBy(*keys).orderBy(way(SLICE)).rowsBetween(
-        Window.unboundedPreceding, -1)  # at most one row per slice
-    carried = edges.select(
-        SLICE, *keys, F.last("_edge", ignorenulls=True).over(earlier).alias("_carried"))
-    joined = sliced.join(F.broadcast(carried), [SLICE, *keys], "left")
-    return plain.unionByName(joined.select(*df.columns, F.coalesce("_seen", "_carried").alias(out)))
+    edges = sliced.groupBy(*keys, SLICE).agg(
+        pick(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_edge"))
+    earlier = Window.partitionBy(*keys).orderBy(way(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(*keys, SLICE, F.last("_edge", ignorenulls=True).over(earlier).alias("_carried"))
+    return sliced.withColumn("_seen", seen).join(carried, [*keys, SLICE], "left").select(
+        *df.columns, F.coalesce("_seen", "_carried").alias(out))
 
 
 def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence[str] = (),
@@ -100,15 +70,14 @@ def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence
     # Per slice and key: how many rows it holds, and where its last (lowest) value starts.
     summary = local.groupBy(SLICE, *keys).agg(
         F.count("*").alias("_rows"), F.min(by).alias("_lowest"), F.max("_local").alias("_starts"))
-    if keys:
-        summary = summary.join(F.broadcast(_crossing_keys(local, keys)), keys, "left_semi")
-    # At most one row per slice and key; without keys, one row per slice in all.
+    # One row per slice and key it holds; without keys, one row per slice in all.
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    offsets = pinned(summary.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))), "offsets")
     # A value that ends one slice may go on in the next: its rank is where it first appeared.
-    spanning = (offsets.groupBy(*keys, F.col("_lowest").alias(by))
-                .agg(F.min(F.col("_before") + F.col("_starts")).alias("_spanned")))
-    return (local.join(F.broadcast(offsets.select(SLICE, *keys, "_before")), [SLICE, *keys], "left")
-            .join(F.broadcast(spanning), [*keys, by], "left")
+    spanning = pinned(offsets.groupBy(*keys, F.col("_lowest").alias(by))
+                      .agg(F.min(F.col("_before") + F.col("_starts")).alias("_spanned")), "spanning")
+    # Both are written: Spark sees their sizes, and broadcasts them only under its own threshold.
+    return (local.join(offsets.select(SLICE, *keys, "_before"), [SLICE, *keys], "left")
+            .join(spanning, [*keys, by], "left")
             .select(*df.columns, F.coalesce(
                 "_spanned", F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(out)))

@@ -12,9 +12,9 @@ from riverdeck.operators.states import legacy_hands, showdowns
 from riverdeck.plans import slices
 
 
-@pytest.fixture(params=[0, 1_000_000], ids=["sliced", "plain"])
+@pytest.fixture(params=[7, slices.SPAN], ids=["many spans", "one span"])
 def hot_rows(request, monkeypatch):
-    monkeypatch.setattr(slices, "HOT_ROWS", request.param)
+    monkeypatch.setattr(slices, "SPAN", request.param)
 
 
 def chain(seed, blocks=60, per_block=6):
@@ -205,3 +205,11 @@ def test_insert_if_absent_keeps_existing_and_first_incoming(spark):
     new = spark.createDataFrame([("a", 2, 1), ("b", 3, 2), ("b", 4, 1)], "k string, v int, t int")
     assert sorted(tuple(r) for r in folds.insert_if_absent(old, new, ["k"], ["t"]).collect()) == [
         ("a", 1, 0), ("b", 4, 1)]
+
+
+def test_the_first_card_row_stays_whole(spark):
+    rows = [("g", 1, 10, "Ah", "hole", 0, "2026-01-09"), ("g", 1, 20, "Ah", "hole", 0, "2026-01-01"),
+            ("g", 1, 5, "Kd", "hole", 1, "2026-01-02")]
+    frame = spark.createDataFrame(rows, "game_id string, hand_number int, block_height bigint, card string, "
+                                        "card_type string, position int, indexed_at string")
+    assert sorted(tuple(r) for r in folds.dedupe_cards(frame).collect()) == sorted([rows[0], rows[2]])

@@ -8,15 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riverdeck.plans import slices
-from riverdeck.plans.slices import global_rank, hot_keys, nearest
+from riverdeck.plans.slices import global_rank, nearest
 from riverdeck.session import pinned, scratch_root, scratch_scope
 
 
-@pytest.fixture(params=["hot keys sliced", "plain"], autouse=True)
-def hot_rows(request, monkeypatch):
-    """Run everything with the sliced plan forced on small data, and with the plain one."""
-    if request.param != "plain":
-        monkeypatch.setattr(slices, "HOT_ROWS", 0)
+@pytest.fixture(params=[3, 50, slices.SPAN], autouse=True)
+def span(request, monkeypatch):
+    """Keys cut into many spans, a few, and one."""
+    monkeypatch.setattr(slices, "SPAN", request.param)
 
 
 def skewed_rows(count, hot_share=0.5, seed=0):
@@ -62,12 +61,21 @@ def test_global_rank_equals_window_rank(spark, values, keys):
     assert sorted(map(tuple, global_rank(frame, "v", ["id"], keys).collect())) == sorted(map(tuple, plain.collect()))
 
 
-def test_few_keys_are_hot(spark, monkeypatch):
-    monkeypatch.setattr(slices, "HOT_ROWS", 0)
-    frame = spark.createDataFrame(skewed_rows(400, 0.5), "k string, at int, v int")
-    assert [r.k for r in hot_keys(frame, ["k"]).collect()] == ["hot"]
-    monkeypatch.setattr(slices, "HOT_ROWS", 1000)
-    assert hot_keys(frame, ["k"]).isEmpty()
+def test_spans_meet_at_any_number(spark):
+    rows = [("k", at, at if at % 5 == 0 else None) for at in (-11, -10, -1, 0, 1, 2, 9, 10, 11, 500)]
+    frame = spark.createDataFrame(rows, "k string, at int, v int")
+    for following in (False, True):
+        found = {r["at"]: r.found for r in nearest(frame, ["k"], ["at"], "v", "found", following).collect()}
+        assert found == walked(rows, following)
+
+
+def test_nothing_runs_before_an_action(spark):
+    frame = spark.createDataFrame(skewed_rows(50), "k string, at int, v int")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "nearest")
+    nearest(frame, ["k"], ["at"], "v", "found")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup("building") == []
 
 
 def test_empty_input(spark):
