@@ -8,10 +8,8 @@ from riverdeck.catalog.entry import Entry
 from riverdeck.catalog.events import SESSION_SQL, STARTED_SQL
 from riverdeck.catalog.hands import PROGRESS
 from riverdeck.fixtures import view, with_views
-from riverdeck.operators.events import dedupe_events
-from riverdeck.schemas import EVENTS as EVENT_SCHEMA
 from riverdeck.session import scratch_path, slice_count
-from riverdeck.streaming import counters, hands, ingest, logs, sessions
+from riverdeck.streaming import counters, hands, ingest, sessions
 
 BATCHES = 4
 
@@ -55,22 +53,16 @@ def _hands(spark, sf_dir):
 
 def _sessions(spark, sf_dir):
     events = view(spark, sf_dir, "fx_events")
-    out = _taken_up(staging.portions(events, "height"), spark, "sessions", sessions.start_sessions)
+    first, *others = staging.portions(events, "height")
+    out = _taken_up([first, *others, first], spark, "sessions", sessions.start_sessions)  # the first lands twice
     return sessions.current_sessions(spark, out).drop("join_seq")
 
 
 def _deduped(spark, sf_dir):
-    """The chain events land twice; each is kept once."""
-    def start(stream, out, checkpoint):
-        def each_batch(batch, batch_id):
-            logs.write_batch(batch, out, "events", batch_id)
-            logs.commit(batch.sparkSession, out, batch_id)
-
-        return logs.start(dedupe_events(stream).writeStream, each_batch, checkpoint, None)
-
+    """The chain lands in portions, the newest first, and then all of it again; each event is kept once."""
     events = view(spark, sf_dir, "fx_events")
-    out = _taken_up([events, events], spark, "deduped", start)
-    return logs.read_log(spark, out, "events", EVENT_SCHEMA).drop(logs.BATCH)
+    landed = [*reversed(list(staging.portions(events, "height"))), events]
+    return ingest.landed_events(spark, _taken_up(landed, spark, "deduped", ingest.start_dedupe))
 
 
 ENTRIES = [

@@ -91,11 +91,6 @@ def session_events(events: DataFrame) -> DataFrame:
                     F.when(joined, _whole("buy_in_amount")).otherwise(_whole("refund_amount")).alias("amount")))
 
 
-def dedupe_events(events: DataFrame, within: int | None = None) -> DataFrame:
-    """Drop replayed events, in batch or stream. On a stream, `within` (blocks) bounds the
-    state: a block counts as one second of event time and keys older than that are forgotten."""
-    if within is None:
-        return events.dropDuplicates(["height", "event_seq"])
-    return (events.withColumn("_at", F.timestamp_seconds("height"))
-            .withWatermark("_at", f"{within} seconds")
-            .dropDuplicatesWithinWatermark(["height", "event_seq"]).drop("_at"))
+def dedupe_events(events: DataFrame) -> DataFrame:
+    """Drop replayed events. (On a stream `streaming.logs.unseen` does it, without growing state.)"""
+    return events.dropDuplicates(["height", "event_seq"])

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riverdeck import schemas
 from riverdeck.operators.events import dedupe_events
 from riverdeck.operators.folds import progress
+from riverdeck.session import pinned, scratch_scope
 from riverdeck.sources.blocks import decode, flatten, raw_events, scanned_heights
 from riverdeck.streaming import logs
 
@@ -64,6 +65,22 @@ def start_ingest(spark: SparkSession, landing: str, out: str, checkpoint: str, t
         read_documents(spark, landing, files_per_batch).writeStream, each_batch, checkpoint, trigger)
 
 
+def start_dedupe(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Land a stream of events, each once, under `out`; replays may come in any later batch, and events
+    that come late are kept. No state: replays are looked up in what has landed."""
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        with scratch_scope(session):
+            rows = pinned(batch.select(*schemas.EVENTS.names))
+            high = logs.high_before(session, out, batch_id) if batch_id > 0 else None
+            logs.write_batch(logs.unseen(rows, out, "events", batch_id, ["height", "event_seq"], "height", high),
+                             out, "events", batch_id, "type")
+            hi = rows.agg(F.max("height")).first()[0]
+        logs.commit(session, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
+
+    return logs.start(events.writeStream, each_batch, checkpoint, trigger)
+
+
 def landed_events(spark: SparkSession, out: str) -> DataFrame:
     """The event log; `type` and the batch number prune folders, the rest prunes columns."""
     return logs.read_log(spark, out, "events", schemas.EVENTS).drop(logs.BATCH)

@@ -55,6 +55,22 @@ def read_log(spark: SparkSession, root: str, name: str, schema: StructType) -> D
     return rows.filter(F.col(BATCH) <= (-1 if newest is None else newest))
 
 
+def unseen(rows: DataFrame, root: str, name: str, batch_id: int, keys: Sequence[str], position: str,
+           high: int | None) -> DataFrame:
+    """`rows` less those whose `keys` repeat among themselves or stand in the log `name` of earlier batches.
+
+    `high` is the highest position logged so far. Positions arrive in order but for replays and late
+    rows, so the lookup reads the log only where the batch reaches back, and only that range of it."""
+    once = rows.dropDuplicates(list(keys))
+    lo, hi = rows.agg(F.min(position), F.max(position)).first()
+    if high is None or lo is None or lo > high:
+        return once
+    schema = StructType([field for field in rows.schema if field.name in keys])
+    known = (rows.sparkSession.read.schema(StructType([*schema.fields]).add(BATCH, LongType())).parquet(f"{root}/{name}")
+             .filter((F.col(BATCH) < batch_id) & F.col(position).between(lo, hi)).select(*keys))
+    return once.join(known, list(keys), "left_anti")
+
+
 def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The newest version of each key in a log of changed rows."""
     rest = [c for c in rows.columns if c not in (*keys, BATCH)]

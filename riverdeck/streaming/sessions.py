@@ -1,8 +1,8 @@
 """The session fold on a stream.
 
 What is carried from batch to batch is the table of open sessions, so a batch costs as much as
-its own events plus the sessions open at the time, not the history. Events must arrive in
-block order, as the chain yields them.
+its own events plus the sessions open at the time, not the history. Moves must arrive in block
+order, as the chain yields them; a move that arrives again, in any later batch, is dropped.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from riverdeck.schemas import SESSIONS
 from riverdeck.session import pinned, scratch_scope
 from riverdeck.streaming import logs
 
+_PLACE = ["height", "event_seq"]
 _LOGGED = StructType([*SESSIONS.fields]).add("still_open", IntegerType())
 
 
@@ -31,15 +32,19 @@ def _reopened(open_sessions: DataFrame) -> DataFrame:
 def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        moves = session_events(batch)
-        if batch_id > 0:
-            carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
-            moves = moves.unionByName(_reopened(carried))
         with scratch_scope(spark):
-            # pinned: the fold reads its input more than once, and decoding is the dear part
-            folded = fold_sessions(pinned(moves)).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
+            # pinned: the moves are read more than once, and decoding is the dear part
+            moves = pinned(session_events(batch))
+            high = logs.high_before(spark, out, batch_id) if batch_id > 0 else None
+            fresh = pinned(logs.unseen(moves, out, "moves", batch_id, _PLACE, "height", high))
+            logs.write_batch(fresh.select(*_PLACE), out, "moves", batch_id)
+            hi = moves.agg(F.max("height")).first()[0]
+            if batch_id > 0:
+                carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
+                fresh = fresh.unionByName(_reopened(carried))
+            folded = fold_sessions(fresh).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
             logs.write_batch(folded, out, "sessions", batch_id, "still_open")
-        logs.commit(spark, out, batch_id)
+        logs.commit(spark, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
 
     return logs.start(events.writeStream, each_batch, checkpoint, trigger)
 

@@ -8,7 +8,7 @@ from test_decode import block, event, events_frame
 from test_folds import chain, replay_hands, replay_sessions, sessions_of
 
 from riverdeck import schemas
-from riverdeck.operators.events import actions, dedupe_events
+from riverdeck.operators.events import actions
 from riverdeck.operators.lookup import scan_gaps
 from riverdeck.streaming import counters, hands, ingest, logs, sessions
 
@@ -135,18 +135,29 @@ def test_counters_equal_batch_after_restart(spark, tmp_path):
         assert {r.card: (r.total, r.community, r.hole) for r in found} == expected
 
 
-@pytest.mark.parametrize("within", [None, 10])
-def test_replays_are_dropped(spark, tmp_path, within):
+def test_replays_are_dropped_and_late_events_kept(spark, tmp_path):
     landing, out = tmp_path / "in", str(tmp_path / "out")
-    rows = [dict(height=h, event_seq=s, type="x") for h in range(1, 9) for s in range(3)]
-    for part in (rows[:12], rows[6:], rows[:3]):
+    rows = [dict(height=h, event_seq=s, type="x") for h in (5000, *range(1, 9)) for s in range(3)]
+    for part in (rows[:12], rows[6:], rows[:3], rows[4:6] + rows[4:6]):
         land(spark, landing, part)
+        ingest.start_dedupe(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    found = ingest.landed_events(spark, out)
+    assert sorted((r.height, r.event_seq) for r in found.collect()) == sorted((r["height"], r["event_seq"]) for r in rows)
 
-    def each_batch(batch, batch_id):
-        logs.write_batch(batch, out, "events", batch_id)
-        logs.commit(batch.sparkSession, out, batch_id)
 
-    stream = dedupe_events(tail(spark, landing), within)
-    logs.start(stream.writeStream, each_batch, str(tmp_path / "c"), None).awaitTermination()
-    found = logs.read_log(spark, out, "events", schemas.EVENTS)
-    assert sorted((r.height, r.event_seq) for r in found.collect()) == [(r["height"], r["event_seq"]) for r in rows]
+def test_replayed_joins_open_no_second_session(spark, tmp_path, parts):
+    rows, files = parts
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    for part in (files[0], files[1], files[0], files[2], [*files[1], *files[2]], *files[3:]):
+        land(spark, landing, part)
+        sessions.start_sessions(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    found = sessions.current_sessions(spark, out)
+    assert sessions_of(found) == replay_sessions(rows)
+    assert found.count() == found.select("player_address", "game_id", "join_block").distinct().count()
+
+
+def test_old_commit_rows_go_but_the_high_mark_stays(spark, tmp_path):
+    out = str(tmp_path)
+    for batch in range(25):
+        logs.commit(spark, out, batch, high=100 if batch == 0 else max(100, batch))
+    assert logs.high_before(spark, out, 25) == 100 and logs.last_commit(spark, out) == 24
