@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BASE64 = "^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
-_ATTRIBUTE_NAME = "^[a-z_]+$"
-_WHOLE_NUMBER = "^[+-]?[0-9]+$"
+_BASE64 = "^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\\z"
+_ATTRIBUTE_NAME = "^[a-z_]+\\z"
+_WHOLE_NUMBER = "^[+-]?[0-9]+\\z"
 _LONG_MAX, _LONG_MIN = 2**63 - 1, -(2**63)
 
 

@@ -96,13 +96,13 @@ def progress(heights: DataFrame, start: int = 1, every: int = PROGRESS_EVERY) ->
 
 
 def dedupe_cards(cards: DataFrame, dedupe: bool = True) -> DataFrame:
-    """One row per (hand, card type, position, card): what a replayed insert should leave.
-    `dedupe=False` keeps the rows as they came."""
+    """One row per (hand, card type, position, card): the first one, whole, as a replayed insert leaves it.
+    First is lowest block, then lowest of the other columns. `dedupe=False` keeps the rows as they came."""
     if not dedupe:
         return cards
     key = ["game_id", "hand_number", "card_type", "position", "card"]
-    rest = [c for c in cards.columns if c not in key]
-    return cards.groupBy(*key).agg(*[F.min(c).alias(c) for c in rest]).select(*cards.columns)
+    rest = ["block_height", *[c for c in cards.columns if c not in (*key, "block_height")]]
+    return cards.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row")).select(*key, "_row.*").select(*cards.columns)
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],

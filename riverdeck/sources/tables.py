@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riverdeck import schemas
 
@@ -25,6 +28,15 @@ def append_actions(actions: DataFrame, root: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame as CSV part files with header, and return it read back."""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+    """Write a frame as CSV part files with header, and return it read back. Texts come back as they
+    were: quotes are doubled, line breaks stay inside quotes, blanks stay, an empty text is "" and a
+    null is nothing."""
+    how = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""', "multiLine": True,
+           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
+    df.write.mode("overwrite").options(**how).csv(path)
+    # The reader tells "" from nothing, but would then take "" for its null text: have it say something else.
+    empty = uuid.uuid4().hex
+    found = df.sparkSession.read.schema(df.schema).options(**{**how, "emptyValue": empty}).csv(path)
+    return found.select(*[
+        F.when(F.col(f.name) == empty, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema])

@@ -169,3 +169,9 @@ def test_block_range_and_resume(spark):
     some = spark.createDataFrame([(10,)], "block_height bigint")
     assert tuple(blocks.resume_point(none, rows, 5).first()) == (0, 5, 10, False)
     assert tuple(blocks.resume_point(some, rows, 5).first()) == (10, 11, 10, True)
+
+
+def test_a_line_break_makes_no_number(spark):
+    frame = spark.createDataFrame([("12\n",), ("12",)], "t string")
+    found = frame.select(lenient_int(F.col("t")).alias("n"), effective_height(F.col("t"), F.lit(7).cast("bigint")).alias("h"))
+    assert [tuple(r) for r in found.collect()] == [(0, 7), (12, 12)]

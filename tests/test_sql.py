@@ -4,7 +4,7 @@ import pytest
 
 from riverdeck import schemas, sql
 from riverdeck.fixtures import view
-from riverdeck.sources.tables import read_table, write_table
+from riverdeck.sources.tables import export_csv, read_table, write_table
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +43,10 @@ def test_tables_round_trip(spark, tmp_path):
     assert sorted(read_table(spark, str(tmp_path), "revealed_cards").collect()) == sorted(cards.collect())
     assert set(sql.register_tables(spark, str(tmp_path), "revealed_cards")) == {"revealed_cards"}
     assert spark.sql("SELECT count(*) FROM revealed_cards").first()[0] == 2
+
+
+def test_csv_gives_texts_back(spark, tmp_path):
+    texts = ["a\nb", "a\r\nb", " sp ", "", None, 'say "x"', "a,b", '"', "\\", "\t", "NULL"]
+    frame = spark.createDataFrame([(i, t, i * 2) for i, t in enumerate(texts)], "i int, t string, n int")
+    found = export_csv(frame, str(tmp_path / "csv")).collect()
+    assert sorted((r.i, r.t, r.n) for r in found) == [(i, t, i * 2) for i, t in enumerate(texts)]
