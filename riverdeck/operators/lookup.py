@@ -9,7 +9,6 @@ from riverdeck.constants import MICRO_UNITS, PAGE_LIMIT
 from riverdeck.plans.paging import beside, page, top, top_per_key
 
 HAND_KEY = ["game_id", "hand_number"]
-POSITIONS_PER_ROW = 64
 
 
 def _newest_first() -> list[Column]:
@@ -39,26 +38,15 @@ def hands_after(hands: DataFrame, block_height: int, hand_number: int, game_id:
 
 
 def hand_details(hands: DataFrame, results: DataFrame, cards: DataFrame) -> DataFrame:
-    """Every hand with its result, if any, and its revealed cards as ordered text.
-
-    Cards are listed as type:position:card, followed by xN when revealed N times. Copies are
-    counted before the shuffle, and a row lists 64 positions: a longer hand goes on in the
-    next `part`. A hand of the game fits part 0."""
-    def entry(shown: Column) -> Column:
-        name = F.concat_ws(":", shown["card_type"], shown["position"].cast("string"), shown["card"])
-        return F.when(shown["n"] > 1, F.concat(name, F.lit(" x"), shown["n"].cast("string"))).otherwise(name)
-
-    part = (F.coalesce("position", F.lit(0)) / POSITIONS_PER_ROW).cast("int").alias("part")
-    listed = F.sort_array(F.collect_list(F.struct("card_type", "position", "card", "n")))
-    shown = (cards.groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("n"))
-             .repartition(*HAND_KEY)  # serves the listing and the join below
-             .groupBy(*HAND_KEY, part).agg(listed.alias("shown"))
-             .select(*HAND_KEY, "part", F.array_join(F.transform("shown", entry), ",").alias("revealed")))
+    """Every hand with its result, if any, and its revealed cards: one row per hand, card type, position
+    and card, with the number of times it was revealed; a hand without cards has one row without a card.
+    No row grows with the data, whatever a hand was sent."""
+    shown = cards.groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("times_revealed"))
     outcome = results.select(*HAND_KEY, "community_cards", "winner_count")
     return (hands.join(outcome, HAND_KEY, "left").join(shown, HAND_KEY, "left")
             .select("game_id", "hand_number", "block_height", "deck_seed", "deck", "tx_hash", "indexed_at",
                     F.array_join("community_cards", ",").alias("community_cards"), "winner_count",
-                    F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("revealed", F.lit("")).alias("revealed")))
+                    "card_type", "position", "card", F.coalesce("times_revealed", F.lit(0)).alias("times_revealed")))
 
 
 def hand_cards(cards: DataFrame, game_id: str, hand_number: int) -> DataFrame:
@@ -72,8 +60,8 @@ def recent_actions(actions: DataFrame, player: str | None = None, k: int = 20) -
     """The last k actions of every player, or of one."""
     if player is not None:
         actions = actions.filter(F.col("player_address") == player)
-    newest = [F.desc("block_height"), F.asc("game_id"), F.asc("action"), F.asc("amount")]
-    return top_per_key(actions.select("player_address", "game_id", "action", "amount", "block_height"),
+    newest = [F.desc("block_height"), F.asc("game_id"), F.asc("action"), F.asc("amount"), F.asc("indexed_at")]
+    return top_per_key(actions.select("player_address", "game_id", "action", "amount", "block_height", "indexed_at"),
                        ["player_address"], newest, k).drop("game_id")
 
 

@@ -33,6 +33,20 @@ def vip_tier_changes(current: DataFrame) -> DataFrame:
         F.lit(TIER_CHANGE_REASON).alias("reason"))
 
 
+def apply_vip_tiers(tiers: DataFrame, changes: DataFrame) -> DataFrame:
+    """(player_address, vip_tier) after the changes of `vip_tier_changes`."""
+    moved = changes.select("player_address", "new_tier")
+    return tiers.join(moved, "player_address", "left").select(
+        "player_address", F.coalesce("new_tier", "vip_tier").alias("vip_tier"))
+
+
+def vip_tier_history(changes: DataFrame, changed_at: str | None = None) -> DataFrame:
+    """The changes as rows of the history table, stamped now or with the given time; append them with
+    `sources.tables.write_table(..., mode="append")`."""
+    at = F.lit(changed_at).cast("timestamp_ntz") if changed_at else F.current_timestamp().cast("timestamp_ntz")
+    return changes.select("player_address", "old_tier", "new_tier", "reason", at.alias("changed_at"))
+
+
 def vip_distribution(stats: DataFrame) -> DataFrame:
     """Per tier: players, rake, mean hands, mean profit."""
     def mean(name: str):

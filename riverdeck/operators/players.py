@@ -76,6 +76,18 @@ def player_stats(actions: DataFrame, sessions: DataFrame, monthly: DataFrame | N
         (zero("biggest_pot_won") if pots is not None else F.lit(0).cast("bigint")).alias("biggest_pot_won"))
 
 
+def wide_player_stats(stats: DataFrame, actions: DataFrame, sessions: DataFrame, month: DataFrame,
+                      states: DataFrame | None = None) -> DataFrame:
+    """The whole player row: the summary with playing style, rake of the current month (`loyalty.month_rake`),
+    points and the longest session. Each part is one row per player, so the joins keep the summary's rows."""
+    style = play_style(actions, states).drop("total_hands")
+    rake = month.select("player_address", "current_month_rake")
+    joined = (stats.join(style, "player_address", "left").join(rake, "player_address", "left")
+              .join(session_records(sessions), "player_address", "left"))
+    return (joined.withColumn("vip_points", vip_points(F.col("total_rake_contributed")))
+            .na.fill(0, ["current_month_rake", "longest_session_blocks"]))
+
+
 def profiles(stats: DataFrame) -> DataFrame:
     """Display form of the summary: money in currency units, aggression as a ratio."""
     def scaled(name: str, by: float) -> Column:

@@ -12,7 +12,6 @@ from riverdeck.operators.distribution import deal, frequency_fields
 from riverdeck.operators.lookup import hand_figures, summary_fields
 from riverdeck.plans.paging import beside
 
-GAMES_PER_ROW = 100_000  # a seed is met in no more games than it has uses
 FREEDOM = {"card": c.DECK_SIZE - 1, "suit": len(c.SUITS) - 1, "rank": len(c.RANKS) - 1}
 
 
@@ -89,21 +88,26 @@ def chi_squared_pvalue(cards: DataFrame, by: str | None = None) -> DataFrame:
     return _with_pvalues(uniformity(cards), kinds).select(F.inline(tests))
 
 
+def _seed_games(hands: DataFrame) -> DataFrame:
+    """One row per (seed, game): a hot seed spreads over its games."""
+    return hands.groupBy("deck_seed", "game_id").agg(
+        F.count("*").alias("uses"), F.min("block_height").alias("lo"), F.max("block_height").alias("hi"))
+
+
 def duplicate_seeds(hands: DataFrame) -> DataFrame:
-    """Seeds used more than once, the empty seed included: uses, first and last block, games.
-
-    Rows shrink to one per (seed, game) before they meet. A seed used very often gets one row
-    per `part`, each with a bounded share of its games; the other columns repeat."""
-    seeds = (hands.groupBy("deck_seed")
-             .agg(F.count("*").alias("times_used"), F.min("block_height").alias("first_block"),
-                  F.max("block_height").alias("last_block"))
-             .filter(F.col("times_used") > 1))
-    parts = F.ceil(F.col("times_used") / F.lit(GAMES_PER_ROW))
-    row = ["deck_seed", "times_used", "first_block", "last_block", "part"]
-    return (hands.select("deck_seed", "game_id").distinct().join(seeds, "deck_seed")
-            .withColumn("part", F.pmod(F.xxhash64("game_id"), parts).cast("int"))
-            .repartition("deck_seed", "part")
-            .groupBy(*row).agg(F.array_join(F.sort_array(F.collect_list("game_id")), ",").alias("games")))
+    """One row per seed used more than once, the empty seed included: uses, first and last block, and
+    in how many games. `duplicate_seed_games` lists the games."""
+    return (_seed_games(hands).groupBy("deck_seed")
+            .agg(F.sum("uses").alias("times_used"), F.min("lo").alias("first_block"),
+                 F.max("hi").alias("last_block"), F.count("game_id").alias("game_count"))
+            .filter(F.col("times_used") > 1))
+
+
+def duplicate_seed_games(hands: DataFrame) -> DataFrame:
+    """One row per game of a seed used more than once, with its uses there."""
+    games = _seed_games(hands).select("deck_seed", "game_id", "uses")
+    often = games.groupBy("deck_seed").agg(F.sum("uses").alias("times_used")).filter("times_used > 1").select("deck_seed")
+    return games.join(often, "deck_seed", "left_semi")
 
 
 def duplicate_seed_count(hands: DataFrame) -> DataFrame:

@@ -43,6 +43,7 @@ def register_card_views(spark: SparkSession, hands: DataFrame, results: DataFram
         "community_card_sequences": d.card_sequences(cards),
         "distribution_over_time": d.timeline(cards),
         "seed_entropy_analysis": r.duplicate_seeds(hands),
+        "seed_entropy_games": r.duplicate_seed_games(hands),
         "seed_character_distribution": r.seed_characters(hands),
         "total_hands_summary": lookup.totals(hands, results, cards),
     }

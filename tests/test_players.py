@@ -152,18 +152,18 @@ def test_keyset_pages_meet_every_hand_once(spark):
     assert seen == sorted((r[:3] for r in rows), key=lambda h: (-h[2], -h[1], h[0]))
 
 
-def test_details_list_cards_once_with_their_copies_and_split_long_hands(spark):
+def test_details_list_cards_once_with_their_copies(spark):
     hands = hands_frame(spark)
     results = spark.createDataFrame([("g", 1, 9, ["Ah", "Kd"], 2, "", None)], schemas.TABLES["hand_results"])
-    shown = [("g", 1, 1, "Ah", "community", 0, None)] * 3 + [("g", 1, 1, "2c", "hole", 1, None),
-                                                             ("g", 2, 1, "2c", "hole", 1, None),
-                                                             ("g", 2, 1, "3c", "hole", 70, None)]
+    shown = [("g", 1, 1, "Ah", "community", 0, None)] * 3 + [("g", 1, 1, "2c", "hole", 1, None)] + [
+        ("g", 2, 1, "2c", "hole", at, None) for at in range(130)]
     cards = spark.createDataFrame(shown, schemas.TABLES["revealed_cards"])
-    found = {(r.hand_number, r.part): (r.community_cards, r.winner_count, r.revealed)
-             for r in k.hand_details(hands, results, cards).collect()}
-    assert found[(1, 0)] == ("Ah,Kd", 2, "community:0:Ah x3,hole:1:2c")
-    assert found[(2, 0)] == (None, None, "hole:1:2c") and found[(2, 1)] == (None, None, "hole:70:3c")
-    assert found[(3, 0)] == (None, None, "") and len(found) == 13
+    found = k.hand_details(hands, results, cards).collect()
+    rows = {(r.hand_number, r.card_type, r.position): (r.community_cards, r.winner_count, r.card, r.times_revealed)
+            for r in found}
+    assert rows[(1, "community", 0)] == ("Ah,Kd", 2, "Ah", 3) and rows[(1, "hole", 1)] == ("Ah,Kd", 2, "2c", 1)
+    assert sum(r.hand_number == 2 for r in found) == 130 and rows[(2, "hole", 129)] == (None, None, "2c", 1)
+    assert rows[(3, None, None)] == (None, None, None, 0) and len(rows) == len(found)
     assert [tuple(r) for r in k.hand_cards(cards, "g", 1).collect()] == [
         ("2c", "hole", 1)] + [("Ah", "community", 0)] * 3
 

@@ -128,8 +128,8 @@ def test_sequences_multiply_repeats_without_pairing_rows(spark):
 
 def test_seed_checks(spark):
     hands = hands_of(spark, ["ab", "ab", "ab", "", "", "AF", "cz"])
-    assert {(x.deck_seed, x.times_used, x.first_block, x.last_block, x.games)
-            for x in r.duplicate_seeds(hands).collect()} == {("ab", 3, 0, 2, "g0,g1"), ("", 2, 3, 4, "g0,g1")}
+    assert {(x.deck_seed, x.times_used, x.first_block, x.last_block, x.game_count)
+            for x in r.duplicate_seeds(hands).collect()} == {("ab", 3, 0, 2, 2), ("", 2, 3, 4, 2)}
     row = r.seed_uniqueness(hands).first()
     assert (row.total_seeds, row.unique_seeds, row.duplicate_count) == (5, 3, 2)
     assert row.entropy_score == pytest.approx(60.0)
@@ -139,13 +139,15 @@ def test_seed_checks(spark):
     assert {x.char for x in r.seed_characters(hands, lower=True).collect()} == {"a", "b", "c", "f"}
 
 
-def test_a_busy_seed_splits_its_games(spark, monkeypatch):
-    monkeypatch.setattr(r, "GAMES_PER_ROW", 10)
-    hands = hands_of(spark, ["s"] * 50).withColumn("game_id", F.concat(F.lit("g"), "hand_number"))
-    rows = r.duplicate_seeds(hands).collect()
-    assert len(rows) > 1 and {x.times_used for x in rows} == {50}
-    games = [g for x in rows for g in x.games.split(",")]
-    assert sorted(games) == sorted(f"g{i}" for i in range(50))
+def test_a_busy_seed_is_one_row_and_lists_its_games(spark):
+    uses = spark.range(1_000_000).select(
+        F.concat(F.lit("g"), F.col("id") % 5).alias("game_id"), F.col("id").cast("int").alias("hand_number"),
+        F.col("id").alias("block_height"), F.lit("").alias("deck_seed"))
+    row = r.duplicate_seeds(uses).collect()
+    assert [tuple(x) for x in row] == [("", 1_000_000, 0, 999_999, 5)]
+    games = r.duplicate_seed_games(uses).collect()
+    assert sorted((x.game_id, x.uses) for x in games) == [(f"g{i}", 200_000) for i in range(5)]
+    assert r.duplicate_seed_count(uses).first()[0] == 1
 
 
 def test_document(spark):
