@@ -61,9 +61,9 @@ def test_runs_do_not_depend_on_where_a_text_is_cut():
 
 
 def test_factors_are_previous_and_next_matches():
-    order, earlier, later = factors(np.array([5, 3, 5, 5, 9], np.uint64), np.array([2, 1, 1, 2, 1]), np.array([4, 0, 9, 7, 3]))
+    order, earlier, later = factors(np.array([5, 3, 5, 3, 5, 9], np.uint64), np.array([24, 10, 19, 12, 27, 13]))
     seen = {int(k): (bool(e), bool(n)) for k, e, n in zip(order, earlier, later)}
-    assert seen == {1: (False, False), 2: (False, True), 0: (True, True), 3: (True, False), 4: (False, False)}
+    assert seen == {1: (False, True), 3: (True, False), 2: (False, True), 0: (True, True), 4: (True, False), 5: (False, False)}
 
 
 def test_report_of_a_table(spark, sf_dir):
