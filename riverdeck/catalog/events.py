@@ -129,6 +129,29 @@ select game_id, hand_number, arg_min(block_height, height * 100 + event_seq) as
        arg_max(deck_seed, height * 100 + event_seq) as deck_seed, arg_max(deck, height * 100 + event_seq) as deck
 from strong group by game_id, hand_number
 """
+CARDS_SQL = """
+, lists as (select game_id, cast(hand_number as int) as hand_number, height as block_height,
+                   'community' as card_type, string_split(community_cards, ',') as list
+            from fx_events where type = 'hand_completed'
+            union all
+            select game_id, cast(hand_number as int), height, 'hole', string_split(revealed_hole_cards, ',')
+            from fx_events where type = 'hand_completed' and revealed_hole_cards is not null),
+  placed as (select * exclude (list), unnest(list) as card, unnest(range(0, len(list))) as position from lists),
+  shown as (select game_id, hand_number, block_height, card, card_type, cast(position as int) as position
+            from placed where card <> '')
+"""
+ACTIONS_SQL = """
+select player as player_address, game_id, height as block_height, action, cast(amount as bigint) as amount
+from fx_events where type = 'action_performed'
+"""
+RESULTS_SQL = """
+, done as (select height * 100 + event_seq as pos, game_id, cast(hand_number as int) as hand_number, height,
+                  community_cards, coalesce(try_cast(winner_count as int), 0) as winner_count
+           from fx_events where type = 'hand_completed')
+select game_id, hand_number, arg_min(height, pos) as block_height, arg_max(community_cards, pos) as community_cards,
+       arg_max(winner_count, pos) as winner_count
+from done group by game_id, hand_number
+"""
 SESSION_SQL = """
 , moves as (select player as player_address, game_id, height, event_seq, type,
                    cast(coalesce(buy_in_amount, refund_amount, '0') as bigint) as amount
@@ -250,27 +273,11 @@ select height, event_seq, {} from fx_events""".format(
         "height", "event_seq", effective_height(F.col("block_height"), F.col("height")).alias("value")), EVENTS, """
 select height, event_seq, coalesce(try_cast(block_height as bigint), height) as value from fx_events"""),
     over("event_route", ev.event_counts, EVENTS, "select type, count(*) as n from fx_events group by type"),
-    over("cards_explode", lambda events: ev.explode_cards(ev.completed_hands(events)), EVENTS, """
-, lists as (select game_id, cast(hand_number as int) as hand_number, height as block_height,
-                   'community' as card_type, string_split(community_cards, ',') as list
-            from fx_events where type = 'hand_completed'
-            union all
-            select game_id, cast(hand_number as int), height, 'hole', string_split(revealed_hole_cards, ',')
-            from fx_events where type = 'hand_completed' and revealed_hole_cards is not null),
-  placed as (select * exclude (list), unnest(list) as card, unnest(range(0, len(list))) as position from lists)
-select game_id, hand_number, block_height, card, card_type, cast(position as int) as position
-from placed where card <> ''"""),
-    Entry("append_actions", _appended, with_views("""
-select player as player_address, game_id, height as block_height, action, cast(amount as bigint) as amount
-from fx_events where type = 'action_performed'""", EVENTS)),
+    over("cards_explode", lambda events: ev.explode_cards(ev.completed_hands(events)), EVENTS,
+         CARDS_SQL + "select * from shown"),
+    Entry("append_actions", _appended, with_views(ACTIONS_SQL, EVENTS)),
     over("hands_fold", _started, EVENTS, STARTED_SQL),
-    over("results_fold", _results, EVENTS, """
-, done as (select height * 100 + event_seq as pos, game_id, cast(hand_number as int) as hand_number, height,
-                  community_cards, coalesce(try_cast(winner_count as int), 0) as winner_count
-           from fx_events where type = 'hand_completed')
-select game_id, hand_number, arg_min(height, pos) as block_height, arg_max(community_cards, pos) as community_cards,
-       arg_max(winner_count, pos) as winner_count
-from done group by game_id, hand_number"""),
+    over("results_fold", _results, EVENTS, RESULTS_SQL),
     over("sessions_fold", lambda events: folds.fold_sessions(ev.session_events(events)).drop("join_seq"), EVENTS,
          SESSION_SQL),
     over("state_asof", _asof, f"{EVENTS} {STATES}", """

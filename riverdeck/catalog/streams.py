@@ -3,13 +3,15 @@ it left off, and the final state is returned. It must equal the batch result."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riverdeck import staging
 from riverdeck.catalog.entry import Entry
-from riverdeck.catalog.events import SESSION_SQL, STARTED_SQL
+from riverdeck.catalog.events import ACTIONS_SQL, CARDS_SQL, RESULTS_SQL, SESSION_SQL, STARTED_SQL
 from riverdeck.catalog.hands import PROGRESS
 from riverdeck.fixtures import view, with_views
 from riverdeck.session import scratch_path, slice_count
-from riverdeck.streaming import counters, hands, ingest, sessions
+from riverdeck.streaming import counters, hands, ingest, sessions, tables
 
 BATCHES = 4
 
@@ -58,6 +60,26 @@ def _sessions(spark, sf_dir):
     return sessions.current_sessions(spark, out).drop("join_seq")
 
 
+def _tables(current, compacted=False):
+    """The streamed tables, of which `current` reads one; `compacted`, after a base was made halfway."""
+    def run(spark, sf_dir):
+        def start(stream, out, checkpoint):
+            query = tables.start_tables(stream, out, checkpoint)
+            query.awaitTermination()
+            if compacted:
+                tables.compact_tables(spark, out)
+            return query
+
+        events = view(spark, sf_dir, "fx_events")
+        return current(spark, _taken_up(staging.portions(events, "height"), spark, "tables", start))
+
+    return run
+
+
+def _results(spark, out):
+    return tables.current_results(spark, out).withColumn("community_cards", F.array_join("community_cards", ","))
+
+
 def _deduped(spark, sf_dir):
     """The chain lands in portions, the newest first, and then all of it again; each event is kept once."""
     events = view(spark, sf_dir, "fx_events")
@@ -81,5 +103,11 @@ select player_address, count(*) as total_actions, min(block_height) as first_see
        max(block_height) as last_seen_block from fx_player_actions group by player_address""", "fx_player_actions")),
     Entry("stream_hands_fold", _hands, with_views(STARTED_SQL, "fx_events")),
     Entry("stream_sessions", _sessions, with_views(SESSION_SQL, "fx_events")),
+    Entry("stream_results_fold", _tables(_results, compacted=True), with_views(RESULTS_SQL, "fx_events")),
+    Entry("stream_revealed_cards", _tables(tables.current_cards, compacted=True), with_views(CARDS_SQL + """
+, numbered as (select *, row_number() over (partition by game_id, hand_number, card_type, position, card
+                                            order by block_height) as nth from shown)
+select * exclude (nth) from numbered where nth = 1""", "fx_events")),
+    Entry("stream_actions", _tables(tables.current_actions), with_views(ACTIONS_SQL, "fx_events")),
     Entry("stream_dedupe", _deduped, with_views("select * from fx_events", "fx_events")),
 ]

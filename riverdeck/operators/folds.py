@@ -54,6 +54,36 @@ def merge_hands(partials: DataFrame) -> DataFrame:
         F.max_by("deck_seed", "last_at").alias("deck_seed"), F.max_by("deck", "last_at").alias("deck"))
 
 
+def merge_hand_partials(partials: DataFrame) -> DataFrame:
+    """Partials of one hand as one partial."""
+    return partials.groupBy(*HAND_KEY).agg(
+        F.min("first_at").alias("first_at"), F.min_by("block_height", "first_at").alias("block_height"),
+        F.max("last_at").alias("last_at"), F.max_by("deck_seed", "last_at").alias("deck_seed"),
+        F.max_by("deck", "last_at").alias("deck"))
+
+
+def partial_results(completed: DataFrame) -> DataFrame:
+    """The mergeable state of `fold_results` for one batch of events."""
+    at = _arrival()
+    return completed.groupBy(*HAND_KEY).agg(
+        F.min(at).alias("first_at"), F.min_by("block_height", at).alias("block_height"),
+        F.max(at).alias("last_at"), F.max_by("community_cards", at).alias("community_cards"),
+        F.max_by("winner_count", at).alias("winner_count"))
+
+
+def merge_result_partials(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*HAND_KEY).agg(
+        F.min("first_at").alias("first_at"), F.min_by("block_height", "first_at").alias("block_height"),
+        F.max("last_at").alias("last_at"), F.max_by("community_cards", "last_at").alias("community_cards"),
+        F.max_by("winner_count", "last_at").alias("winner_count"))
+
+
+def merged_results(partials: DataFrame) -> DataFrame:
+    """Partials as result rows, as `fold_results` gives them."""
+    return merge_result_partials(partials).select(
+        *HAND_KEY, "block_height", ev.card_list(F.col("community_cards")).alias("community_cards"), "winner_count")
+
+
 def fold_results(completed: DataFrame) -> DataFrame:
     """One row per hand: first block, last community cards and winner count."""
     at = _arrival()

@@ -75,3 +75,9 @@ _ARRIVAL = _record(height=LONG, event_seq=INT)
 HAND_PARTIALS = _record(
     game_id=STRING, hand_number=INT, first_at=_ARRIVAL, block_height=LONG, last_at=_ARRIVAL,
     deck_seed=STRING, deck=STRING)
+RESULT_PARTIALS = _record(
+    game_id=STRING, hand_number=INT, first_at=_ARRIVAL, block_height=LONG, last_at=_ARRIVAL,
+    community_cards=STRING, winner_count=INT)
+CARD_LOG = _record(
+    game_id=STRING, hand_number=INT, block_height=LONG, card=STRING, card_type=STRING, position=INT)
+ACTION_LOG = _record(player_address=STRING, game_id=STRING, block_height=LONG, action=STRING, amount=LONG)

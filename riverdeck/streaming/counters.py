@@ -39,3 +39,8 @@ def start_counters(counts: DataFrame, out: str, checkpoint: str, trigger: dict |
 
 def current_counts(spark: SparkSession, out: str, schema: StructType, key: str) -> DataFrame:
     return logs.latest(logs.read_log(spark, out, "counts", schema), [key])
+
+
+def compact_counts(spark: SparkSession, out: str, schema: StructType, key: str) -> None:
+    """Keep the newest version of each key logged so far, in one base."""
+    logs.compact(spark, out, "counts", schema, lambda rows: logs.latest(rows, [key]))

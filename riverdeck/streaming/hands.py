@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riverdeck.operators.events import started_hands
-from riverdeck.operators.folds import merge_hands, partial_hands
+from riverdeck.operators.folds import merge_hand_partials, merge_hands, partial_hands
 from riverdeck.schemas import HAND_PARTIALS
 from riverdeck.streaming import logs
 
@@ -22,5 +22,10 @@ def start_hands(events: DataFrame, out: str, checkpoint: str, trigger: dict | No
     return logs.start(events.writeStream, each_batch, checkpoint, trigger)
 
 
+def compact_hands(spark: SparkSession, out: str) -> None:
+    """Merge the partials logged so far into one base."""
+    logs.compact(spark, out, "partials", HAND_PARTIALS, merge_hand_partials)
+
+
 def current_hands(spark: SparkSession, out: str) -> DataFrame:
     return merge_hands(logs.read_log(spark, out, "partials", HAND_PARTIALS))

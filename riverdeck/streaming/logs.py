@@ -6,7 +6,7 @@ exactly-once. A commit row is written last; readers only see committed batches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,11 +48,49 @@ def high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
     return commits.filter(F.col("rows_from") < batch_id).agg(F.max("high")).first()[0]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _compacted(spark: SparkSession, root: str, name: str) -> int:
+    """The last batch that the log's base holds; -1 without a base."""
+    marks = f"{root}/{name}-bases"
+    if not _exists(spark, marks):
+        return -1
+    return spark.read.schema(_COMMITS).parquet(marks).agg(F.max("rows_from")).first()[0]
+
+
 def read_log(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
-    """All committed rows with their batch number."""
-    newest = last_commit(spark, root)
-    rows = spark.read.schema(StructType([*schema.fields]).add(BATCH, LongType())).parquet(f"{root}/{name}")
-    return rows.filter(F.col(BATCH) <= (-1 if newest is None else newest))
+    """All committed rows with their batch number: the base, if there is one, and the batches after it."""
+    newest, upto = last_commit(spark, root), _compacted(spark, root, name)
+    numbered = StructType([*schema.fields]).add(BATCH, LongType())
+    rows = spark.read.schema(numbered).parquet(f"{root}/{name}").filter(
+        (F.col(BATCH) > upto) & (F.col(BATCH) <= (-1 if newest is None else newest)))
+    if upto < 0:
+        return rows
+    base = spark.read.schema(numbered).parquet(f"{root}/{name}-base").filter(F.col(BATCH) == upto)
+    return base.unionByName(rows)
+
+
+def compact(spark: SparkSession, root: str, name: str, schema: StructType,
+            merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge all committed batches but the newest into the log's base, so that reading costs no more for
+    a long history. `merge` takes rows with their batch number to rows of `schema` that say as much.
+
+    A base counts once its mark is written; batches and bases before it go after that. Run it between
+    batches or beside them, but not beside a reader that started earlier."""
+    newest, upto = last_commit(spark, root), _compacted(spark, root, name)
+    if newest is None or newest - 1 <= upto:
+        return
+    rows = read_log(spark, root, name, schema).filter(F.col(BATCH) < newest)
+    merge(rows).select(*schema.names).write.mode("overwrite").parquet(f"{root}/{name}-base/{BATCH}={newest - 1}")
+    mark = spark.range(1).select(F.lit(newest - 1).cast("bigint").alias("rows_from"), F.lit(None).cast("bigint").alias("high"))
+    mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}-bases/{BATCH}={newest - 1}")
+    for batch in range(upto + 1, newest):
+        remove(spark, f"{root}/{name}/{BATCH}={batch}")
+    remove(spark, f"{root}/{name}-base/{BATCH}={upto}")
+    remove(spark, f"{root}/{name}-bases/{BATCH}={upto}")
 
 
 def unseen(rows: DataFrame, root: str, name: str, batch_id: int, keys: Sequence[str], position: str,

@@ -54,3 +54,8 @@ def current_sessions(spark: SparkSession, out: str) -> DataFrame:
     newest = logs.last_commit(spark, out)
     logged = logs.read_log(spark, out, "sessions", _LOGGED)
     return logged.filter((F.col("still_open") == 0) | (F.col(logs.BATCH) == newest)).select(*SESSIONS.names)
+
+
+def compact_sessions(spark: SparkSession, out: str) -> None:
+    """The closed sessions logged so far into one base; the newest batch has the open ones."""
+    logs.compact(spark, out, "sessions", _LOGGED, lambda rows: rows.filter("still_open = 0"))

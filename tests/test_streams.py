@@ -10,7 +10,9 @@ from test_folds import chain, replay_hands, replay_sessions, sessions_of
 from riverdeck import schemas
 from riverdeck.operators.events import actions
 from riverdeck.operators.lookup import scan_gaps
-from riverdeck.streaming import counters, hands, ingest, logs, sessions
+from riverdeck.operators import events as ev
+from riverdeck.operators import folds
+from riverdeck.streaming import counters, hands, ingest, logs, sessions, tables
 
 
 def land(spark, folder, rows):
@@ -161,3 +163,27 @@ def test_old_commit_rows_go_but_the_high_mark_stays(spark, tmp_path):
     for batch in range(25):
         logs.commit(spark, out, batch, high=100 if batch == 0 else max(100, batch))
     assert logs.high_before(spark, out, 25) == 100 and logs.last_commit(spark, out) == 24
+
+
+def test_compacted_logs_say_the_same_after_restarts(spark, tmp_path, parts):
+    rows, files = parts
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    for part in (*files, [], files[0]):
+        land(spark, landing, part)
+        tables.start_tables(tail(spark, landing), f"{out}/t", f"{out}/tc").awaitTermination()
+        hands.start_hands(tail(spark, landing), f"{out}/h", f"{out}/hc").awaitTermination()
+        sessions.start_sessions(tail(spark, landing), f"{out}/s", f"{out}/sc").awaitTermination()
+        tables.compact_tables(spark, f"{out}/t")
+        hands.compact_hands(spark, f"{out}/h")
+        sessions.compact_sessions(spark, f"{out}/s")
+    completed = ev.completed_hands(events_frame(spark, rows))
+    same = lambda a, b: sorted(map(str, a.select(*sorted(b.columns)).collect())) == sorted(
+        map(str, b.select(*sorted(b.columns)).collect()))
+    assert same(tables.current_results(spark, f"{out}/t"), folds.fold_results(completed))
+    assert same(tables.current_cards(spark, f"{out}/t"), folds.dedupe_cards(ev.explode_cards(completed)))
+    assert {(r.game_id, r.hand_number): (r.block_height, r.deck_seed, r.deck)
+            for r in hands.current_hands(spark, f"{out}/h").collect()} == replay_hands(rows)
+    assert sessions_of(sessions.current_sessions(spark, f"{out}/s")) == replay_sessions(rows)
+    for name in ("t/results", "t/cards", "h/partials", "s/sessions"):  # the newest batch, beside one base
+        assert len(list((tmp_path / "out" / name).glob(f"{logs.BATCH}=*"))) == 1
+        assert len(list((tmp_path / "out" / f"{name}-base").glob(f"{logs.BATCH}=*"))) == 1
