@@ -17,7 +17,8 @@ smallest hash, so equal strings have equal anchors at equal distance:
 All places of a run contain its anchor, so what is repeated of a run is one span.
 
 `keep="none"` removes every copy, `keep="first"` all but the earliest by (doc_id, place), null doc_ids last.
-Memory per task is a document and `BATCH` places. Names and digests are polynomial hashes of 64 bits; the
+Memory per task is a document and `BATCH`
+places. Whole texts are shuffled twice, compressed. Names and digests are polynomial hashes of 64 bits; the
 chance that two differing strings agree is about 1e-19 per pair compared.
 
 Defined cases: a null or empty text has 0 bytes and an empty rest; texts under `LENGTH` bytes lose nothing;
@@ -33,19 +34,21 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverdeck.llm.columns import text_or_empty
 from riverdeck.llm.shipping import ship
-from riverdeck.session import pinned
+from riverdeck.session import pinned, remove, scratch_path
 
 LENGTH = 400
 GRAM = 64
 PLACES = 2 ** 17  # places looked at together
 INDEX_BITS = np.uint64(20)
-BATCH = 1_000_000
-BUCKET = 2_000_000
+ROWS = 200_000  # of a frame that a task hands back
+BATCH = 400_000
+BUCKET = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 LAST = 2 ** 63 - 1
 
@@ -123,21 +126,24 @@ def names(data: bytes, length: int = LENGTH) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def factors(name: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def factors(name: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix order, and per suffix in that order whether it has an earlier and a later match of full length.
 
     Suffixes of one name stand together, by position: the previous smaller position of each but the first
     is its neighbour before, the next larger one of each but the last its neighbour after.
     """
-    order = np.lexsort((place, doc, name))
+    order = np.lexsort((position, name))
     match = name[order][1:] == name[order][:-1]  # the longest common prefix reaches the length
     return order, np.r_[False, match], np.r_[match, False]
 
 
-def _spans(run: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """First and last repeated place of each run."""
-    frame = pd.DataFrame({"run": run, "low": at, "high": at}).groupby("run", sort=False)
-    return frame.agg({"low": "min", "high": "max"}).reset_index()
+def _spans(run: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows (run, first, last repeated place)."""
+    order = np.lexsort((at, run))
+    run, at = run[order], at[order]
+    first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]][:run.size])
+    last = np.r_[first[1:], run.size][:first.size] - 1
+    return np.stack([run[first], at[first], at[last]], 1).astype(np.int64)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -148,105 +154,121 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _runs_of(documents: DataFrame, length: int) -> DataFrame:
+    columns = ["anchor", "digest", "low", "high", "doc", "h1", "h2"]
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, size = [], 0
         for batch in batches:
-            out = []
-            for doc, h1, h2, data in zip(batch["doc"], batch["h1"], batch["h2"], batch["payload"]):
-                for anchor, digest, low, high in runs(data, length):
-                    out.append(pd.DataFrame({"anchor": anchor, "digest": digest, "doc": doc, "h1": h1, "h2": h2,
-                                             "low": low, "high": high}))
-            if out:
-                yield pd.concat(out)
+            for data, *ids in zip(batch["payload"], batch["doc"], batch["h1"], batch["h2"]):
+                for found in runs(data, length):
+                    n = found[0].size
+                    out.append((*found, *[np.full(n, i) for i in ids]))
+                    size += n
+                if size >= ROWS:
+                    yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out)))))
+                    out, size = [], 0
+        if out:
+            yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out)))))
 
     return documents.filter(F.octet_length("payload") >= length).select("doc", "h1", "h2", "payload").mapInPandas(
-        emit, "anchor bigint, digest bigint, doc bigint, h1 bigint, h2 bigint, low bigint, high bigint")
+        emit, "anchor bigint, digest bigint, low bigint, high bigint, doc bigint, h1 bigint, h2 bigint")
 
 
 def _resolved(texts: DataFrame, length: int, first_stays: bool, buckets: int) -> DataFrame:
-    """(doc, payload, places: runs to compare) -> (run, low, high): the repeated places of each run.
+    """(packed, runs, lows, highs): texts with their runs to compare -> (run, low, high): the repeated places
+    of each run, counted from its first. Runs are numbered by position, and a name occurs once in a run, so
+    a run's number is a position.
 
-    Rows with `resolved` set are what a task found among its own suffixes; the others are the holders it
-    passes on, packed by bucket."""
-    schema = "bucket int, resolved boolean, run binary, low binary, high binary, name binary, doc binary"
+    A task sends, per bucket, the holders it passes on: each name, the place in its run, and which of the
+    listed runs that is. `spans` has what the task found among its own suffixes."""
+    schema = "bucket int, name binary, at binary, which binary, runs binary, spans binary"
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+        unpack = zstandard.ZstdDecompressor()
 
-        def flush() -> pd.DataFrame:
-            name, doc, place, run, at = (np.concatenate(x) for x in zip(*held))
-            order, earlier, later = factors(name, doc, place)
+        def flush(held: list) -> pd.DataFrame:
+            name, at, run = (np.concatenate(x) for x in zip(*held))
+            order, earlier, later = factors(name, run)
             hit = order[earlier] if first_stays else order[earlier | later]
-            own = _spans(run[hit], at[hit])
-            rows = [(int(run[0]) % buckets, True, *(own[c].to_numpy(np.int64).tobytes() for c in ("run", "low", "high")), b"", b"")]
-            on = order[~earlier]  # the first holder of each name here
-            # a name that is repeated here is passed on as known to be so: its holder's own span is settled
-            bucket = (name[on] % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            on = order[~earlier]  # the first holder of each name here; names are in order, and so in buckets
+            bucket = (name[on] >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            rows = []
             for b in range(buckets):
-                own_rows = on[by[cuts[b]:cuts[b + 1]]]
-                if own_rows.size:
-                    rows.append((b, False, run[own_rows].tobytes(), at[own_rows].tobytes(), place[own_rows].tobytes(),
-                                 name[own_rows].tobytes(), doc[own_rows].tobytes()))
-            return pd.DataFrame(rows, columns=["bucket", "resolved", "run", "low", "high", "name", "doc"])
+                own = on[cuts[b]:cuts[b + 1]]
+                runs_here, which = np.unique(run[own], return_inverse=True)
+                rows.append((b, name[own].tobytes(), at[own].astype(np.uint16).tobytes(),
+                             which.astype(np.uint32).tobytes(), runs_here.tobytes(), b""))
+            spans = _spans(run[hit], at[hit])
+            rows.append((int(run[0]) % buckets, b"", b"", b"", b"", spans.tobytes()))
+            return pd.DataFrame(rows, columns=["bucket", "name", "at", "which", "runs", "spans"])
 
+        held, size = [], 0
         for batch in batches:
-            for doc, data, listed in zip(batch["doc"], batch["payload"], batch["places"]):
-                name = names(data, length)
-                for own in listed:
-                    place = np.arange(own["low"], own["high"] + 1)
-                    held.append((name[place], np.full(place.size, doc), place, np.full(place.size, own["run"]),
-                                 place - own["low"]))
-                    size += place.size
-                if size >= BATCH:
-                    yield flush()
-                    held, size = [], 0
+            for packed, *listed in zip(batch["packed"], batch["runs"], batch["lows"], batch["highs"]):
+                name = names(unpack.decompress(packed), length)
+                for run, low, high in zip(*listed):
+                    held.append((name[low:high + 1], np.arange(high + 1 - low), np.full(high + 1 - low, run)))
+                    size += high + 1 - low
+                    if size >= BATCH:
+                        yield flush(held)
+                        held, size = [], 0
         if held:
-            yield flush()
+            yield flush(held)
 
     def settle(bucket: pd.DataFrame) -> pd.DataFrame:
-        read = lambda rows, column, kind=np.int64: np.frombuffer(b"".join(rows[column]), kind)
-        done, rest = bucket[bucket["resolved"]], bucket[~bucket["resolved"]]
-        run, at, place, doc = (read(rest, c) for c in ("run", "low", "high", "doc"))
-        order, earlier, later = factors(read(rest, "name", np.uint64), doc, place)
+        read = lambda column, kind: np.frombuffer(b"".join(bucket[column]), kind)
+        run = np.concatenate([np.frombuffer(r, np.int64)[np.frombuffer(w, np.uint32)]
+                              for r, w in zip(bucket["runs"], bucket["which"])])
+        at = read("at", np.uint16)
+        order, earlier, later = factors(read("name", np.uint64), run)
         hit = order[earlier] if first_stays else order[earlier | later]
-        own = pd.DataFrame({c: read(done, c) for c in ("run", "low", "high")})
-        return pd.concat([own, _spans(run[hit], at[hit])])
+        found = np.concatenate([read("spans", np.int64).reshape(-1, 3), _spans(run[hit], at[hit])])
+        return pd.DataFrame(found, columns=["run", "low", "high"])
 
     return (texts.mapInPandas(compare, schema).groupBy("bucket")
             .applyInPandas(settle, "run bigint, low bigint, high bigint")
             .groupBy("run").agg(F.min("low").alias("low"), F.max("high").alias("high")))
 
 
+def _packed() -> Column:
+    """The payload compressed, for the shuffles that carry whole texts."""
+    @F.pandas_udf("binary")
+    def packed(payloads: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor(level=1)
+        return pd.Series([pack.compress(data) for data in payloads], dtype=object)
+
+    return packed("payload").alias("packed")
+
+
 def repeated_spans(documents: DataFrame, length: int, keep: str) -> DataFrame:
     """(doc, h1, h2, spans): the stretches to remove, per document."""
     spark = documents.sparkSession
-    ship(spark)
     first_stays = keep == "first"
-    everything = pinned(_runs_of(documents, length), "runs")
+    path = scratch_path(spark, "runs")
+    _runs_of(documents, length).write.parquet(path)
+    everything = spark.read.parquet(path)
     often = pinned(everything.groupBy("anchor").count().filter("count > 1").select("anchor"), "anchors")
     found = pinned(everything.join(often, "anchor"), "repeated")
-    member = F.struct("doc", "h1", "h2", "low", "high")
+    remove(spark, path)
+    member = F.struct("doc", "low", "h1", "h2", "high")
     classes = pinned(found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(member).alias("first"))
+                     .repartitionByRange("first").sortWithinPartitions("first")
                      .withColumn("run", F.monotonically_increasing_id()), "classes")
-    shared = pinned(classes.groupBy("anchor").agg(
-        F.count("*").alias("m"), F.sum(F.col("first.high") - F.col("first.low") + 1).alias("places"))
-        .filter("m > 1"), "shared")
+    places = F.sum(F.col("first.high") - F.col("first.low") + 1).alias("places")
+    shared = pinned(classes.groupBy("anchor").agg(F.count("*").alias("m"), places).filter("m > 1"), "shared")
     total = shared.agg(F.sum("places")).first()[0] or 0
-    listed = (classes.join(shared.select("anchor"), "anchor")
-              .groupBy(F.col("first.h1").alias("h1"), F.col("first.h2").alias("h2"), F.col("first.doc").alias("doc"))
-              .agg(F.collect_list(F.struct("run", F.col("first.low").alias("low"), F.col("first.high").alias("high")))
-                   .alias("places")))
-    # Rows equal in doc_id and text are one text here; copies of a text under other ids have no places listed.
-    texts = documents.select("h1", "h2", "doc", "payload").join(listed, ["h1", "h2", "doc"]).dropDuplicates(["h1", "h2", "doc"])
-    compared = pinned(_resolved(texts.select("doc", "payload", "places"), length, first_stays,
-                                max(1, math.ceil(total / BUCKET))), "compared")
-    part = classes.join(compared.withColumnsRenamed({"low": "from", "high": "to"}), "run", "left").select(
-        "anchor", "digest", "n", "first", "from", "to").filter("n > 1 or from is not null")
-    marked = pinned(part, "marked")
+    listed = (classes.join(shared.select("anchor"), "anchor").select("run", "first.*")
+              .groupBy("h1", "h2", "doc").agg(F.collect_list(F.struct("run", "low", "high")).alias("listed"))
+              .select("h1", "h2", "doc", *[F.col(f"listed.{c}").alias(f"{c}s") for c in ("run", "low", "high")]))
+    # Rows equal in doc_id and text are one text here; copies of a text under other ids have no runs listed.
+    texts = documents.select("h1", "h2", "doc", _packed()).join(
+        listed, ["h1", "h2", "doc"]).dropDuplicates(["h1", "h2", "doc"])
+    compared = pinned(_resolved(texts, length, first_stays, max(1, math.ceil(total / BUCKET))), "compared")
+    marked = pinned(classes.join(compared.withColumnsRenamed({"low": "from", "high": "to"}), "run", "left")
+                    .filter("n > 1 or from is not null").select("anchor", "digest", "n", "first", "from", "to"), "marked")
     joined = found.join(marked, ["anchor", "digest"])
-    is_first = F.struct("doc", "h1", "h2", "low", "high") == F.col("first")
-    whole = ~is_first if first_stays else F.col("n") > 1
+    whole = member != F.col("first") if first_stays else F.col("n") > 1
     low = F.when(whole, F.col("low")).otherwise(F.col("low") + F.col("from"))
     high = F.when(whole, F.col("high")).otherwise(F.col("low") + F.col("to"))
     spans = joined.select("doc", "h1", "h2", low.alias("start"), (high + length).alias("end")).filter(
@@ -267,15 +289,15 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -> DataFrame:
     """(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
+    ship(docs.sparkSession)
     documents = _documents(docs)
     spans = repeated_spans(documents, length, keep)
 
     @F.pandas_udf("n_removed bigint, n_spans bigint, kept binary")
-    def rest(payloads: pd.Series, listed: pd.Series) -> pd.DataFrame:
-        out = []
-        for data, own in zip(payloads, listed):
-            stretches = merged(own)
-            at, parts = 0, []
+    def rest(packed: pd.Series, listed: pd.Series) -> pd.DataFrame:
+        unpack, out = zstandard.ZstdDecompressor(), []
+        for small, own in zip(packed, listed):
+            data, stretches, at, parts = unpack.decompress(small), merged(own), 0, []
             for start, end in stretches:
                 parts.append(data[at:start])
                 at = end
@@ -283,9 +305,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
         return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept"])
 
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    joined = documents.join(spans, ["doc", "h1", "h2"], "left").withColumn("spans", F.coalesce("spans", none))
-    return joined.select("doc_id", F.octet_length("payload").cast("bigint").alias("n_bytes"),
-                         rest.asNondeterministic()("payload", "spans").alias("rest")).select(
+    joined = documents.select("doc_id", "doc", "h1", "h2", F.octet_length("payload").cast("bigint").alias("n_bytes"),
+                              _packed()).join(spans, ["doc", "h1", "h2"], "left")
+    return joined.select("doc_id", "n_bytes", rest.asNondeterministic()("packed", F.coalesce("spans", none)).alias("rest")).select(
         "doc_id", "n_bytes", "rest.n_removed", "rest.n_spans", "rest.kept")
 
 
