@@ -88,7 +88,7 @@ RULES = (
     Rule("word_length", lambda t: let(F.struct(word_chars(t).alias("c"), F.regexp_count(t, F.lit(WORD)).alias("w")),
                                       lambda m: (m["w"] == 0) | ~m["c"].between(2 * m["w"], 20 * m["w"]))),
     Rule("symbols", lambda t: 10 * symbol_count(t) > 2 * F.regexp_count(t, F.lit(WORD))),
-    Rule("repeated_lines", lambda t: let(line_counts(t), lambda n: 10 * n["repeated"] > 3 * n["lines"])),
+    Rule("repeated_lines", lambda t: let(line_counts(t), lambda n: (n["repeated"] >= 3) & (10 * n["repeated"] > 3 * n["lines"]))),
     Rule("repeated_windows", lambda t: let(words_of(t), lambda w: 100 * repeated_words(w) > 30 * F.size(w))),
 )
 
@@ -110,7 +110,7 @@ MEASURED_RULES = (
     Rule("too_few_words", lambda m: m["n_words"] < 20),
     Rule("word_length", lambda m: (m["n_words"] == 0) | ~m["word_chars"].between(2 * m["n_words"], 20 * m["n_words"])),
     Rule("symbols", lambda m: 10 * m["n_symbols"] > 2 * m["n_words"]),
-    Rule("repeated_lines", lambda m: 10 * m["n_dup_lines"] > 3 * m["n_lines"]),
+    Rule("repeated_lines", lambda m: (m["n_dup_lines"] >= 3) & (10 * m["n_dup_lines"] > 3 * m["n_lines"])),
     Rule("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
 )
 
@@ -182,6 +182,6 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
        cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
        not base_failed and word_chars between 2 * n_words and 20 * n_words and 10 * n_symbols <= 2 * n_words
-         and 10 * n_dup_lines <= 3 * n_lines as kept
+         and not (n_dup_lines >= 3 and 10 * n_dup_lines > 3 * n_lines) as kept
 from judged
 """
