@@ -184,4 +184,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     per_fp = small.groupBy("fp").agg(first.alias("first"))  # copies meet here, before any join
     kept = (per_fp.join(classes(small), "fp").groupBy("root").agg(F.min("first").alias("first"))
             .select(F.col("first.at").alias(row)))
-    return rows.join(pinned(kept, "kept"), row, "left_semi").select(*docs.columns)
+    # The kept rows grow with the corpus: a sorted join at every size, by row numbers, which are spread evenly.
+    return rows.join(pinned(kept, "kept").hint("merge"), row, "left_semi").select(*docs.columns)
