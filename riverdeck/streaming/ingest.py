@@ -98,10 +98,18 @@ def landed_progress(spark: SparkSession, out: str) -> DataFrame:
         F.max("total_blocks_scanned").alias("total_blocks_scanned"))
 
 
-def rates(query: StreamingQuery, spark: SparkSession, out: str) -> list[dict]:
-    """Blocks and blocks per second of the stream's recent batches."""
+def rates(query: StreamingQuery, spark: SparkSession, out: str, chain_height: int | None = None) -> list[dict]:
+    """Blocks and blocks per second of the stream's recent batches; with the chain's height, also the percent
+    reached and the seconds left at that rate."""
     seconds = {p["batchId"]: p["durationMs"]["triggerExecution"] / 1000 for p in query.recentProgress}
     scanned = logs.read_log(spark, out, "heights", schemas.HEIGHTS)
-    blocks = scanned.filter(F.col(logs.BATCH).isin(*seconds)).groupBy(logs.BATCH).count().collect()
-    return [{"batch_id": batch, "blocks": n, "blocks_per_second": n / max(seconds[batch], 0.001)}
-            for batch, n in sorted(map(tuple, blocks))]
+    blocks = scanned.filter(F.col(logs.BATCH).isin(*seconds)).groupBy(logs.BATCH).agg(
+        F.count("*"), F.max("height")).collect()
+    found = []
+    for batch, n, reached in sorted(map(tuple, blocks)):
+        per_second = n / max(seconds[batch], 0.001)
+        row = {"batch_id": batch, "blocks": n, "blocks_per_second": per_second}
+        if chain_height:
+            row |= {"percent": 100.0 * reached / chain_height, "seconds_left": max(0, chain_height - reached) / per_second}
+        found.append(row)
+    return found

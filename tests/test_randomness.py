@@ -109,6 +109,12 @@ def test_tail_matches_known_quantiles(spark):
         assert frame.first()[0] == pytest.approx(p, abs=1e-4)
 
 
+def test_the_tail_does_not_jump_where_the_series_ends(spark):
+    for df in (3, 12, 51):
+        frame = spark.createDataFrame([(1399.0,), (1401.0,)], "x double").select(chi_squared_tail(F.col("x"), df).alias("p"))
+        assert [abs(row.p) < 1e-9 for row in frame.collect()] == [True, True]
+
+
 def test_timeline_statistic_adds_unseen_cards(spark):
     cards = dealt(spark, {"Ah": 3, "Kd": 1, "10S": 2}, block=1500)
     row = d.timeline_chi_squared(cards).first()

@@ -88,6 +88,8 @@ def test_ingest_resumes_and_reports_progress(spark, tmp_path):
     assert ingest.landed_events(spark, out).agg(F.countDistinct("height"), F.count("*")).first() == (250, 500)
     assert tuple(ingest.landed_progress(spark, out).first()) == (200, 200)
     rates = ingest.rates(query, spark, out)
+    ahead = ingest.rates(query, spark, out, chain_height=500)[0]
+    assert ahead["percent"] == 50.0 and ahead["seconds_left"] == pytest.approx(250 / ahead["blocks_per_second"])
     assert [(r["batch_id"], r["blocks"]) for r in rates] == [(1, 130)] and rates[0]["blocks_per_second"] > 0
 
 
