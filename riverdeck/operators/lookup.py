@@ -16,7 +16,7 @@ def _newest_first() -> list[Column]:
 
 
 def hands_page(hands: DataFrame, game_id: str | None = None, start_block: int = 0, end_block: int = 0,
-               limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
+               limit: int = PAGE_LIMIT, offset: int = 0, with_total: bool = True) -> DataFrame:
     """Hands, newest first. An empty game or a block of 0 or less filters nothing."""
     if game_id:
         hands = hands.filter(F.col("game_id") == game_id)
@@ -24,7 +24,7 @@ def hands_page(hands: DataFrame, game_id: str | None = None, start_block: int =
         hands = hands.filter(F.col("block_height") >= start_block)
     if end_block > 0:
         hands = hands.filter(F.col("block_height") <= end_block)
-    return page(hands, _newest_first(), limit, offset)
+    return page(hands, _newest_first(), limit, offset, with_total)
 
 
 def hands_after(hands: DataFrame, block_height: int, hand_number: int, game_id: str,
@@ -77,11 +77,23 @@ def recent_sessions(sessions: DataFrame, k: int = 20) -> DataFrame:
         usd(F.col("cash_out_amount") - F.col("buy_in_amount")).alias("profit_usd"))
 
 
-def sessions_page(sessions: DataFrame, player: str, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
-    """One player's sessions, newest first."""
-    rows = sessions.filter(F.col("player_address") == player).select(
+def _sessions_of(sessions: DataFrame, player: str) -> DataFrame:
+    return sessions.filter(F.col("player_address") == player).select(
         "player_address", "game_id", "join_block", "leave_block", "buy_in_amount", "cash_out_amount", "indexed_at")
-    return page(rows, [F.desc("join_block"), F.asc("game_id")], limit, offset)
+
+
+def sessions_page(sessions: DataFrame, player: str, limit: int = PAGE_LIMIT, offset: int = 0,
+                  with_total: bool = True) -> DataFrame:
+    """One player's sessions, newest first."""
+    return page(_sessions_of(sessions, player), [F.desc("join_block"), F.asc("game_id")], limit, offset, with_total)
+
+
+def sessions_after(sessions: DataFrame, player: str, join_block: int, game_id: str, limit: int = PAGE_LIMIT) -> DataFrame:
+    """The page that follows a known last session of a player: the same cost at any depth."""
+    block = F.col("join_block")
+    after = (block < join_block) | ((block == join_block) & (F.col("game_id") > game_id))
+    return top(_sessions_of(sessions, player).filter(block <= join_block).filter(after),
+               [F.desc("join_block"), F.asc("game_id")], limit)
 
 
 def hand_figures(hands: DataFrame) -> DataFrame:

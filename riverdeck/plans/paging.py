@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from riverdeck.constants import PAGE_LIMIT, PAGE_MAX
 
 
-def page(df: DataFrame, order: Sequence[Column], limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
-    """One page in `order` (which must be total), each row with the unpaged row count as `total`."""
+def page(df: DataFrame, order: Sequence[Column], limit: int = PAGE_LIMIT, offset: int = 0,
+         with_total: bool = True) -> DataFrame:
+    """One page in `order` (which must be total), each row with the unpaged row count as `total`, which takes
+    a second scan; leave it out where nobody reads it."""
     if not 1 <= limit <= PAGE_MAX:
         raise ValueError(f"limit must be 1..{PAGE_MAX}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    total = df.agg(F.count("*")).scalar()
-    return df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
+    rows = df.orderBy(*order).offset(offset).limit(limit)
+    return rows.withColumn("total", df.agg(F.count("*")).scalar()) if with_total else rows
 
 
 def top(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -208,3 +208,14 @@ def test_top_per_key_and_recent_sessions(spark):
     sessions = sessions_of(spark, [("a", "g", b, None, 2_500_000, 3_000_000, 0) for b in range(25)])
     latest = k.recent_sessions(sessions).collect()
     assert [r.join_block for r in latest] == list(range(24, 4, -1)) and latest[0].profit_usd == 0.5
+
+
+def test_session_pages_meet_every_session_once(spark):
+    sessions = sessions_of(spark, [("a", f"g{n % 4}", n // 3, None, n, 0, 0) for n in range(40)])
+    seen = [tuple(r) for r in k.sessions_page(sessions, "a", 7, with_total=False).collect()]
+    while True:
+        following = k.sessions_after(sessions, "a", seen[-1][2], seen[-1][1], 7).collect()
+        if not following:
+            break
+        seen += map(tuple, following)
+    assert [s[1:3] for s in seen] == sorted([(f"g{n % 4}", n // 3) for n in range(40)], key=lambda s: (-s[1], s[0]))
