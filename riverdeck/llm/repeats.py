@@ -224,11 +224,19 @@ def _resolved(texts: DataFrame, length: int, first_stays: bool, buckets: int) ->
         order, earlier, later = factors(read("name", np.uint64), run)
         hit = order[earlier] if first_stays else order[earlier | later]
         found = np.concatenate([read("spans", np.int64).reshape(-1, 3), _spans(run[hit], at[hit])])
-        return pd.DataFrame(found, columns=["run", "low", "high"])
-
-    return (texts.mapInPandas(compare, schema).groupBy("bucket")
-            .applyInPandas(settle, "run bigint, low bigint, high bigint")
-            .groupBy("run").agg(F.min("low").alias("low"), F.max("high").alias("high")))
+        found = found[np.argsort(found[:, 0] % buckets, kind="stable")]
+        cuts = np.searchsorted(found[:, 0] % buckets, np.arange(buckets + 1))
+        return pd.DataFrame([(part, found[low:high].tobytes()) for part, (low, high) in enumerate(zip(cuts, cuts[1:]))
+                             if high > low], columns=["part", "spans"])
+
+    def widest(part: pd.DataFrame) -> pd.DataFrame:
+        found = np.frombuffer(b"".join(part["spans"]), np.int64).reshape(-1, 3)
+        spans = _spans(np.tile(found[:, 0], 2), found[:, 1:].T.ravel())
+        return pd.DataFrame(spans, columns=["run", "low", "high"])
+
+    # A run has places in many buckets; what they found of it goes packed to the part that has the run.
+    return (texts.mapInPandas(compare, schema).groupBy("bucket").applyInPandas(settle, "part int, spans binary")
+            .groupBy("part").applyInPandas(widest, "run bigint, low bigint, high bigint"))
 
 
 def _packed() -> Column:
