@@ -81,3 +81,5 @@ RESULT_PARTIALS = _record(
 CARD_LOG = _record(
     game_id=STRING, hand_number=INT, block_height=LONG, card=STRING, card_type=STRING, position=INT)
 ACTION_LOG = _record(player_address=STRING, game_id=STRING, block_height=LONG, action=STRING, amount=LONG)
+MOVES = _record(
+    player_address=STRING, game_id=STRING, height=LONG, event_seq=INT, is_join=BooleanType(), amount=LONG)

@@ -71,11 +71,11 @@ def start_dedupe(events: DataFrame, out: str, checkpoint: str, trigger: dict | N
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         with scratch_scope(session):
-            rows = pinned(batch.select(*schemas.EVENTS.names))
+            rows = pinned(dedupe_events(batch.select(*schemas.EVENTS.names)))
             high = logs.high_before(session, out, batch_id) if batch_id > 0 else None
-            logs.write_batch(logs.unseen(rows, out, "events", batch_id, ["height", "event_seq"], "height", high),
-                             out, "events", batch_id, "type")
-            hi = rows.agg(F.max("height")).first()[0]
+            lo, hi = rows.agg(F.min("height"), F.max("height")).first()
+            fresh = logs.unseen(rows, out, "events", ["height", "event_seq"], "height", lo, high)
+            logs.write_batch(fresh, out, "events", batch_id, "type")
         logs.commit(session, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
 
     return logs.start(events.writeStream, each_batch, checkpoint, trigger)

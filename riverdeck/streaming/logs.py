@@ -93,20 +93,18 @@ def compact(spark: SparkSession, root: str, name: str, schema: StructType,
     remove(spark, f"{root}/{name}-bases/{BATCH}={upto}")
 
 
-def unseen(rows: DataFrame, root: str, name: str, batch_id: int, keys: Sequence[str], position: str,
+def unseen(rows: DataFrame, root: str, name: str, keys: Sequence[str], position: str, lo: int | None,
            high: int | None) -> DataFrame:
-    """`rows` less those whose `keys` repeat among themselves or stand in the log `name` of earlier batches.
+    """`rows`, from position `lo` on, less those whose `keys` stand in the committed log `name`, of which
+    `high` is the highest position so far.
 
-    `high` is the highest position logged so far. Positions arrive in order but for replays and late
-    rows, so the lookup reads the log only where the batch reaches back, and only that range of it."""
-    once = rows.dropDuplicates(list(keys))
-    lo, hi = rows.agg(F.min(position), F.max(position)).first()
+    Positions arrive in order but for replays and late rows, so the log is read only where the batch
+    reaches back, and only that range of it."""
     if high is None or lo is None or lo > high:
-        return once
-    schema = StructType([field for field in rows.schema if field.name in keys])
-    known = (rows.sparkSession.read.schema(StructType([*schema.fields]).add(BATCH, LongType())).parquet(f"{root}/{name}")
-             .filter((F.col(BATCH) < batch_id) & F.col(position).between(lo, hi)).select(*keys))
-    return once.join(known, list(keys), "left_anti")
+        return rows
+    schema = StructType([rows.schema[key] for key in keys])
+    known = read_log(rows.sparkSession, root, name, schema).filter(F.col(position) >= lo).select(*keys).distinct()
+    return rows.join(known, list(keys), "left_anti")
 
 
 def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,8 +14,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from riverdeck.operators.events import session_events
 from riverdeck.operators.folds import fold_sessions
-from riverdeck.schemas import SESSIONS
-from riverdeck.session import pinned, scratch_scope
+from riverdeck.schemas import MOVES, SESSIONS
 from riverdeck.streaming import logs
 
 _PLACE = ["height", "event_seq"]
@@ -32,18 +31,18 @@ def _reopened(open_sessions: DataFrame) -> DataFrame:
 def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with scratch_scope(spark):
-            # pinned: the moves are read more than once, and decoding is the dear part
-            moves = pinned(session_events(batch))
-            high = logs.high_before(spark, out, batch_id) if batch_id > 0 else None
-            fresh = pinned(logs.unseen(moves, out, "moves", batch_id, _PLACE, "height", high))
-            logs.write_batch(fresh.select(*_PLACE), out, "moves", batch_id)
-            hi = moves.agg(F.max("height")).first()[0]
-            if batch_id > 0:
-                carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
-                fresh = fresh.unionByName(_reopened(carried))
-            folded = fold_sessions(fresh).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
-            logs.write_batch(folded, out, "sessions", batch_id, "still_open")
+        # The moves of a batch are logged first: read from there, they are decoded once, and later batches
+        # find replays among them.
+        logs.write_batch(session_events(batch).dropDuplicates(_PLACE), out, "moves", batch_id)
+        moves = logs.read_batch(spark, out, "moves", batch_id, MOVES)
+        high = logs.high_before(spark, out, batch_id) if batch_id > 0 else None
+        lo, hi = moves.agg(F.min("height"), F.max("height")).first()
+        fresh = logs.unseen(moves, out, "moves", _PLACE, "height", lo, high)
+        if batch_id > 0:
+            carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
+            fresh = fresh.unionByName(_reopened(carried))
+        folded = fold_sessions(fresh).withColumn("still_open", F.col("leave_block").isNull().cast("int"))
+        logs.write_batch(folded, out, "sessions", batch_id, "still_open")
         logs.commit(spark, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
 
     return logs.start(events.writeStream, each_batch, checkpoint, trigger)
@@ -57,5 +56,6 @@ def current_sessions(spark: SparkSession, out: str) -> DataFrame:
 
 
 def compact_sessions(spark: SparkSession, out: str) -> None:
-    """The closed sessions logged so far into one base; the newest batch has the open ones."""
+    """The closed sessions and the moves logged so far, each into one base; the newest batch has the open ones."""
     logs.compact(spark, out, "sessions", _LOGGED, lambda rows: rows.filter("still_open = 0"))
+    logs.compact(spark, out, "moves", MOVES, lambda rows: rows)
