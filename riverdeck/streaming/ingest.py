@@ -74,7 +74,7 @@ def start_dedupe(events: DataFrame, out: str, checkpoint: str, trigger: dict | N
             rows = pinned(dedupe_events(batch.select(*schemas.EVENTS.names)))
             high = logs.high_before(session, out, batch_id) if batch_id > 0 else None
             lo, hi = rows.agg(F.min("height"), F.max("height")).first()
-            fresh = logs.unseen(rows, out, "events", ["height", "event_seq"], "height", lo, high)
+            fresh = logs.unseen(rows, out, "events", batch_id, ["height", "event_seq"], "height", lo, high)
             logs.write_batch(fresh, out, "events", batch_id, "type")
         logs.commit(session, out, batch_id, max((h for h in (high, hi) if h is not None), default=None))
 

@@ -93,17 +93,18 @@ def compact(spark: SparkSession, root: str, name: str, schema: StructType,
     remove(spark, f"{root}/{name}-bases/{BATCH}={upto}")
 
 
-def unseen(rows: DataFrame, root: str, name: str, keys: Sequence[str], position: str, lo: int | None,
+def unseen(rows: DataFrame, root: str, name: str, batch_id: int, keys: Sequence[str], position: str, lo: int | None,
            high: int | None) -> DataFrame:
-    """`rows`, from position `lo` on, less those whose `keys` stand in the committed log `name`, of which
-    `high` is the highest position so far.
+    """`rows` of a batch, from position `lo` on, less those whose `keys` stand in what batches before it left in
+    the log `name`, of which `high` is the highest position. A batch that runs again does not meet its own rows.
 
     Positions arrive in order but for replays and late rows, so the log is read only where the batch
     reaches back, and only that range of it."""
     if high is None or lo is None or lo > high:
         return rows
     schema = StructType([rows.schema[key] for key in keys])
-    known = read_log(rows.sparkSession, root, name, schema).filter(F.col(position) >= lo).select(*keys).distinct()
+    known = read_log(rows.sparkSession, root, name, schema).filter(
+        (F.col(BATCH) < batch_id) & (F.col(position) >= lo)).select(*keys).distinct()
     return rows.join(known, list(keys), "left_anti")
 
 

@@ -37,7 +37,7 @@ def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict |
         moves = logs.read_batch(spark, out, "moves", batch_id, MOVES)
         high = logs.high_before(spark, out, batch_id) if batch_id > 0 else None
         lo, hi = moves.agg(F.min("height"), F.max("height")).first()
-        fresh = logs.unseen(moves, out, "moves", _PLACE, "height", lo, high)
+        fresh = logs.unseen(moves, out, "moves", batch_id, _PLACE, "height", lo, high)
         if batch_id > 0:
             carried = logs.read_batch(spark, out, "sessions", batch_id - 1, _LOGGED).filter("still_open = 1")
             fresh = fresh.unionByName(_reopened(carried))

@@ -160,6 +160,36 @@ def test_replayed_joins_open_no_second_session(spark, tmp_path, parts):
     assert found.count() == found.select("player_address", "game_id", "join_block").distinct().count()
 
 
+def forget_last_checkpoint_commit(checkpoint):
+    """As if the driver was lost after a batch's own commit row, before Spark noted the batch as done."""
+    last = max((p for p in (checkpoint / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for path in (last, last.with_name(f".{last.name}.crc")):
+        path.unlink(missing_ok=True)
+
+
+def test_committed_batch_that_reaches_back_runs_again(spark, tmp_path, parts):
+    rows, files = parts
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    for part in ([*files[0], *files[1]], [*files[1], *files[2], *files[3]]):
+        land(spark, landing, part)
+        ingest.start_dedupe(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    forget_last_checkpoint_commit(tmp_path / "c")
+    ingest.start_dedupe(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    found = ingest.landed_events(spark, out).select("height", "event_seq").collect()
+    assert sorted(map(tuple, found)) == sorted((r["height"], r["event_seq"]) for r in rows)
+
+
+def test_committed_session_batch_that_reaches_back_runs_again(spark, tmp_path, parts):
+    rows, files = parts
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    for part in ([*files[0], *files[1]], [*files[1], *files[2], *files[3]]):
+        land(spark, landing, part)
+        sessions.start_sessions(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    forget_last_checkpoint_commit(tmp_path / "c")
+    sessions.start_sessions(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+    assert sessions_of(sessions.current_sessions(spark, out)) == replay_sessions(rows)
+
+
 def test_old_commit_rows_go_but_the_high_mark_stays(spark, tmp_path):
     out = str(tmp_path)
     for batch in range(25):
