@@ -40,7 +40,7 @@ ARCHIVE_BYTES = 512 * 2 ** 20
 SPLIT_BYTES = 4 * 2 ** 20
 READ_BYTES = 256 * 2 ** 10
 MAGIC = b"\x1f\x8b\x08"
-HEADER_BYTES = 64 * 2 ** 10
+STEP_BYTES = 64 * 2 ** 10
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:riverdeck:page:"
@@ -136,20 +136,24 @@ def _head(data: bytes) -> tuple[dict[str, str], int] | None:
 
 
 def _is_record(window: _Window, place: int) -> bool:
-    """Whether a member starts here that inflates to a WARC header."""
-    unpack, data = zlib.decompressobj(31), b""
+    """Whether a member starts here that inflates to a WARC header, however long that is."""
+    unpack, data, seen = zlib.decompressobj(31), bytearray(), 0
     try:
-        while len(data) < HEADER_BYTES and not unpack.eof:
-            piece = window.at(place, 4096)
+        while not unpack.eof:
+            piece = unpack.unconsumed_tail
             if not piece:
+                piece = window.at(place, 4096)
+                place += len(piece)
+            out = unpack.decompress(piece, STEP_BYTES)
+            data += out
+            if not data.startswith(b"WARC/1."[:len(data)]) or data.find(b"\r\n\r\n", seen) >= 0:
                 break
-            place += len(piece)
-            data += unpack.decompress(piece, HEADER_BYTES - len(data))
-            if b"\r\n\r\n" in data or not data.startswith(b"WARC/1."[:len(data)]):
-                break
+            if not (piece or out):
+                break  # the file ends inside the header
+            seen = max(0, len(data) - 3)
     except zlib.error:
         return False
-    return _head(data) is not None
+    return _head(bytes(data)) is not None
 
 
 def _member(window: _Window, place: int) -> tuple[bytes, int]:
@@ -181,7 +185,7 @@ def parsed(data: bytes, with_payload: bool) -> tuple:
     """(page_id, url, record_type, payload_bytes, payload_digest, refers_to, intact, payload) of a record."""
     fields, at = _head(data)
     block = memoryview(data)[at:at + int(fields["content-length"])]
-    http = bytes(block[:HEADER_BYTES]).find(b"\r\n\r\n") + 4
+    http = data.find(b"\r\n\r\n", at) + 4 - at
     stated = base64.b32decode(fields["warc-payload-digest"].partition(":")[2]).hex()
     page_id = fields["warc-record-id"].strip("<>").removeprefix(ID) or None
     refers_to = fields["warc-refers-to"].strip("<>").removeprefix(ID) if "warc-refers-to" in fields else None

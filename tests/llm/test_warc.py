@@ -38,6 +38,18 @@ def test_magic_inside_a_payload_is_no_record():
     assert len(list(records(io_file(junk), 0, len(junk)))) == 5
 
 
+def test_headers_of_any_length_are_read():
+    pick = random.Random(4)
+    urls = ["http://x/" + "".join(chr(pick.randrange(33, 127)) for _ in range(n)) for n in (200_000, 70_000, 10, 1_000_000)]
+    urls += ["http://x/" + "a" * 3_000_000]
+    data = b"".join(record(str(k), u, b"p", hashlib.sha1(b"p").hexdigest(), 1, None) for k, u in enumerate(urls))
+    for split in (50_000, len(data)):
+        found = [parsed(r, True) for s in range(0, len(data), split) for r in records(io_file(data), s, min(s + split, len(data)))]
+        assert [(f[0], f[1], f[6], f[7]) for f in found] == [(str(k), u, True, b"p") for k, u in enumerate(urls)]
+    cut = gzip.compress(b"WARC/1.1\r\n" + b"a" * 300_000)  # a header without an end
+    assert [parsed(r, False)[0] for r in records(io_file(cut + data), 0, len(cut + data))] == [str(k) for k in range(len(urls))]
+
+
 def test_files_are_gzip_and_payloads_come_back(spark, sf_dir, tmp_path):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     archives = write_archives(pages, str(tmp_path / "warc"))
