@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and what a skip-chain conditional random field adds to them.
 
 The base patterns give spans of four kinds. Candidates are those spans, runs of seven or more digits,
-addresses spelled with "at" and "dot", and handles with a digit that equal an address's local part. The
+in documents with an address those spelled with
+"at" and "dot", and handles with a digit that equal an address's local part. The
 model (`skip_chain`) keeps base spans as they are and labels the other candidates: a number written
 another way is a phone number where the same digits stand elsewhere in the document as one.
 Its weights are fitted on the candidates of about `SAMPLE_DOCS` documents, at most `SAMPLE_NODES` of
@@ -18,6 +19,7 @@ rows are separate rows; an empty table gives an empty result. Finding reads doc_
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +45,8 @@ _NUMBER = re.compile(r"\+?[0-9][0-9 ().-]*")
 _SPELLED = re.compile(
     r"[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{0,63} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}"
     r"(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{1,63})+")
+_AT = re.compile(r" ?(?:\(at\)|\[at\]| at ) ?")
+_DOT = re.compile(r" ?(?:\.|\(dot\)|\[dot\]| dot ) ?")
 _HANDLE = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{5,64}(?![A-Za-z0-9._%+@-])")
 #: Words that announce a kind.
 CUES = {"email": ("mail", "email", "e-mail"), "ip": ("ip", "host", "server"), "card": ("card", "visa", "credit"),
@@ -115,6 +119,29 @@ def _keys(kind: int, piece: str) -> tuple[str, ...]:
     return (digits, "~" + digits[-9:]) if 9 <= len(digits) <= 15 else (digits,)
 
 
+def _address_end(spelled: re.Match, addresses: set[str], labels: set[int]) -> int:
+    """Where a spelled address ends: after the labels that make a known one, since "x dot org. Then" reads on."""
+    whole = _keys(0, spelled[0])[0]
+    if whole not in addresses:
+        local, _, domain = whole.partition("@")
+        parts = domain.split(".")
+        borders = [m.start() for m in _DOT.finditer(spelled[0], _AT.search(spelled[0]).end())]
+        for n in sorted(labels, reverse=True):
+            if n < len(borders) and f"{local}@{'.'.join(parts[:n + 1])}" in addresses:
+                return spelled.start() + borders[n]
+    return spelled.end()
+
+
+def _apart(others: list) -> list:
+    """Of overlapping ones the first, then the longest."""
+    out, reach = [], 0
+    for other in sorted(others, key=lambda o: (o[0], -o[1])):
+        if other[0] >= reach:
+            out.append(other)
+            reach = other[1]
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, tuple[str, ...], int]]:
     """(start, end, shape, keys, base kind or -1), by start. Shapes are kind numbers; spelled addresses
     and handles have 0, other numbers 3. None but base spans overlaps a base span."""
@@ -125,6 +152,8 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if s > at:
             gaps.append((at, s))
         at = max(at, e)
+    addresses = {f[3][0] for f in found if f[4] == 0}
+    labels = {address.count(".", address.find("@")) for address in addresses}
     locals_ = {key for f in found if f[4] == 0 for key in f[3][1:]}
     others = []
     for low, high in gaps:
@@ -132,15 +161,24 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             piece = run[0].rstrip(" ().-+")
             if len(piece) >= 7 and len(digits_of(piece)) >= 7:
                 others.append((run.start(), run.start() + len(piece), 3, _keys(3, piece), -1))
-        if locals_:  # only where an address stands can another spelling agree with one
-            others += [(*m.span(), 0, _keys(0, m[0]), -1) for m in _SPELLED.finditer(text, low, high)]
+        if addresses:  # only where an address stands can another spelling agree with one
+            others += [(m.start(), e, 0, _keys(0, text[m.start():e]), -1) for m in _SPELLED.finditer(text, low, high)
+                       for e in [_address_end(m, addresses, labels)]]
+        if locals_:
             others += [(*m.span(), 0, (m[0].lower(),), -1) for m in _HANDLE.finditer(text, low, high)
                        if m[0].lower() in locals_]
-    reach = 0
-    for other in sorted(others, key=lambda o: (o[0], -o[1])):  # of overlapping ones the first, then the longest
-        if other[0] >= reach:
-            found.append(other)
-            reach = other[1]
+    # Of overlapping ones those that agree with a base span, then the first, then the longest.
+    known = {key for f in found for key in f[3]}
+    agree = [not known.isdisjoint(o[3]) for o in others]
+    taken = _apart([o for o, own in zip(others, agree) if own])
+    found += taken
+    starts = [o[0] for o in taken]
+
+    def free(other) -> bool:
+        after = bisect_left(starts, other[1])  # those before it start ahead of its end
+        return after == 0 or taken[after - 1][1] <= other[0]
+
+    found += _apart([o for o, own in zip(others, agree) if not own and free(o)])
     return sorted(found)
 
 

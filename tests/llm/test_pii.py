@@ -42,6 +42,17 @@ def test_same_number_written_another_way():
     assert not any("77123456789" in piece for _, piece, _ in spans)
 
 
+def added(text):
+    return [(kind, text[s:e]) for kind, s, e, base in find(text) if not base]
+
+
+def test_address_without_a_digit_spelled_another_way():
+    assert added("alice@example.org, so alice at example dot org") == [("email", "alice at example dot org")]
+    assert added("alice@example.org or al [at] example.org") == []
+    text = "alice@example.org; +1 (988) 555-2485. Write alice at example dot org. Then dial at noon. 988 555 2485"
+    assert added(text) == [("email", "alice at example dot org"), ("phone", "988 555 2485")]
+
+
 def test_evidence_reaches_distant_tokens_only_by_keys():
     text = "+1 (988) 555-2485 " + "filler words " * 3000 + "988 555 2485 and more " + "filler " * 3000 + "(988) 555 2485, 123 456 7890"
     assert [(k, base) for k, *_, base in find(text)] == [("phone", True), ("phone", False), ("phone", False)]
