@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and what a skip-chain conditional random field adds to them.
 
-The base patterns give spans of four kinds. Candidates are those spans, runs of seven or more digits,
-in documents with an address those spelled with
+The base patterns give spans of four kinds. Candidates are those spans, runs of seven or more digits
+(or the known numbers in a run, and what lies between them), in documents with an address those spelled with
 "at" and "dot", and handles with a digit that equal an address's local part. The
 model (`skip_chain`) keeps base spans as they are and labels the other candidates: a number written
 another way is a phone number where the same digits stand elsewhere in the document as one.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -119,6 +119,51 @@ def _keys(kind: int, piece: str) -> tuple[str, ...]:
     return (digits, "~" + digits[-9:]) if 9 <= len(digits) <= 15 else (digits,)
 
 
+def _number_ends(keys: Iterable[tuple[str, ...]]) -> set[str]:
+    """The digits of known numbers: whole, and where the last nine count, each end of nine or more."""
+    ends = set()
+    for own in keys:
+        ends.add(own[0])
+        if len(own) > 1:
+            ends.update((own[0][k:] for k in range(1, len(own[0]) - 8)), own[1:])
+    return ends
+
+
+def _numbers_in(text: str, start: int, end: int, numbers: set[str]) -> list[tuple[int, int]]:
+    """The run itself where it is one number: alone, or the same as a known one. Else the known numbers in it, cut
+    where its digits are parted, and what lies between them."""
+    groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", text[start:end])]
+    digits = digits_of(text[start:end])
+    if len(groups) == 1 or not numbers or not numbers.isdisjoint(_keys(3, digits)):
+        return [(start, end)]
+    cuts = [0]  # where each group starts among the digits
+    for low, high in groups:
+        cuts.append(cuts[-1] + high - low)
+    out, done = [], 0
+
+    def rest(upto: int) -> None:
+        if cuts[upto] - cuts[done] >= 7:
+            out.append((start + groups[done][0], start + groups[upto - 1][1]))
+
+    for last in range(len(groups)):
+        stop, best = cuts[last + 1], -1
+        for first in range(last, done - 1, -1):
+            n = stop - cuts[first]
+            if n > 19:
+                break
+            if n >= 9 and digits[cuts[first]:stop] in numbers:
+                best = first  # the longest that is a known number or an end of one
+            elif best < 0 and 9 <= n <= 15 and "~" + digits[stop - 9:stop] in numbers:
+                best = first  # with another prefix
+        if best >= 0:
+            rest(best) if best > done else None
+            out.append((start + groups[best][0], start + groups[last][1]))
+            done = last + 1
+    if done < len(groups):
+        rest(len(groups))
+    return out if done else [(start, end)]
+
+
 def _address_end(spelled: re.Match, addresses: set[str], labels: set[int]) -> int:
     """Where a spelled address ends: after the labels that make a known one, since "x dot org. Then" reads on."""
     whole = _keys(0, spelled[0])[0]
@@ -155,12 +200,14 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     addresses = {f[3][0] for f in found if f[4] == 0}
     labels = {address.count(".", address.find("@")) for address in addresses}
     locals_ = {key for f in found if f[4] == 0 for key in f[3][1:]}
+    numbers = _number_ends(f[3] for f in found if f[4] > 1)
     others = []
     for low, high in gaps:
         for run in _NUMBER.finditer(text, low, high):
             piece = run[0].rstrip(" ().-+")
             if len(piece) >= 7 and len(digits_of(piece)) >= 7:
-                others.append((run.start(), run.start() + len(piece), 3, _keys(3, piece), -1))
+                others += [(s, e, 3, _keys(3, text[s:e]), -1)
+                           for s, e in _numbers_in(text, run.start(), run.start() + len(piece), numbers)]
         if addresses:  # only where an address stands can another spelling agree with one
             others += [(m.start(), e, 0, _keys(0, text[m.start():e]), -1) for m in _SPELLED.finditer(text, low, high)
                        for e in [_address_end(m, addresses, labels)]]

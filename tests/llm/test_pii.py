@@ -53,6 +53,16 @@ def test_address_without_a_digit_spelled_another_way():
     assert added(text) == [("email", "alice at example dot org"), ("phone", "988 555 2485")]
 
 
+def test_number_followed_by_another_and_in_a_list():
+    first = "+1 (988) 555-2485, "
+    assert added(first + "dial 988-555-2485. 3 lines") == [("phone", "988-555-2485")]
+    assert added(first + "988 555 2485 (988) 555 2485") == [("phone", "988 555 2485"), ("phone", "988) 555 2485")]
+    assert added(first + "212 555 1234 988 555 2485 7 988.555.2485 12 345 678 9012") == [
+        ("phone", "988 555 2485"), ("phone", "988.555.2485")]
+    assert added(first + "98855524853 12, 3 988555248 57") == []
+    assert added("+44 20 7946 0958, 020 7946 0958. 12 345") == [("phone", "020 7946 0958")]
+
+
 def test_evidence_reaches_distant_tokens_only_by_keys():
     text = "+1 (988) 555-2485 " + "filler words " * 3000 + "988 555 2485 and more " + "filler " * 3000 + "(988) 555 2485, 123 456 7890"
     assert [(k, base) for k, *_, base in find(text)] == [("phone", True), ("phone", False), ("phone", False)]
