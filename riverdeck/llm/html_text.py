@@ -5,8 +5,10 @@ its characters outside links per tag in it. Ratios are smoothed along the page w
 clusters of the smoothed values give the page's threshold. Content regions are containers with a line
 above it; a region is kept whole, so a short paragraph or a heading stays with its neighbours.
 
-Containers that are never the article by their element, role, class or id (menus, page headers, footers,
-side bars, notices, adverts, forms, comments, scripts, styles) have ratio 0 and no text. Where a page marks
+Containers that are never the article by their element or role (menus, page headers, footers, side bars, scripts,
+styles) have ratio 0 and no text. So have those whose class or id has a name made of such words only (notices,
+adverts, comments), and forms, unless they hold the marked article or nearly all of the page's text. A name
+with such a word among others halves the ratio; names of headings and paragraphs don't count. Where a page marks
 its article (`<article>`, `<main>`), only regions there are eligible, and the mark makes up for a ratio
 that a very short article cannot reach.
 
@@ -35,8 +37,9 @@ from riverdeck.llm.shipping import ship
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol p pre section summary table "
                   "tbody td tfoot th thead title tr ul".split())
-NEVER = frozenset("aside button canvas dialog footer form head iframe menu nav noscript object script select style svg "
+NEVER = frozenset("aside button canvas dialog footer head iframe menu nav noscript object script select style svg "
                   "template textarea".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GROUP = frozenset("article body div main section td".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -46,9 +49,15 @@ NOT_ARTICLE = frozenset(
     "cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification "
     "pager pagination popup promo promoted promotion recommendations recommended related replies reply respond search "
     "share sharing sidebar signup skyscraper social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+#: Words beside them that say no more than where or how; elements that such words don't count on.
+LAYOUT = frozenset("area bar block body bottom box button buttons col column container content first header inner item items "
+                   "left link links list main outer panel post posts right row section site slot top unit wrap wrapper".split())
+UNWORDED = frozenset("html body article main h1 h2 h3 h4 h5 h6 p".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SIGMA = 1.0
 RADIUS = 2
+PENALTY = 0.5
+MOST = 10
 
 
 @dataclass
@@ -56,6 +65,8 @@ class Line:
     region: int
     article: bool
     never: bool
+    doubt: int
+    weak: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     tags: int = 0
@@ -65,28 +76,46 @@ class Line:
 class _Open:
     tag: str
     never: bool
-    soft: bool  # never only by a class or id
+    doubt: int  # the innermost container around it that is left out by its words, or as a form; 0 without one
+    weak: bool
     article: bool
     region: int
 
 
-def _marked(tag: str, attributes: list, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is never the article; and whether only its class or id says so."""
+def _named(value: str) -> int:
+    """What a class or id says: 2 where one of its names has no other words than those of NOT_ARTICLE (and LAYOUT),
+    1 where such a word stands among others, as in `no-sidebar` or `related-work`, else 0."""
+    most = 0
+    for name in value.split():
+        words = {w.lower() for w in _WORD.findall(name)}
+        if not NOT_ARTICLE.isdisjoint(words):
+            most = max(most, 2 if all(w in NOT_ARTICLE or w in LAYOUT or len(w) == 1 or w.isdigit() for w in words) else 1)
+    return most
+
+
+def _marked(tag: str, attributes: list, in_article: bool) -> int:
+    """3 where an element is never the article, 2 where only its names or its being a form say so, 1 where its
+    names make it less likely, else 0."""
     if tag in NEVER or tag == "header" and not in_article:
-        return True, False
-    soft = False
+        return 3
+    most = 2 if tag == "form" else 0
     for name, value in attributes:
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True, False
+            return 3
         if name == "role" and (value or "").lower() in ROLES:
-            return True, False
-        if name in ("class", "id") and value and tag not in ("html", "body", "article", "main", "h1"):
-            soft |= not NOT_ARTICLE.isdisjoint(w.lower() for w in _WORD.findall(value))
+            return 3
+        if name in ("class", "id") and value and tag not in UNWORDED:
+            most = max(most, _named(value))
         elif name == "class" and value and tag == "article":
-            soft |= not {"comment", "reply", "related", "promo", "ad"}.isdisjoint(w.lower() for w in _WORD.findall(value))
+            if not {"comment", "reply", "related", "promo", "ad"}.isdisjoint(w.lower() for w in _WORD.findall(value)):
+                most = 2
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True, False
-    return soft, soft
+            return 3
+    return most
+
+
+def _differ(a: _Open, b: _Open) -> bool:
+    return a.never != b.never or a.doubt != b.doubt or a.weak != b.weak
 
 
 class Lines(HTMLParser):
@@ -95,7 +124,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open = [_Open("", False, False, False, 0)]
+        self.open = [_Open("", False, 0, False, False, 0)]
+        self.doubts = [(0, False)]  # of each container in doubt: the one around it; whether it is a form
         self.depth: dict[str, int] = {}
         self.regions = self.links = 0
         self.seen_article = False
@@ -103,10 +133,12 @@ class Lines(HTMLParser):
 
     def fresh(self) -> None:
         top = self.open[-1]
-        self.line = Line(top.region, top.article, top.never)
+        self.line = Line(top.region, top.article, top.never, top.doubt, top.weak)
         self.lines.append(self.line)
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
+        if self.open[-1].tag == "head" and tag not in IN_HEAD or tag == "body":
+            self.close_head()
         if tag == "br":
             self.line.parts.append(" ")
         if tag in VOID:
@@ -117,39 +149,46 @@ class Lines(HTMLParser):
         if tag == "p" and self.depth.get("p") or tag == "li" and self.open[-1].tag == "li":
             self.close_tag(tag)  # an open paragraph or item ends where the next begins
         top = self.open[-1]
-        never, soft = _marked(tag, attributes, top.article)
+        told = _marked(tag, attributes, top.article)
         mark = tag in ("article", "main")
-        if mark and top.never and top.soft and not never and not self.seen_article:
-            inherited = False  # a wrapper with an unlucky class around the article itself
-        else:
-            inherited = top.never
-        article = (top.article or mark) and not (never or inherited)
+        never, doubt = top.never or told == 3, top.doubt
+        if told == 2:
+            self.doubts.append((doubt, tag == "form"))
+            doubt = len(self.doubts) - 1
+        elif mark and doubt and not never and (self.doubts[doubt] == (0, True) or not self.seen_article):
+            doubt = 0  # a page-wide form, or a wrapper with an unlucky class, around the article itself
+        article = (top.article or mark) and not (never or doubt)
         self.seen_article |= mark and article
         region = top.region
         if tag in GROUP and not top.article:
             self.regions += 1
             region = self.regions
-        self.open.append(_Open(tag, never or inherited, soft if never else top.soft, article, region))
+        self.open.append(_Open(tag, never, doubt, top.weak or told == 1, article, region))
         self.depth[tag] = self.depth.get(tag, 0) + 1
         self.links += tag == "a"
-        if tag in BLOCK or self.open[-1].never != top.never:
+        if tag in BLOCK or _differ(self.open[-1], top):
             self.fresh()
         self.line.tags += 1
 
+    def close_head(self) -> None:
+        """Its end tag may be left out: the body, or what only a body holds, ends it."""
+        if self.depth.get("head"):
+            self.close_tag("head")
+
     def handle_startendtag(self, tag: str, attributes: list) -> None:
         self.handle_starttag(tag, attributes)
         if tag not in VOID:
             self.handle_endtag(tag)
 
     def close_tag(self, tag: str) -> None:
-        never = self.open[-1].never
+        top = self.open[-1]
         while len(self.open) > 1:
             gone = self.open.pop()
             self.depth[gone.tag] -= 1
             self.links -= gone.tag == "a"
             if gone.tag == tag:
                 break
-        if tag in BLOCK or never != self.open[-1].never:
+        if tag in BLOCK or _differ(top, self.open[-1]):
             self.fresh()
 
     def handle_endtag(self, tag: str) -> None:
@@ -164,9 +203,11 @@ class Lines(HTMLParser):
                     gone = self.open.pop(at)
                     self.depth[tag] -= 1
                     self.links -= tag == "a"
-                    if gone.never and not self.open[at - 1].never:
+                    around = self.open[at - 1]
+                    if _differ(gone, around):
                         for inner in self.open[at:]:
-                            inner.never = False
+                            inner.never, inner.weak = inner.never and around.never, inner.weak and around.weak
+                            inner.doubt = around.doubt if inner.doubt == gone.doubt else inner.doubt
                         self.fresh()
                     return
                 if self.open[at].tag in BLOCK and not self.open[at].never:
@@ -175,6 +216,8 @@ class Lines(HTMLParser):
         self.close_tag(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip():
+            self.close_head()
         if not self.line.never:
             self.line.parts.append(data)
             if self.links:
@@ -209,15 +252,41 @@ def two_clusters(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def settle(lines: list[tuple[Line, str]], doubts: list[tuple[int, bool]]) -> None:
+    """Leave out what stands in containers in doubt, but for those that are nearly the whole page: with `MOST` times
+    the text outside links that else remains, and no article marked."""
+    own = [0] * len(doubts)
+    for line, text in lines:
+        if not line.never:
+            own[line.doubt] += max(0, len(text) - line.linked)
+    whole, inside = own[:], [[] for _ in doubts]
+    for at in range(len(doubts) - 1, 0, -1):  # a container comes after the one around it
+        whole[doubts[at][0]] += whole[at]
+        inside[doubts[at][0]].append(at)
+    kept, at, outside = {0}, 0, own[0]
+    marked = any(line.article and text for line, text in lines)
+    while inside[at] and not marked:
+        at = max(inside[at], key=whole.__getitem__)
+        if whole[at] <= MOST * outside:
+            break
+        kept.add(at)
+        outside += own[at]
+    for line, _ in lines:
+        line.never |= line.doubt not in kept
+
+
 def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
     lines = [(line, " ".join("".join(line.parts).split())) for line in parser.lines]
+    settle(lines, parser.doubts)
+    lines = [(line, "" if line.never else text) for line, text in lines]
     lines = [(line, text) for line, text in lines if text or line.tags]
     if not any(text for _, text in lines):
         return ""
-    ratios = [0.0 if line.never else max(0, len(text) - line.linked) / max(line.tags, 1) for line, text in lines]
+    ratios = [0.0 if line.never else (PENALTY if line.weak else 1.0) * max(0, len(text) - line.linked) / max(line.tags, 1)
+              for line, text in lines]
     smooth = smoothed(ratios)
     border = two_clusters(smooth)
     marked = any(line.article and text for line, text in lines)

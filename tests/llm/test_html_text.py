@@ -39,6 +39,30 @@ def test_marked_article_keeps_its_header_and_drops_the_rest():
     assert main_text(page) == "Title\nTiny.\nOne two <three>"
 
 
+def test_a_word_in_a_name_does_not_discard_an_article():
+    page = f"""<article><h1>T</h1><h2 id="related-work">Related work</h2><p>{LONG}</p><section id="search-methods"><p>{LONG}</p>
+      <p>Short.</p></section><p id="comments-on-method">{LONG}</p></article>"""
+    assert main_text(page) == f"T\nRelated work\n{LONG}\n{LONG}\nShort.\n{LONG}"
+    for name in ("content no-sidebar", "social-science"):
+        assert main_text(f'<body><div class="{name}"><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div></body>') == f"T\n{LONG}\n{LONG}"
+    assert main_text(f'<div>Site</div><div class="social"><div class="ad">{LONG}</div><p>{LONG * 20}</p></div>') == LONG * 20
+
+
+def test_head_without_an_end_tag():
+    for start in ("<html><head><title>x</title>", "<head><title>x</title><body>"):
+        assert main_text(f"{start}<article><p>{LONG}</p></article>") == LONG
+        assert main_text(f"{start}<p>{LONG}</p><p>{LONG}</p>") == f"{LONG}\n{LONG}"
+    assert main_text(f"<head><title>x</title>{LONG}") == LONG
+
+
+def test_page_wide_form():
+    side = f'<nav>a b c</nav><div class="sidebar"><p>{LONG}</p></div>'
+    body = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    for mark in ("article", "main", "div"):
+        assert main_text(f"<body><form>{side}<{mark}>{body}</{mark}></form></body>") == f"T\n{LONG}\n{LONG}"
+    assert main_text(f"<form><article><p>{LONG}</p></article>{side}<article><p>Two.</p></article></form>") == f"{LONG}\nTwo."
+
+
 def test_broken_markup():
     assert main_text(f"<p><b>{LONG}<br><p>{LONG}") == f"{LONG}\n{LONG}"
     assert main_text("no markup   at all") == "no markup at all"
