@@ -9,8 +9,9 @@ Containers that are never the article by their element or role (menus, page head
 styles) have ratio 0 and no text. So have those whose class or id has a name made of such words only (notices,
 adverts, comments), and forms, unless they hold the marked article or nearly all of the page's text. A name
 with such a word among others halves the ratio; names of headings and paragraphs don't count. Where a page marks
-its article (`<article>`, `<main>`), only regions there are eligible, and the mark makes up for a ratio
-that a very short article cannot reach.
+its article (`<article>`, `<main>`), only regions there are eligible. Containers, lists and tables inside are regions
+of their own; the mark adds a bounded bonus to a region's mean ratio, which makes up for a ratio that short article text
+cannot reach, but not for a region of links.
 
 One pass over the rows, no shuffle; time is linear in the page, memory a page's lines.
 
@@ -42,6 +43,7 @@ NEVER = frozenset("aside button canvas dialog footer head iframe menu nav noscri
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GROUP = frozenset("article body div main section td".split())
+PARTS = GROUP | frozenset("dl ol table ul".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Words in a class or id that mark what is not the article.
 NOT_ARTICLE = frozenset(
@@ -160,7 +162,7 @@ class Lines(HTMLParser):
         article = (top.article or mark) and not (never or doubt)
         self.seen_article |= mark and article
         region = top.region
-        if tag in GROUP and not top.article:
+        if tag in (PARTS if top.article else GROUP):
             self.regions += 1
             region = self.regions
         self.open.append(_Open(tag, never, doubt, top.weak or told == 1, article, region))
@@ -275,6 +277,19 @@ def settle(lines: list[tuple[Line, str]], doubts: list[tuple[int, bool]]) -> Non
         line.never |= line.doubt not in kept
 
 
+def marked_regions(lines: list[tuple[Line, str]], smooth: list[float], border: float) -> set[int]:
+    """The regions of a marked article whose mean smoothed ratio reaches the border. The mark adds up to the border
+    itself, in full where half of a region's text stands outside links, nothing where all of it is links."""
+    sums: dict[int, list] = {}
+    for (line, text), s in zip(lines, smooth):
+        if line.article and text and not line.never:
+            own = sums.setdefault(line.region, [0, 0.0, 0, 0])
+            for at, value in enumerate((1, s, len(text), max(0, len(text) - line.linked))):
+                own[at] += value
+    return {region for region, (n, total, size, free) in sums.items()
+            if total / n + border * min(1.0, 2 * free / size) >= border}
+
+
 def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
@@ -290,12 +305,12 @@ def main_text(html: str) -> str:
     smooth = smoothed(ratios)
     border = two_clusters(smooth)
     marked = any(line.article and text for line, text in lines)
-    chosen = {line.region for (line, text), s in zip(lines, smooth)
-              if text and not line.never and (line.article if marked else s >= border)}
+    chosen = marked_regions(lines, smooth, border) if marked else {
+        line.region for (line, text), s in zip(lines, smooth) if text and not line.never and s >= border}
     if not chosen:  # nothing but links: the region with most text
         size: dict[int, int] = {}
         for line, text in lines:
-            if not line.never:
+            if not line.never and line.article == marked:
                 size[line.region] = size.get(line.region, 0) + len(text)
         chosen = {max(size, key=size.get)}
     places = [k for k, (line, text) in enumerate(lines) if text and line.region in chosen and not line.never]

@@ -39,6 +39,15 @@ def test_marked_article_keeps_its_header_and_drops_the_rest():
     assert main_text(page) == "Title\nTiny.\nOne two <three>"
 
 
+def test_ratios_select_inside_a_mark():
+    links = "".join(f'<li><a href="/{k}">Another page of the site, number {k}</a></li>' for k in range(8))
+    advert = '<div><a href=x>Buy the finest things here, today only</a> <a href=y>or there</a></div>'
+    page = f"""<body><main><h1>Title</h1><p>{LONG * 3}</p><section><h2>Notes</h2><p>Tiny.</p></section><p>{LONG * 3}</p>
+      <ul><li>A point, see <a href=x>there</a>.</li></ul><p>{LONG}</p>{advert}<ul>{links}</ul></main></body>"""
+    assert main_text(page) == f"Title\n{LONG * 3}\nNotes\nTiny.\n{LONG * 3}\nA point, see there.\n{LONG}"
+    assert main_text("<div>x</div><main><ul><li><a>One</a></li></ul></main>") == "One"
+
+
 def test_a_word_in_a_name_does_not_discard_an_article():
     page = f"""<article><h1>T</h1><h2 id="related-work">Related work</h2><p>{LONG}</p><section id="search-methods"><p>{LONG}</p>
       <p>Short.</p></section><p id="comments-on-method">{LONG}</p></article>"""
