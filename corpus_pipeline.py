@@ -34,8 +34,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents and their places in training sequences."""
-    return pack(docs)
+    """Token pieces of the documents, with their ids, and their places in training sequences."""
+    return pack(docs, with_ids=True)
 
 
 STAGES = [("quality", quality_stage), ("near_copies", near_copy_stage), ("personal_data", personal_data_stage),

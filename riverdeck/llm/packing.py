@@ -24,6 +24,7 @@ import zlib
 from array import array
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -106,7 +107,7 @@ def cut(ids: bytes, with_ids: bool, window: int = WINDOW) -> list[dict]:
     for start in range(0, len(ids) // 4, window):
         own = ids[4 * start:4 * (start + window)]
         piece = {"start": start, "length": len(own) // 4, "ids_crc32": zlib.crc32(own), "doc_tokens": len(ids) // 4}
-        out.append(piece | {"ids": array("I", own).tolist()} if with_ids else piece)
+        out.append(piece | {"ids": np.frombuffer(own, "<i4")} if with_ids else piece)
     return out
 
 

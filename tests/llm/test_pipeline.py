@@ -1,5 +1,9 @@
+import zlib
+from array import array
+
 import corpus_pipeline
 from riverdeck.llm.mixing import copies, source_targets, word_count
+from riverdeck.llm.packing import WINDOW
 from riverdeck.llm.pii import find
 from riverdeck.llm.quality import quality_report
 
@@ -31,3 +35,16 @@ def test_stages_take_effect_one_after_the_other(spark, sf_dir):
 
 def test_run_gives_rows(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_sequences_can_be_built_from_the_result(spark, sf_dir):
+    sequences = {}
+    for r in corpus_pipeline.run(spark, sf_dir).collect():
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(array("I", r.ids).tobytes())
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.ids))
+    for own in sequences.values():
+        end = 0
+        for offset, ids in sorted(own):
+            assert offset == end
+            end += len(ids)
+        assert 0 < end <= WINDOW
