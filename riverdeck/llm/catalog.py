@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, token_counts, warc
+from riverdeck.llm import (audit, html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, token_counts,
+                           warc)
 
 ENTRIES: dict[str, Entry] = {}
 
 
-def _register(name: str, table: str, build, sql: str | None = None) -> None:
-    ENTRIES[name] = Entry(name, lambda spark, sf_dir: build(spark.read.parquet(f"{sf_dir}/{table}.parquet")), sql)
+def _register(name: str, tables: str, build, sql: str | None = None) -> None:
+    """`build` gets the tables (space-separated names, in order), whole."""
+    ENTRIES[name] = Entry(name, lambda spark, sf_dir: build(
+        *[spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in tables.split()]), sql)
 
 
 _register("op3_count_tokens", "documents", token_counts.count_tokens)
@@ -22,3 +25,4 @@ _register("op1_nearest", "embeddings", neighbours.neighbour_report)
 _register("op8_warc", "pages", warc.archive_report, warc.WARC_SQL)
 _register("op10_main_text", "pages", html_text.extract)
 _register("op5_repeats", "documents", repeats.repeats_report)
+_register("op13_filter_audit", "documents labels", audit.audit, audit.AUDIT_SQL)
