@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
-from riverdeck.llm import (audit, html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, token_counts,
-                           warc)
+from riverdeck.llm import (audit, html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, spelling,
+                           token_counts, warc)
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -26,3 +26,4 @@ _register("op8_warc", "pages", warc.archive_report, warc.WARC_SQL)
 _register("op10_main_text", "pages", html_text.extract)
 _register("op5_repeats", "documents", repeats.repeats_report)
 _register("op13_filter_audit", "documents labels", audit.audit, audit.AUDIT_SQL)
+_register("op11_spelling_variants", "documents", spelling.spelling_report)
