@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from riverdeck.catalog.entry import Entry
 from riverdeck.llm import (audit, html_text, mixing, neighbours, packing, pii, quality, repeats, simhash, spelling,
-                           token_counts, warc)
+                           token_counts, toxicity, warc)
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -27,3 +27,4 @@ _register("op10_main_text", "pages", html_text.extract)
 _register("op5_repeats", "documents", repeats.repeats_report)
 _register("op13_filter_audit", "documents labels", audit.audit, audit.AUDIT_SQL)
 _register("op11_spelling_variants", "documents", spelling.spelling_report)
+_register("op12_toxicity", "documents labels", toxicity.toxicity_report)
