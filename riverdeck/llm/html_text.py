@@ -217,6 +217,12 @@ class Lines(HTMLParser):
             return
         self.close_tag(tag)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # none that the parser knows, such as <![foo[: a comment up to the next >
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and data.strip():
             self.close_head()

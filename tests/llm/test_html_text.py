@@ -1,4 +1,5 @@
 import html as entities
+import random
 import re
 
 import pytest
@@ -79,6 +80,23 @@ def test_broken_markup():
         main_text(page)
 
 
+def test_marked_sections():
+    """What a browser reads as a comment; a section that the parser knows stays as it was."""
+    for section in ("<![foo[bar]]>", "<![ if>", "<![if !IE]>", "<![x y z[>", "<![>", "<![endif]>"):
+        assert main_text(f"<p>{LONG}</p>{section}<p>{LONG}</p>") == f"{LONG}\n{LONG}", section
+    for page in ("<![foo[bar]]>x", "<p>a</p><![ if>b", "<![", "<![a", "<![CDATA[a]]>b", "<p>a<![CDATA[b", "<!["):
+        main_text(page)
+
+
+def test_random_markup():
+    pick = random.Random(7)
+    parts = ["<", ">", "<!", "<![", "[", "]]>", "]>", "<!--", "-->", "--!>", "<?", "?>", "</", "/>", "<p>", "</p>", "<a href='", '"', "'", "=",
+             "<script>", "</script>", "<style>", "<article>", "</article>", "<b>", "</i>", "&", "&#", "&#x", ";", "&amp", "CDATA[", "if",
+             "<!DOCTYPE", "<!ELEMENT", "\x00", "\n", " ", "text", "é", "<table", "<td>", "<svg>", "<title>", "<textarea>", "%", "x" * 50]
+    for _ in range(4000):
+        main_text("".join(pick.choice(parts) for _ in range(pick.randint(1, 40))))
+
+
 def test_smoothing_and_clusters():
     assert smoothed([5.0] * 6) == pytest.approx([5.0] * 6)
     peak = smoothed([0, 0, 0, 10, 0, 0, 0])
