@@ -31,3 +31,8 @@ def text_or_empty(column: str = "text") -> Column:
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def hashed_share(hash64: Column, share: float) -> Column:
+    """Whether a signed 64-bit hash lies in the lowest `share` of its range; no share is too small for it."""
+    return hash64 <= F.lit(min(2 ** 63 - 1, -2 ** 63 + int(share * 2 ** 64)))

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverdeck.llm.columns import hashed_share
 from riverdeck.llm.shipping import ship
 from riverdeck.session import pinned
 
@@ -145,7 +146,7 @@ def fit_forest(index: DataFrame, fit_rows: int = FIT_ROWS, trees: int = TREES) -
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
     n, norm2 = index.agg(F.count("*"), F.max(squares)).first()
     share = min(1.0, fit_rows / max(n, 1))
-    chosen = index.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = index.filter(hashed_share(F.xxhash64("vector"), share))
     found = chosen.orderBy(F.xxhash64("vector"), "vector").select("vector").limit(fit_rows).toArrow()["vector"]
     sample = found.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(found), -1)
     lifted = np.c_[sample, np.sqrt(np.maximum(norm2 - (sample ** 2).sum(1), 0))]

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverdeck.llm import skip_chain
+from riverdeck.llm.columns import hashed_share
 from riverdeck.llm.shipping import ship
 from riverdeck.llm.skip_chain import FEATURES, KINDS, Weights
 
@@ -279,8 +280,7 @@ def fit_weights(docs: DataFrame) -> Weights:
     """Weights from a bounded sample: documents by a hash of doc_id, then the first candidates by hash."""
     ship(docs.sparkSession)
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
-    chosen = docs.select(F.xxhash64("doc_id").alias("hash"), "text").filter(
-        F.pmod("hash", F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = docs.select(F.xxhash64("doc_id").alias("hash"), "text").filter(hashed_share(F.col("hash"), share))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -63,3 +63,13 @@ def test_order_is_rejection_per_cost(make_docs):
 def test_empty_and_repeated(make_docs):
     assert quality_report(make_docs([])).count() == keep_good(make_docs([])).count() == 0
     assert keep_good(make_docs([(1, PROSE, None), (1, PROSE, None), (None, PROSE, "s")])).count() == 3
+
+
+def test_hashed_share(spark):
+    from riverdeck.llm.columns import hashed_share
+    n = 100_000
+    hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
+    for share in (0.0, 1e-3, 0.25, 1.0):
+        assert abs(hashes.filter(hashed_share(F.col("h"), share)).count() - share * n) <= 5 * (share * n) ** 0.5
+    tiny = spark.createDataFrame([(-2 ** 63,), (-2 ** 63 + 10 ** 8,), (0,)], "h bigint")
+    assert tiny.filter(hashed_share(F.col("h"), 1e-11)).count() == 2
