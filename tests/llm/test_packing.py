@@ -3,6 +3,7 @@ import zlib
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from riverdeck.llm import packing
@@ -23,6 +24,33 @@ def test_ids_equal_the_library():
         assert array("I", ids(text)).tolist() + [END] == expected(text), repr(text)
 
 
+def test_every_plain_character_equals_the_library():
+    """Each character of the fast way: alone, between letters, beside digits, blanks, marks and itself."""
+    ids, plain = word_ids(public_tokenizers.path(VOCABULARY)).ids, [c for c in map(chr, range(0x1000)) if packing.PLAIN.fullmatch(c)]
+    assert len(plain) > 250
+    for c in plain:
+        for text in (c, f"ab{c}cd", f"1{c}2 {c}", f"Ab {c}, {c}{c}.", f"x'{c}'s"):
+            assert array("I", ids(text)).tolist() + [END] == expected(text), repr(text)
+
+
+def test_every_other_character_equals_the_library():
+    """Characters where Unicode tables differ, and one of each stretch of 61 code points."""
+    ids = word_ids(public_tokenizers.path(VOCABULARY)).ids
+    for point in (0x558, 0x88F, 0xC5C, 0x1C89, 0x208F, 0xA7CB, 0x107BB, 0x10940, 0x10D50, 0x130, *range(0x131, 0x110000, 61)):
+        if not 0xD800 <= point <= 0xDFFF:
+            text = f"a {chr(point)} b{chr(point)}c 1{chr(point)}"
+            assert array("I", ids(text)).tolist() + [END] == expected(text), hex(point)
+
+
+def test_batches_are_bounded(make_docs, monkeypatch):
+    rows = [(k, f"word{k} " * 50, "s") for k in range(200)] + [(200, "long " * 30_000, "s"), (201, None, "s")]
+    whole = sorted(map(tuple, packing.pieces(make_docs(rows), with_ids=True).collect()))
+    monkeypatch.setattr(packing, "BATCH_BYTES", 1)
+    batch = packing._batch(pa.array([7, 8]), [0, 1, 1], [(0, b"\0" * 8, 2), (0, b"\1" * 4, 1), (1, b"", 1)], True)
+    assert batch.column("ids").to_pylist() == [[0, 0], [0x01010101], []] and batch.column("doc_id").to_pylist() == [7, 8, 8]
+    assert sorted(map(tuple, packing.pieces(make_docs(rows), with_ids=True).collect())) == whole
+
+
 def test_best_fit_against_a_plain_search():
     pick = random.Random(1)
     for _ in range(200):
