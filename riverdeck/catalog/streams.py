@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from riverdeck import staging
 from riverdeck.catalog.entry import Entry
-from riverdeck.catalog.events import ACTIONS_SQL, CARDS_SQL, RESULTS_SQL, SESSION_SQL, STARTED_SQL
+from riverdeck.catalog.events import (
+    ACTIONS_SQL, CARDS_SQL, LEGACY, LEGACY_FOLD_SQL, RESULTS_SQL, SESSION_SQL, SHOWDOWN, SHOWN_SQL, STARTED_SQL, STATES)
 from riverdeck.catalog.hands import PROGRESS
 from riverdeck.fixtures import view, with_views
+from riverdeck.operators import events as ev
+from riverdeck.operators import folds
 from riverdeck.session import scratch_path, slice_count
-from riverdeck.streaming import counters, hands, ingest, sessions, tables
+from riverdeck.sources import blocks
+from riverdeck.streaming import counters, hands, ingest, matches, sessions, tables
 
 BATCHES = 4
 
@@ -60,6 +64,40 @@ def _sessions(spark, sf_dir):
     return sessions.current_sessions(spark, out).drop("join_seq")
 
 
+def _closing_hands(spark, sf_dir):
+    """Hands that close ten blocks after they complete; the open log is compacted after every portion."""
+    def start(stream, out, checkpoint):
+        query = hands.start_hands(stream, out, checkpoint, close_after=10)
+        query.awaitTermination()
+        hands.compact_closing_hands(spark, out)
+        return query
+
+    events = view(spark, sf_dir, "fx_events")
+    return hands.current_hands(spark, _taken_up(staging.portions(events, "height"), spark, "closing", start), closing=True)
+
+
+def _matched(spark, sf_dir, name):
+    """Events and snapshots land in portions of their own, the snapshots one portion behind."""
+    root = scratch_path(spark, "matched")
+    events, states = view(spark, sf_dir, name), blocks.game_states(spark, staging.landed_states(spark, sf_dir))
+    landing = [*staging.portions(events, "height", 2), None], [None, *staging.portions(states, "as_of_block", 2)]
+    for event_part, state_part in zip(*landing):
+        for frame, folder in ((event_part, "events"), (state_part, "states")):
+            (events.limit(0) if frame is None and folder == "events" else states.limit(0) if frame is None else frame
+             ).write.mode("append").parquet(f"{root}/{folder}")
+        matches.start_matches(spark.readStream.schema(events.schema).parquet(f"{root}/events"),
+                              spark.readStream.schema(states.schema).parquet(f"{root}/states"),
+                              f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def _legacy_hands(spark, sf_dir):
+    headers = blocks.headers(spark, staging.landed_headers(spark, sf_dir))
+    legacy = matches.current_legacy_hands(spark, _matched(spark, sf_dir, LEGACY), headers)
+    started = ev.started_hands(view(spark, sf_dir, LEGACY)).withColumn("weak", F.lit(False))
+    return folds.fold_hands(started.unionByName(legacy.drop("tx_hash")))
+
+
 def _tables(current, compacted=False):
     """The streamed tables, of which `current` reads one; `compacted`, after a base was made halfway."""
     def run(spark, sf_dir):
@@ -103,6 +141,10 @@ select player_address, count(*) as total_actions, min(block_height) as first_see
        max(block_height) as last_seen_block from fx_player_actions group by player_address""", "fx_player_actions")),
     Entry("stream_hands_fold", _hands, with_views(STARTED_SQL, "fx_events")),
     Entry("stream_sessions", _sessions, with_views(SESSION_SQL, "fx_events")),
+    Entry("stream_closing_hands", _closing_hands, with_views(STARTED_SQL, "fx_events")),
+    Entry("stream_legacy_hands", _legacy_hands, with_views(LEGACY_FOLD_SQL, LEGACY, "fx_headers", STATES)),
+    Entry("stream_showdowns", lambda spark, sf: matches.current_showdowns(spark, _matched(spark, sf, SHOWDOWN)),
+          with_views(SHOWN_SQL, SHOWDOWN, STATES)),
     Entry("stream_results_fold", _tables(_results, compacted=True), with_views(RESULTS_SQL, "fx_events")),
     Entry("stream_revealed_cards", _tables(tables.current_cards, compacted=True), with_views(CARDS_SQL + """
 , numbered as (select *, row_number() over (partition by game_id, hand_number, card_type, position, card

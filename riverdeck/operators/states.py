@@ -33,13 +33,29 @@ def state_asof(events: DataFrame, states: DataFrame) -> DataFrame:
         "game_id", "height", "event_seq", *extra, "state")
 
 
-def legacy_hands(events: DataFrame, headers: DataFrame, states: DataFrame) -> DataFrame:
-    """new-hand actions as hand rows: the block's app hash is the seed; number and deck come
-    from the snapshot. Without a snapshot the row is `weak`: hand 0, no deck."""
-    asked = (route(events, ACTION)
-             .filter((F.col("action") == NEW_HAND_ACTION) & (F.coalesce("game_id", F.lit("")) != ""))
-             .select("game_id", "height", "event_seq"))
-    matched = state_asof(asked, states.select("game_id", "as_of_block", "hand_number", "deck"))
+#: What a snapshot must hold for hands and for showdowns, beside its game and block.
+HAND_STATE = ["hand_number", "deck"]
+SHOWDOWN_STATE = ["hand_number", "round", "community", "players", "winners"]
+
+
+def _asked(events: DataFrame, *wanted: str) -> DataFrame:
+    return (route(events, ACTION)
+            .filter(F.col("action").isin(*wanted) & (F.coalesce("game_id", F.lit("")) != ""))
+            .select("game_id", "height", "event_seq"))
+
+
+def new_hand_requests(events: DataFrame) -> DataFrame:
+    """Where a new-hand action asks for the snapshot of its time."""
+    return _asked(events, NEW_HAND_ACTION)
+
+
+def showdown_requests(events: DataFrame) -> DataFrame:
+    """Where a show, muck or fold asks for the snapshot of its time."""
+    return _asked(events, *SHOWDOWN_ACTIONS)
+
+
+def hands_of(matched: DataFrame, headers: DataFrame) -> DataFrame:
+    """new-hand requests with their `state` -> hand rows."""
     return (matched.join(headers, "height", "left")
             .select("height", "event_seq", "game_id",
                     F.coalesce("state.hand_number", F.lit(0)).alias("hand_number"),
@@ -50,14 +66,8 @@ def legacy_hands(events: DataFrame, headers: DataFrame, states: DataFrame) -> Da
                     F.col("state").isNull().alias("weak")))
 
 
-def showdown_results(events: DataFrame, states: DataFrame) -> DataFrame:
-    """Result rows, shaped as `completed_hands`, for show, muck and fold actions that meet a
-    finished showdown."""
-    asked = (route(events, ACTION)
-             .filter(F.col("action").isin(*SHOWDOWN_ACTIONS) & (F.coalesce("game_id", F.lit("")) != ""))
-             .select("game_id", "height", "event_seq"))
-    matched = state_asof(asked, states.select(
-        "game_id", "as_of_block", "hand_number", "round", "community", "players", "winners"))
+def results_of(matched: DataFrame) -> DataFrame:
+    """Showdown requests with their `state` -> result rows, where that is a finished showdown."""
     no_cards = F.array().cast("array<string>")
     held = F.flatten(F.transform("state.players", lambda p: F.coalesce(p["holeCards"], no_cards)))
     return (matched
@@ -69,12 +79,27 @@ def showdown_results(events: DataFrame, states: DataFrame) -> DataFrame:
                     F.size("state.winners").alias("winner_count")))
 
 
+def legacy_hands(events: DataFrame, headers: DataFrame, states: DataFrame) -> DataFrame:
+    """new-hand actions as hand rows: the block's app hash is the seed; number and deck come
+    from the snapshot. Without a snapshot the row is `weak`: hand 0, no deck."""
+    return hands_of(state_asof(new_hand_requests(events), states.select("game_id", "as_of_block", *HAND_STATE)), headers)
+
+
+def showdown_results(events: DataFrame, states: DataFrame) -> DataFrame:
+    """Result rows, shaped as `completed_hands`, for show, muck and fold actions that meet a
+    finished showdown."""
+    return results_of(state_asof(showdown_requests(events), states.select("game_id", "as_of_block", *SHOWDOWN_STATE)))
+
+
 def showdowns(events: DataFrame, states: DataFrame, dedupe: bool = True) -> DataFrame:
     """Cards revealed at showdowns, one row each. Every trigger of one showdown names the same
     cards; deduped, the first block that showed a card stays (a block has one snapshot)."""
     cards = explode_cards(showdown_results(events, states), "winner_count")
-    if not dedupe:
-        return cards
+    return first_shown(cards) if dedupe else cards
+
+
+def first_shown(cards: DataFrame) -> DataFrame:
+    """Each revealed card once, at the first block that showed it."""
     return (cards.groupBy("game_id", "hand_number", "card", "card_type", "position")
             .agg(F.min("block_height").alias("block_height"),
                  F.min_by("winner_count", "block_height").alias("winner_count"))

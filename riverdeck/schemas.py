@@ -83,3 +83,8 @@ CARD_LOG = _record(
 ACTION_LOG = _record(player_address=STRING, game_id=STRING, block_height=LONG, action=STRING, amount=LONG)
 MOVES = _record(
     player_address=STRING, game_id=STRING, height=LONG, event_seq=INT, is_join=BooleanType(), amount=LONG)
+SNAPSHOT = _record(
+    game_id=STRING, as_of_block=LONG, hand_number=INT, round=STRING, deck=STRING, community=STRINGS,
+    players=ArrayType(PLAYER), winners=ArrayType(WINNER))
+MATCHES = _record(game_id=STRING, height=LONG, event_seq=INT, kind=INT, met_block=LONG, payload=STRING)
+OPEN_HANDS = StructType([*HAND_PARTIALS.fields, StructField("closed", INT)])

@@ -1,0 +1,198 @@
+"""Steps of the keyed streams, batch by batch without Spark, against replays of the whole."""
+
+import random
+
+import pytest
+from test_folds import chain, replay_hands, replay_sessions, stated
+
+from riverdeck.streaming import hands, matches, sessions
+
+
+class Store:
+    """What Spark does around a step: state per key, late filter, timers."""
+
+    def __init__(self, step, late=0):
+        self.step, self.late = step, late
+        self.state, self.timers, self.settled, self.highest = {}, {}, -1, -1
+
+    def batch(self, rows):
+        """Rows (key, place, row) -> rows out. Rows at or below the settled block are dropped."""
+        by_key, out = {}, []
+        for key, height, row in rows:
+            if height > self.settled:
+                by_key.setdefault(key, []).append(row)
+        due = [key for key, block in self.timers.items() if block <= self.settled and key not in by_key]
+        for key in [*by_key, *due]:
+            kept, block, found = self.step(key, self.state.get(key), by_key.get(key, []), self.settled)
+            out += found
+            self.timers.pop(key, None)
+            self.state.pop(key, None)
+            if kept is not None:
+                self.state[key] = kept
+                if block is not None:
+                    self.timers[key] = max(block, self.settled + 1)
+        self.highest = max([self.highest, *[height for _, height, _ in rows]])
+        self.settled = max(self.settled, self.highest - self.late - 1)
+        return out
+
+
+def cut(rows, rng, late=0):
+    """Consecutive batches of any size; with `late`, rows up to so many blocks out of order, some of them twice."""
+    if late:
+        rows = sorted([*rows, *[r for r in rows if rng.random() < 0.3]], key=lambda r: r["height"] + rng.uniform(0, late))
+    at = 0
+    while at < len(rows):
+        size = rng.choice([1, 2, 3, 7, 20])
+        yield rows[at:at + size]
+        at += size
+
+
+def moves(rows):
+    for r in rows:
+        if r["type"] in ("player_joined_game", "player_left_game"):
+            join = r["type"] == "player_joined_game"
+            amount = int(r["buy_in_amount"] if join else r["refund_amount"])
+            yield (r["player"], r["game_id"]), r["height"], (r["height"], r["event_seq"], join, amount)
+
+
+@pytest.mark.parametrize("late", [0, 1, 5])
+@pytest.mark.parametrize("seed", range(12))
+def test_sessions_under_any_cut(seed, late):
+    rng, rows = random.Random(seed), list(chain(seed, blocks=80))
+    store, found = Store(sessions.step, late), {}
+    for part in cut(rows, rng, late):
+        for player, game, block, _, leave, amount, refund in store.batch(list(moves(part))):
+            found[player, game, block] = (leave, amount, refund)
+    assert found == replay_sessions(rows)
+
+
+def test_replays_of_settled_blocks_change_nothing():
+    rows = list(chain(4))
+    store = Store(sessions.step)
+    for height in range(1, 61):
+        store.batch(list(moves(r for r in rows if r["height"] == height)))
+    assert store.batch(list(moves(r for r in rows if r["height"] < 59))) == []
+
+
+def test_state_holds_open_sessions_only():
+    rows = list(chain(5, blocks=300))
+    store = Store(sessions.step)
+    for part in cut(rows, random.Random(1)):
+        store.batch(list(moves(part)))
+    store.batch([(("nobody", "g"), 10_000, (10_000, 0, False, 0))])
+    store.batch([(("nobody", "g"), 20_000, (20_000, 0, False, 0))])
+    still_open = {k[:2]: 0 for k, v in replay_sessions(rows).items() if v[0] is None}
+    assert {key for key in store.state if key[0] != "nobody"} == still_open.keys()
+    assert all(not recent for key, (_, recent) in store.state.items() if key[0] != "nobody")
+    opened = sum(len(state[0]) for state in store.state.values())
+    assert opened == sum(v[0] is None for v in replay_sessions(rows).values())
+
+
+def games(seed, blocks=60):
+    """Snapshots and requests of two games: (game, height, row) of `matches.step`."""
+    rng = random.Random(seed)
+    for height in range(1, blocks + 1):
+        for game in ("a", "b"):
+            for kind in (matches.HAND, matches.SHOWDOWN):
+                for _ in range(rng.choice([0, 0, 0, 1, 2])):
+                    choice = rng.randint(-99, 99)
+                    yield (game,), height, (kind, height, -1, True, choice, f"{game}{kind}@{height}/{choice}")
+                for seq in range(rng.choice([0, 0, 1, 2])):
+                    yield (game,), height, (kind, height, seq, False, 0, None)
+
+
+def answers(rows):
+    best = {}
+    for (game,), height, (kind, _, _, is_snapshot, choice, payload) in rows:
+        if is_snapshot and choice >= best.get((game, kind, height), (-100, ""))[0]:
+            best[game, kind, height] = (choice, payload)
+    out = {}
+    for (game,), height, (kind, _, seq, is_snapshot, _, _) in rows:
+        if not is_snapshot:
+            met = max((h for g, k, h in best if (g, k) == (game, kind) and h <= height), default=None)
+            out[game, height, seq, kind] = (met, best[game, kind, met][1] if met else None)
+    return out
+
+
+class TwoStreams(Store):
+    """As `Store`; blocks settle when both streams have passed them."""
+
+    def __init__(self, late=0):
+        super().__init__(matches.step, late)
+        self.of = {True: -1, False: -1}
+
+    def batch(self, rows):
+        settled = self.settled
+        out = super().batch(rows)
+        for kind in self.of:
+            self.of[kind] = max([self.of[kind], *[h for _, h, row in rows if row[3] == kind]])
+        self.settled = max(settled, min(self.of.values()) - self.late - 1)
+        return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_matches_under_any_cut_of_either_stream(seed):
+    rng, rows = random.Random(seed), list(games(seed))
+    streams = {kind: [r for r in rows if r[2][3] == kind] for kind in (True, False)}
+    store, found = TwoStreams(), {}
+    while any(streams.values()):
+        kind = rng.choice([k for k, left in streams.items() if left])
+        size = rng.choice([1, 5, 40])
+        part, streams[kind] = streams[kind][:size], streams[kind][size:]
+        again = [r for r in part if rng.random() < 0.2]
+        for game, height, seq, asked, met, payload in store.batch([*part, *again]):
+            found[game, height, seq, asked] = (met, payload)
+    assert found == answers(rows)
+
+
+def test_matches_keep_a_window_of_blocks():
+    rows = list(games(3, blocks=400))
+    store, most = TwoStreams(), 0
+    for height in range(1, 401):
+        store.batch([r for r in rows if r[1] == height])
+        most = max([most, *[len(kept) + len(waiting) for kept, waiting in store.state.values()]])
+    assert most <= 20  # two settled snapshots and three blocks of at most six rows
+
+
+def hand_rows(rows):
+    for r in rows:
+        if r["type"] in ("hand_started", "hand_completed"):
+            start = r["type"] == "hand_started"
+            yield (r["game_id"], int(r["hand_number"])), r["height"], (
+                r["height"], r["event_seq"], start, stated(r), r["deck_seed"] if start else None, r["deck"] if start else None)
+
+
+@pytest.mark.parametrize("close_after", [0, 3, 1000])
+@pytest.mark.parametrize("seed", range(8))
+def test_closing_hands_lose_nothing(seed, close_after):
+    rows = list(chain(seed, blocks=90))
+    store, merged = Store(hands.closing_step(close_after)), {}
+    for part in cut(rows, random.Random(seed)):
+        for game, number, first, block, last, deck_seed, deck, _ in store.batch(list(hand_rows(part))):
+            first, last = tuple(first.values()), tuple(last.values())
+            old = merged.get((game, number), (first, block, last, deck_seed, deck))
+            merged[game, number] = (*min((first, block), old[:2]), *max((last, deck_seed, deck), old[2:]))
+    assert {k: (block, seed, deck) for k, (_, block, _, seed, deck) in merged.items()} == replay_hands(rows)
+
+
+def test_hands_close_so_many_blocks_after_completion():
+    store = Store(hands.closing_step(5))
+    key = ("g", 1)
+    assert [r[-1] for r in store.batch([(key, 10, (10, 0, True, 10, "s", "d"))])] == [0]
+    assert store.batch([(key, 12, (12, 0, False, 12, None, None))]) == []
+    assert store.batch([(("h", 1), 17, (17, 0, False, 17, None, None))]) == [] and key in store.state
+    assert store.batch([(("h", 1), 18, (18, 0, False, 18, None, None))]) == []
+    closed = store.batch([(("h", 1), 19, (19, 0, False, 19, None, None))])
+    assert [(r[0], r[-1]) for r in closed] == [("g", 1)] and key not in store.state
+    late = store.batch([(key, 20, (20, 0, True, 20, "s2", "d2"))])
+    assert [(r[3], r[-1]) for r in late] == [(20, 0)] and key in store.state
+
+
+def test_state_of_closing_hands_is_bounded():
+    rows = [dict(height=h, event_seq=s, type=kind, game_id="g", hand_number=str(h), deck_seed="s", deck="d", block_height=None)
+            for h in range(1, 500) for s, kind in enumerate(("hand_started", "hand_completed"))]
+    store, most = Store(hands.closing_step(4)), 0
+    for height in range(1, 500):
+        store.batch(list(hand_rows(r for r in rows if r["height"] == height)))
+        most = max(most, len(store.state))
+    assert most <= 8

@@ -12,7 +12,8 @@ from riverdeck.operators.events import actions
 from riverdeck.operators.lookup import scan_gaps
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
-from riverdeck.streaming import counters, hands, ingest, logs, sessions, tables
+from riverdeck.operators.states import legacy_hands, showdown_results
+from riverdeck.streaming import counters, hands, ingest, logs, matches, sessions, tables
 
 
 def land(spark, folder, rows):
@@ -39,7 +40,7 @@ def test_hands_and_sessions_go_on_after_a_restart(spark, tmp_path, parts):
             land(spark, landing, rows_of_file)
         hands.start_hands(tail(spark, landing), f"{out}/h", f"{out}/hc").awaitTermination()
         sessions.start_sessions(tail(spark, landing), f"{out}/s", f"{out}/sc").awaitTermination()
-    assert logs.last_commit(spark, f"{out}/s") == 3
+    assert logs.last_commit(spark, f"{out}/h") == 3
     found = hands.current_hands(spark, f"{out}/h")
     assert {(r.game_id, r.hand_number): (r.block_height, r.deck_seed, r.deck)
             for r in found.collect()} == replay_hands(rows)
@@ -219,3 +220,89 @@ def test_compacted_logs_say_the_same_after_restarts(spark, tmp_path, parts):
     for name in ("t/results", "t/cards", "h/partials", "s/sessions"):  # the newest batch, beside one base
         assert len(list((tmp_path / "out" / name).glob(f"{logs.BATCH}=*"))) == 1
         assert len(list((tmp_path / "out" / f"{name}-base").glob(f"{logs.BATCH}=*"))) == 1
+
+
+def test_sessions_restart_after_compaction(spark, tmp_path, parts):
+    """The newest batch runs again after the ones before it were merged."""
+    rows, files = parts
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run():
+        query = sessions.start_sessions(tail(spark, landing), out, str(tmp_path / "c"))
+        query.awaitTermination()
+        return query
+
+    for part in files[:3]:
+        land(spark, landing, part)
+        run()
+    sessions.compact_sessions(spark, out)
+    forget_last_checkpoint_commit(tmp_path / "c")
+    land(spark, landing, files[3])
+    query = run()
+    expected = replay_sessions(rows)
+    assert sessions_of(sessions.current_sessions(spark, out)) == expected
+    keys = {k[:2] for k, v in expected.items() if v[0] is None}
+    recent = {(r["player"], r["game_id"]) for r in rows if r.get("player") and r["height"] >= rows[-1]["height"] - 30}
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= len(keys | recent)
+
+
+def test_late_moves_within_the_window_count(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    join = lambda h: dict(height=h, event_seq=0, type="player_joined_game", player="p", game_id="g", buy_in_amount="5")
+    leave = lambda h: dict(height=h, event_seq=1, type="player_left_game", player="p", game_id="g", refund_amount="8")
+    for row in (join(1), join(6), leave(9), leave(4), join(100), join(3)):  # the first leave comes late, the last join too late
+        land(spark, landing, [row])
+        sessions.start_sessions(tail(spark, landing), out, str(tmp_path / "c"), late_blocks=10).awaitTermination()
+    assert sessions_of(sessions.current_sessions(spark, out)) == {
+        ("p", "g", 1): (4, 5, 8), ("p", "g", 6): (9, 5, 8), ("p", "g", 100): (None, 5, 0)}
+
+
+STATES = ("game_id string, as_of_block bigint, hand_number int, round string, deck string, community array<string>, "
+          "players array<struct<address:string,seat:int,stack:string,holeCards:array<string>,status:string>>, "
+          "winners array<struct<address:string,amount:string,cards:array<string>>>")
+
+
+def test_streamed_matches_equal_batch(spark, tmp_path):
+    """Snapshots run behind the events, then ahead; a batch runs again; the log is compacted between."""
+    rows = [{**r, "action": ("new-hand", "fold", "show", "bet")[r["event_seq"] % 4]} for r in chain(3) if r["type"] == "action_performed"]
+    snapshots = [(f"g{h % 2}", h, h % 5, "showdown" if h % 3 else "river", f"deck{h}", ["Kd", "", "Ts"] if h % 4 else None,
+                  [("p", 0, "1", ["Ah", ""] if h % 2 else None, "x")], [("p", "1", None)] * (h % 3)) for h in range(3, 60, 4)]
+    out = str(tmp_path / "out")
+    all_events, all_states = events_frame(spark, rows), spark.createDataFrame(snapshots, STATES)
+    for lo, hi, slo, shi in ((0, 30, 0, 5), (30, 50, 5, 30), (0, 0, 30, 61), (50, 61, 0, 0)):
+        all_events.filter(f"height >= {lo} and height < {hi}").coalesce(1).write.mode("append").parquet(str(tmp_path / "e"))
+        all_states.filter(f"as_of_block >= {slo} and as_of_block < {shi}").coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+        for _ in range(2):
+            matches.start_matches(
+                spark.readStream.schema(schemas.EVENTS).parquet(str(tmp_path / "e")),
+                spark.readStream.schema(all_states.schema).parquet(str(tmp_path / "s")), out, str(tmp_path / "c")).awaitTermination()
+            if hi == 50:
+                forget_last_checkpoint_commit(tmp_path / "c")
+            else:
+                break
+        matches.compact_matches(spark, out)
+    headers = spark.createDataFrame([(h, f"H{h}") for h in range(61)], "height bigint, app_hash string")
+    same = lambda a, b: sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+    assert same(matches.current_legacy_hands(spark, out, headers), legacy_hands(all_events, headers, all_states))
+    expected = showdown_results(all_events, all_states)
+    assert expected.count() > 5 and same(matches.current_showdown_results(spark, out), expected)
+
+
+def test_closed_hands_leave_the_open_log(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    rows = [dict(height=h, event_seq=s, type=kind, game_id="g", hand_number=str(h), deck_seed=f"s{h}", deck="d")
+            for h in range(1, 41) for s, kind in enumerate(("hand_started", "hand_completed"))]
+    again = dict(height=41, event_seq=0, type="hand_started", game_id="g", hand_number="5", deck_seed="new", deck="d")
+    most = 0
+    for part in (rows[:30], rows[30:60], rows[60:], [again]):
+        land(spark, landing, part)
+        query = hands.start_hands(tail(spark, landing), out, str(tmp_path / "c"), close_after=3)
+        query.awaitTermination()
+        hands.compact_closing_hands(spark, out)
+        most = max(most, hands.open_hands(spark, out).count())
+    found = {(r.game_id, r.hand_number): (r.block_height, r.deck_seed, r.deck) for r in hands.current_hands(spark, out, closing=True).collect()}
+    assert found == replay_hands([*rows, again])
+    # what one batch brought and what had not closed before it, not the 40 hands there were
+    assert most <= 36 and hands.closed_hands(spark, out).count() >= 30
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 16
+    assert "5" in {str(r.hand_number) for r in hands.open_hands(spark, out).collect()}
