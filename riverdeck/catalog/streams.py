@@ -10,6 +10,7 @@ from riverdeck.catalog.entry import Entry
 from riverdeck.catalog.events import (
     ACTIONS_SQL, CARDS_SQL, LEGACY, LEGACY_FOLD_SQL, RESULTS_SQL, SESSION_SQL, SHOWDOWN, SHOWN_SQL, STARTED_SQL, STATES)
 from riverdeck.catalog.hands import PROGRESS
+from riverdeck.constants import ROUTED_TYPES
 from riverdeck.fixtures import view, with_views
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
@@ -29,6 +30,25 @@ def _ingested(spark, sf_dir):
     return f"{root}/out"
 
 
+def _figures(spark, sf_dir):
+    """The logged figures of all batches, but for the time they took."""
+    counts = ["blocks", "events", "unreadable", *ROUTED_TYPES]
+    return ingest.landed_figures(spark, _ingested(spark, sf_dir)).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in counts], F.max("last_height").alias("last_height"))
+
+
+def _refill(spark, sf_dir):
+    """The chain lands without one in four stretches of 25 blocks; what is asked for then lands by a second stream,
+    and so does a stretch that is there already."""
+    root, events = scratch_path(spark, "refill"), view(spark, sf_dir, "fx_events")
+    stretch = F.floor(F.col("height") / 25) % 4
+    for rows, folder in ((events.filter(stretch != 1), "landing"), (events.filter(stretch.isin(1, 2)), "fetched")):
+        staging.block_documents(rows).write.json(f"{root}/{folder}")
+    ingest.start_ingest(spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    ingest.start_refill(spark, f"{root}/fetched", f"{root}/out", f"{root}/checkpoint-refill").awaitTermination()
+    return ingest.landed_events(spark, f"{root}/out")
+
+
 def _taken_up(frames, spark, name, start):
     """Land each frame and run the stream `start(stream, out, checkpoint)` until it has taken
     it up; gives the output folder."""
@@ -131,6 +151,12 @@ ENTRIES = [
     Entry("stream_progress", lambda spark, sf: ingest.landed_progress(spark, _ingested(spark, sf)),
           with_views(PROGRESS + "select last as last_scanned_block, last as total_blocks_scanned from scanned",
                      "fx_chain_events")),
+    Entry("stream_figures", _figures, with_views("""
+, kinds as (select count(*) as events, """ + ", ".join(
+        f"count(*) filter (type = '{kind}') as {kind}" for kind in ROUTED_TYPES) + """ from fx_events)
+select kinds.*, (select count(distinct height) from fx_events) as blocks, (select max(height) from fx_events) as last_height,
+       cast(0 as bigint) as unreadable from kinds""", "fx_events")),
+    Entry("stream_refill", _refill, with_views("select * from fx_events", "fx_events")),
     Entry("stream_card_counts", _counted(counters.card_counters, "fx_revealed_cards", "card"), with_views("""
 select card, count(*) as total, count(*) filter (card_type = 'community') as community,
        count(*) filter (card_type = 'hole') as hole

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riverdeck.constants import MICRO_UNITS, PAGE_LIMIT
 from riverdeck.plans.paging import beside, page, top, top_per_key
+from riverdeck.plans.slices import gaps, islands
 
 HAND_KEY = ["game_id", "hand_number"]
 
@@ -154,20 +155,30 @@ def indexing_status(hands: DataFrame, progress: DataFrame, chain_height: int | N
         F.col("hands").alias("total_hands"), F.col("games").alias("total_games"))
 
 
+def scan_gap_ranges(heights: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Runs of blocks of start..end (default: the span seen) that were never scanned: first_block, last_block.
+
+    Work follows the scanned heights and the number of gaps, not the blocks that are missing."""
+    if start is not None and end is not None and start > end:
+        return heights.sparkSession.createDataFrame([], "first_block bigint, last_block bigint")
+    seen = heights.select("height")
+    if start is not None:
+        seen = seen.filter(F.col("height") >= start)
+    if end is not None:
+        seen = seen.filter(F.col("height") <= end)
+    runs = islands(seen, "height")
+    fences = [at for at in (start - 1 if start is not None else None, end + 1 if end is not None else None) if at is not None]
+    if fences:  # just outside, so that what is missing at the ends lies between two runs
+        runs = runs.unionByName(heights.sparkSession.createDataFrame([(at, at) for at in fences], "lo bigint, hi bigint"))
+    return gaps(runs).select(F.col("lo").alias("first_block"), F.col("hi").alias("last_block"))
+
+
 def scan_gaps(heights: DataFrame, start: int | None = None, end: int | None = None, width: int = 10_000) -> DataFrame:
-    """Blocks of start..end (default: the span seen) that were never scanned.
-
-    The span is laid out range by range over the cluster; no task or row holds all of it."""
-    scanned = heights.select(F.col("height").alias("missing_block")).distinct()
-    span = heights.agg(
-        (F.lit(start).cast("bigint") if start is not None else F.min("height")).alias("lo"),
-        (F.lit(end).cast("bigint") if end is not None else F.max("height")).alias("hi"))
-    # sequence() refuses to count down, also for rows a filter would drop: hence greatest().
-    ranges = (span
-              .select("hi", F.explode(F.sequence(
-                  "lo", F.greatest("lo", "hi"), F.lit(width).cast("bigint"))).alias("at"))
+    """Blocks of start..end (default: the span seen) that were never scanned, one row each.
+
+    Long gaps are laid out piece by piece over the cluster; no task or row holds all of one."""
+    pieces = (scan_gap_ranges(heights, start, end)
+              .select("last_block", F.explode(F.sequence(
+                  "first_block", "last_block", F.lit(width).cast("bigint"))).alias("at"))
               .repartition("at"))
-    wanted = (ranges
-              .select("hi", F.explode(F.sequence("at", F.col("at") + (width - 1))).alias("missing_block"))
-              .filter("missing_block <= hi").select("missing_block"))
-    return wanted.join(scanned, "missing_block", "left_anti")
+    return pieces.select(F.explode(F.sequence("at", F.least("last_block", F.col("at") + (width - 1)))).alias("missing_block"))

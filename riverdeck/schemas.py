@@ -1,10 +1,10 @@
 """Explicit schemas: nothing in the library infers one."""
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
-from riverdeck.constants import ATTRIBUTES
+from riverdeck.constants import ATTRIBUTES, ROUTED_TYPES
 
 
 def _record(**fields) -> StructType:
@@ -71,6 +71,9 @@ SESSIONS = _record(
 
 # Stored state of the streams.
 HEIGHTS = _record(height=LONG, copies=LONG)
+QUARANTINE = _record(file=STRING, reason=STRING, document=STRING)
+FIGURES = _record(blocks=LONG, last_height=LONG, seconds=DoubleType(), events=LONG, unreadable=LONG,
+                  **{kind: LONG for kind in ROUTED_TYPES})
 _ARRIVAL = _record(height=LONG, event_seq=INT)
 HAND_PARTIALS = _record(
     game_id=STRING, hand_number=INT, first_at=_ARRIVAL, block_height=LONG, last_at=_ARRIVAL,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverdeck import schemas
@@ -10,9 +10,14 @@ from riverdeck.constants import ATTRIBUTES
 from riverdeck.functions.attrs import decode_attrs
 
 
+def block_height() -> Column:
+    """The block a block-result document names; null if it names none."""
+    return F.col("result.height").try_cast("bigint")
+
+
 def raw_events(documents: DataFrame) -> DataFrame:
     """Block-result documents -> one row per event, numbered in the order
-    transactions, begin-block, end-block. Unreadable documents have no height and drop out."""
+    transactions, begin-block, end-block. Documents that name no block drop out (`streaming.ingest` keeps them)."""
     result = F.col("result")
     none = F.array().cast(schemas.ArrayType(schemas.EVENT))
     in_txs = F.flatten(F.transform(
@@ -21,7 +26,7 @@ def raw_events(documents: DataFrame) -> DataFrame:
     listed = F.concat(
         in_txs, F.coalesce(result["begin_block_events"], none), F.coalesce(result["end_block_events"], none))
     return (documents
-            .select(result["height"].try_cast("bigint").alias("height"), listed.alias("events"))
+            .select(block_height().alias("height"), listed.alias("events"))
             .filter(F.col("height").isNotNull())
             .select("height", F.posexplode("events").alias("event_seq", "event"))
             .select("height", "event_seq", F.col("event.type").alias("type"),
@@ -31,7 +36,7 @@ def raw_events(documents: DataFrame) -> DataFrame:
 def scanned_heights(documents: DataFrame) -> DataFrame:
     """Heights of the readable block-result documents, blocks without events included, and how
     many documents each has."""
-    return (documents.select(F.col("result.height").try_cast("bigint").alias("height"))
+    return (documents.select(block_height().alias("height"))
             .filter(F.col("height").isNotNull()).groupBy("height").agg(F.count("*").alias("copies")))
 
 

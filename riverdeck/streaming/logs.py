@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructType
 
+from riverdeck.plans.slices import SPAN, islands
 from riverdeck.session import remove
 
 BATCH = "batch_id"
 _KEPT = 10
+_SPANS = StructType().add("lo", LongType()).add("hi", LongType())
 _COMMITS = StructType().add("rows_from", LongType()).add("high", LongType())
 
 
@@ -48,7 +50,7 @@ def high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
     return commits.filter(F.col("rows_from") < batch_id).agg(F.max("high")).first()[0]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
@@ -56,7 +58,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _compacted(spark: SparkSession, root: str, name: str) -> int:
     """The last batch that the log's base holds; -1 without a base."""
     marks = f"{root}/{name}-bases"
-    if not _exists(spark, marks):
+    if not exists(spark, marks):
         return -1
     return spark.read.schema(_COMMITS).parquet(marks).agg(F.max("rows_from")).first()[0]
 
@@ -93,19 +95,36 @@ def compact(spark: SparkSession, root: str, name: str, schema: StructType,
     remove(spark, f"{root}/{name}-bases/{BATCH}={upto}")
 
 
+def write_spans(rows: DataFrame, root: str, position: str, batch_id: int) -> None:
+    """Note which positions a batch landed, as runs of consecutive ones: the index that `unseen` looks into."""
+    write_batch(islands(rows, position, span=SPAN), root, "spans", batch_id)
+
+
 def unseen(rows: DataFrame, root: str, name: str, batch_id: int, keys: Sequence[str], position: str, lo: int | None,
            high: int | None) -> DataFrame:
     """`rows` of a batch, from position `lo` on, less those whose `keys` stand in what batches before it left in
     the log `name`, of which `high` is the highest position. A batch that runs again does not meet its own rows.
 
-    Positions arrive in order but for replays and late rows, so the log is read only where the batch
-    reaches back, and only that range of it."""
+    Positions arrive in order but for replays and late rows. Only rows at or below `high` can repeat; which
+    batches hold their positions the index says exactly, and only those batches, and of them only the
+    positions asked for, are read. A position that no batch landed is looked up nowhere."""
     if high is None or lo is None or lo > high:
         return rows
+    spark = rows.sparkSession
+    within = rows.filter(F.col(position) <= high)
+    asked = within.select(F.col(position).alias("_at")).distinct().withColumn("_span", F.floor(F.col("_at") / SPAN))
+    landed = read_log(spark, root, "spans", _SPANS).filter(
+        (F.col(BATCH) < batch_id) & (F.col("hi") >= lo)).withColumn("_span", F.floor(F.col("lo") / SPAN))
+    met = asked.join(landed, "_span").filter(F.col("_at").between(F.col("lo"), F.col("hi")))
+    # A row per batch that holds any of them.
+    found = met.groupBy(BATCH).agg(F.min("_at").alias("first"), F.max("_at").alias("last")).collect()
+    if not found:
+        return rows
     schema = StructType([rows.schema[key] for key in keys])
-    known = read_log(rows.sparkSession, root, name, schema).filter(
-        (F.col(BATCH) < batch_id) & (F.col(position) >= lo)).select(*keys).distinct()
-    return rows.join(known, list(keys), "left_anti")
+    reached = (min(r["first"] for r in found), max(r["last"] for r in found))
+    known = read_log(spark, root, name, schema).filter(
+        F.col(BATCH).isin([r[BATCH] for r in found]) & F.col(position).between(*reached)).select(*keys).distinct()
+    return rows.filter(F.col(position) > high).unionByName(within.join(known, list(keys), "left_anti"))
 
 
 def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

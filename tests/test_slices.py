@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riverdeck.plans import slices
-from riverdeck.plans.slices import global_rank, nearest
+from riverdeck.operators.lookup import scan_gap_ranges, scan_gaps
+from riverdeck.plans.slices import gaps, global_rank, islands, nearest
 from riverdeck.session import pinned, scratch_root, scratch_scope
 
 
@@ -93,3 +94,29 @@ def test_scope_removes_its_scratch_data(spark):
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_islands_and_gaps(spark, seed):
+    rng = random.Random(seed)
+    starts = [rng.randint(0, 3000) for _ in range(40)]
+    present = sorted({at for start in starts for at in range(start, start + rng.randint(1, 30))})
+    frame = spark.createDataFrame([(at,) for at in [*present, *present[::7]]], "height bigint").repartition(5)
+    runs = sorted(map(tuple, islands(frame, "height").collect()))
+    assert [at for lo, hi in runs for at in range(lo, hi + 1)] == present
+    missing = sorted(set(range(present[0], present[-1] + 1)) - set(present))
+    found = sorted(map(tuple, gaps(islands(frame, "height")).collect()))
+    assert [at for lo, hi in found for at in range(lo, hi + 1)] == missing
+    assert all(b[0] > a[1] + 1 for a, b in zip(found, found[1:]))  # whole gaps, not pieces
+    wanted = [at for at in range(100, 3500) if at not in set(present)]
+    assert sorted(r[0] for r in scan_gaps(frame, 100, 3499, width=11).collect()) == wanted
+
+
+def test_gap_ranges_at_the_ends(spark):
+    heights = spark.createDataFrame([(h,) for h in (5, 6, 9)], "height bigint")
+    ranges = lambda frame=heights, **kw: sorted(map(tuple, scan_gap_ranges(frame, **kw).collect()))
+    assert ranges() == [(7, 8)] and ranges(start=1) == [(1, 4), (7, 8)] and ranges(end=20) == [(7, 8), (10, 20)]
+    assert ranges(start=6, end=8) == [(7, 8)] and ranges(start=9, end=2) == [] and ranges(start=10, end=12) == [(10, 12)]
+    empty = heights.limit(0)
+    assert ranges(empty) == [] and ranges(empty, start=3) == [] and ranges(empty, start=3, end=4) == [(3, 4)]
+    assert ranges(start=1, end=10 ** 12) == [(1, 4), (7, 8), (10, 10 ** 12)]  # as many rows as gaps

@@ -1,6 +1,7 @@
 """Streams against batch: restarts, replays, progress. (Full runs are in test_queries.)"""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,14 +85,14 @@ def test_ingest_resumes_and_reports_progress(spark, tmp_path):
     assert ingest.landed_events(spark, out).count() == 240
     assert tuple(ingest.landed_progress(spark, out).first()) == (100, 100)
     put_blocks(landing, "b.json", range(121, 251))
-    query = ingest.start_ingest(spark, str(landing), out, checkpoint)
-    query.awaitTermination()
+    ingest.start_ingest(spark, str(landing), out, checkpoint).awaitTermination()
     assert ingest.landed_events(spark, out).agg(F.countDistinct("height"), F.count("*")).first() == (250, 500)
     assert tuple(ingest.landed_progress(spark, out).first()) == (200, 200)
-    rates = ingest.rates(query, spark, out)
-    ahead = ingest.rates(query, spark, out, chain_height=500)[0]
-    assert ahead["percent"] == 50.0 and ahead["seconds_left"] == pytest.approx(250 / ahead["blocks_per_second"])
-    assert [(r["batch_id"], r["blocks"]) for r in rates] == [(1, 130)] and rates[0]["blocks_per_second"] > 0
+    figures = ingest.landed_figures(spark, out, chain_height=500).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.blocks, r.last_height, r.events, r.action_performed, r.hand_started) for r in figures] == [
+        (0, 120, 120, 240, 240, 0), (1, 130, 250, 260, 260, 0)]
+    assert [r.percent for r in figures] == [24.0, 50.0]
+    assert figures[1].seconds_left == pytest.approx(250 / figures[1].blocks_per_second) and figures[1].seconds > 0
 
 
 def test_ingest_drops_replays_of_earlier_batches_and_takes_late_blocks(spark, tmp_path):
@@ -306,3 +307,62 @@ def test_closed_hands_leave_the_open_log(spark, tmp_path):
     assert most <= 36 and hands.closed_hands(spark, out).count() >= 30
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 16
     assert "5" in {str(r.hand_number) for r in hands.open_hands(spark, out).collect()}
+
+
+def test_unreadable_documents_are_kept_with_their_reason(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    put_blocks(landing, "a.json", [1, 2])
+    (landing / "b.json").write_text("\n".join(
+        ['{"result": {"height": "x7"}}', '{"result": {}}', '{"error": "timeout"}', '{"result": {"height": "4"', json.dumps(block(5, []))]))
+    ingest.start_ingest(spark, str(landing), out, str(tmp_path / "c")).awaitTermination()
+    found = ingest.landed_quarantine(spark, out).collect()
+    assert sorted(r.reason for r in found) == ["height is no number", "no height", "no result", "not a block-result document"]
+    assert {r.file.rsplit("/", 1)[1] for r in found} == {"b.json"}
+    assert '{"result": {"height": "4"' in {r.document for r in found}
+    assert [(r.blocks, r.unreadable) for r in ingest.landed_figures(spark, out).collect()] == [(3, 4)]
+    assert sorted(r.height for r in ingest.landed_heights(spark, out).collect()) == [1, 2, 5]
+
+
+def test_refill_lands_what_is_missing_once(spark, tmp_path):
+    landing, fetched, out = tmp_path / "in", tmp_path / "fetched", str(tmp_path / "out")
+    run = lambda: ingest.start_ingest(spark, str(landing), out, str(tmp_path / "c")).awaitTermination()
+    refill = lambda: ingest.start_refill(spark, str(fetched), out, str(tmp_path / "r")).awaitTermination()
+    events = lambda: sorted((r.height, r.event_seq) for r in ingest.landed_events(spark, out).collect())
+    asked = lambda **kw: sorted(map(tuple, ingest.refill_requests(spark, out, **kw).collect()))
+    put_blocks(landing, "a.json", [1, 2, 6, 7, 9])
+    run()
+    assert asked() == [(3, 5), (8, 8)] and asked(end=12) == [(3, 5), (8, 8), (10, 12)]
+    put_blocks(fetched, "f.json", [3, 4, 7])  # 7 is there already
+    refill()
+    assert asked() == [(5, 5), (8, 8)]
+    put_blocks(landing, "b.json", [4, 5, 10])  # 4 comes by the main stream after all
+    run()
+    put_blocks(fetched, "g.json", [8, 3])
+    refill()
+    assert asked() == [] and events() == [(h, s) for h in range(1, 11) for s in (0, 1)]
+
+
+def files_read(frame):
+    """Batch folders that the scans of a plan keep."""
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    asked = re.findall(r"batch_id#\d+L? (?:IN \(([\d,]+)\)|= (\d+))", plan)
+    return {batch for several, one in asked for batch in (several or one).split(",")}
+
+
+def test_a_straggler_reads_the_batches_that_hold_its_block(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    event_at = lambda h: dict(height=h, event_seq=0, type="x")
+    for heights in ([1, 2, 3], [10, 11], [4, 20, 21], [30]):
+        land(spark, landing, [event_at(h) for h in heights])
+        ingest.start_dedupe(tail(spark, landing), out, str(tmp_path / "c")).awaitTermination()
+
+    def looked(*heights):
+        rows = events_frame(spark, [event_at(h) for h in heights])
+        fresh = logs.unseen(rows, out, "events", 9, ["height", "event_seq"], "height", min(heights), 30)
+        return sorted(r.height for r in fresh.collect()), files_read(fresh)
+
+    assert looked(2, 40) == ([40], {"0"})
+    assert looked(20) == ([], {"2"})
+    assert looked(4, 11, 12) == ([12], {"1", "2"})
+    assert looked(5, 25) == ([5, 25], set())  # no batch landed them: nothing is read
+    assert looked(31, 99) == ([31, 99], set())
