@@ -165,20 +165,25 @@ def card_sequences(cards: DataFrame, first: int = 0, second: int = 1, min_count:
                    k: int | None = 50) -> DataFrame:
     """How often a community card at one position meets a card at another in the same hand.
 
-    Hands are reduced to (card, copies) per position first and joined on those, so repeated
-    rows of a hand multiply as numbers and never as rows."""
+    Hands are reduced to (position, card, copies) first, so repeated rows of a hand multiply as numbers and
+    never as rows; its cards then meet inside the hand. Cards are read once, for the pairs and for what
+    the percentage refers to, the rows at the first position."""
     hand = ["game_id", "hand_number"]
-    board = cards.filter(F.col("card_type") == "community")
-
-    def placed(position: int, card: str, copies: str) -> DataFrame:
-        return (board.filter(F.col("position") == position)
-                .groupBy(*hand, F.col("card").alias(card)).agg(F.count("*").alias(copies)))
-
-    left, right = placed(first, "first_card", "a"), placed(second, "second_card", "b")
-    base = board.filter(F.col("position") == first).agg(F.count("*").cast("double")).scalar()
-    pairs = (left.join(right, hand)
-             .groupBy("first_card", "second_card").agg(F.sum(F.col("a") * F.col("b")).alias("occurrences"))
-             .filter(F.col("occurrences") >= min_count)
+    seen = (cards.filter((F.col("card_type") == "community") & F.col("position").isin(first, second))
+            .groupBy(*hand, "position", "card").agg(F.count("*").alias("copies")))
+
+    def at(position: int) -> Column:
+        return F.collect_list(F.when(F.col("position") == position, F.struct("card", "copies")))
+
+    # As many entries as there are different cards at a hand's two places.
+    hands = seen.groupBy(*hand).agg(at(first).alias("firsts"), at(second).alias("seconds"))
+    met = hands.select(F.inline("firsts").alias("first_card", "a"), "seconds").select(
+        "first_card", "a", F.posexplode_outer("seconds").alias("nth", "other"))
+    counted = met.groupBy("first_card", F.col("other.card").alias("second_card")).agg(
+        F.sum(F.col("a") * F.col("other.copies")).alias("occurrences"),
+        F.sum(F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("a"))).alias("rows_at_first"))
+    base = counted.agg(F.sum("rows_at_first").cast("double")).scalar()
+    pairs = (counted.filter(F.col("occurrences") >= min_count)
              .select("first_card", "second_card", "occurrences",
                      F.round(F.col("occurrences").cast("double") / base * 100, 2).alias("percentage")))
     if k is None:

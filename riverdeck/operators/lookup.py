@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riverdeck.constants import MICRO_UNITS, PAGE_LIMIT
 from riverdeck.plans.paging import beside, page, top, top_per_key
-from riverdeck.plans.slices import gaps, islands
+from riverdeck.plans.slices import gaps
 
 HAND_KEY = ["game_id", "hand_number"]
 
@@ -42,7 +42,9 @@ def hand_details(hands: DataFrame, results: DataFrame, cards: DataFrame) -> Data
     """Every hand with its result, if any, and its revealed cards: one row per hand, card type, position
     and card, with the number of times it was revealed; a hand without cards has one row without a card.
     No row grows with the data, whatever a hand was sent."""
-    shown = cards.groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("times_revealed"))
+    # Placed by hand first: the cards are then counted where they lie, and meet their hand there.
+    shown = (cards.select(*HAND_KEY, "card_type", "position", "card").repartition(*HAND_KEY)
+             .groupBy(*HAND_KEY, "card_type", "position", "card").agg(F.count("*").alias("times_revealed")))
     outcome = results.select(*HAND_KEY, "community_cards", "winner_count")
     return (hands.join(outcome, HAND_KEY, "left").join(shown, HAND_KEY, "left")
             .select("game_id", "hand_number", "block_height", "deck_seed", "deck", "tx_hash", "indexed_at",
@@ -166,11 +168,10 @@ def scan_gap_ranges(heights: DataFrame, start: int | None = None, end: int | Non
         seen = seen.filter(F.col("height") >= start)
     if end is not None:
         seen = seen.filter(F.col("height") <= end)
-    runs = islands(seen, "height")
     fences = [at for at in (start - 1 if start is not None else None, end + 1 if end is not None else None) if at is not None]
-    if fences:  # just outside, so that what is missing at the ends lies between two runs
-        runs = runs.unionByName(heights.sparkSession.createDataFrame([(at, at) for at in fences], "lo bigint, hi bigint"))
-    return gaps(runs).select(F.col("lo").alias("first_block"), F.col("hi").alias("last_block"))
+    if fences:  # just outside, so that what is missing at the ends lies between two scanned blocks
+        seen = seen.unionByName(heights.sparkSession.createDataFrame([(at,) for at in fences], "height bigint"))
+    return gaps(seen, "height").select(F.col("lo").alias("first_block"), F.col("hi").alias("last_block"))
 
 
 def scan_gaps(heights: DataFrame, start: int | None = None, end: int | None = None, width: int = 10_000) -> DataFrame:

@@ -56,33 +56,32 @@ def nearest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
         *df.columns, F.coalesce("_seen", "_carried").alias(out))
 
 
-def islands(df: DataFrame, number: str, keys: Sequence[str] = (), span: int | None = None) -> DataFrame:
-    """Runs of consecutive values of a whole `number`: (keys, lo, hi) per run, cut at the spans' borders.
+def _runs(df: DataFrame, number: str, width: int) -> DataFrame:
+    sliced = df.select(F.col(number).cast("bigint").alias("_at"), F.floor(F.col(number) / width).alias(SLICE))
+    run = F.col("_at") - F.dense_rank().over(Window.partitionBy(SLICE).orderBy("_at"))  # the same for all of a run
+    return sliced.withColumn("_run", run).groupBy(SLICE, "_run").agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"))
+
+
+def islands(df: DataFrame, number: str, span: int | None = None) -> DataFrame:
+    """Runs of consecutive values of a whole `number`: (lo, hi) per run, cut at the spans' borders.
 
     Each run costs a row, whatever its length. Work is dealt out by span; repeated values do not matter."""
-    keys, width = list(keys), span or SPAN
-    sliced = df.select(*keys, F.col(number).cast("bigint").alias("_at"), F.floor(F.col(number) / width).alias(SLICE))
-    within = Window.partitionBy(*keys, SLICE).orderBy("_at")
-    run = F.col("_at") - F.dense_rank().over(within)  # the same for all of a run
-    return (sliced.withColumn("_run", run).groupBy(*keys, SLICE, "_run")
-            .agg(F.min("_at").alias("lo"), F.max("_at").alias("hi")).select(*keys, "lo", "hi"))
-
-
-def gaps(runs: DataFrame, span: int | None = None) -> DataFrame:
-    """What lies between neighbouring disjoint runs (lo, hi): (lo, hi) of each gap.
-
-    Neighbours are found within spans, then between the spans of a longer span, then between those, so
-    a window sees the runs of one span, or a row per span."""
-    width = span or SPAN
-    found, rows = None, runs.select("lo", "hi")
-    for part in (F.floor(F.col("lo") / width), F.floor(F.col("lo") / (width * width)), F.lit(0)):
-        placed = rows.withColumn(SLICE, part)
-        before = F.lag("hi").over(Window.partitionBy(SLICE).orderBy("lo"))
-        between = placed.withColumn("_before", before).filter(F.col("lo") > F.col("_before") + 1).select(
-            (F.col("_before") + 1).alias("lo"), (F.col("lo") - 1).alias("hi"))
-        found = between if found is None else found.unionByName(between)
-        rows = placed.groupBy(SLICE).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return found
+    return _runs(df, number, span or SPAN).select("lo", "hi")
+
+
+def gaps(df: DataFrame, number: str, span: int | None = None) -> DataFrame:
+    """What lies between neighbouring runs of a whole `number`: (lo, hi) of each gap.
+
+    Neighbours are found within spans, where rows lie by span already, and between spans, of which
+    there is one row each. Rows move once, however many gaps there are and however long."""
+    runs = _runs(df, number, span or SPAN)
+
+    def between(rows: DataFrame, window: Window) -> DataFrame:
+        return (rows.withColumn("_before", F.lag("hi").over(window)).filter(F.col("lo") > F.col("_before") + 1)
+                .select((F.col("_before") + 1).alias("lo"), (F.col("lo") - 1).alias("hi")))
+
+    spans = runs.groupBy(SLICE).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return between(runs, Window.partitionBy(SLICE).orderBy("lo")).unionByName(between(spans, Window.orderBy(SLICE)))
 
 
 def global_rank(df: DataFrame, by: str, tie_break: Sequence[str], keys: Sequence[str] = (),

@@ -105,7 +105,7 @@ def test_islands_and_gaps(spark, seed):
     runs = sorted(map(tuple, islands(frame, "height").collect()))
     assert [at for lo, hi in runs for at in range(lo, hi + 1)] == present
     missing = sorted(set(range(present[0], present[-1] + 1)) - set(present))
-    found = sorted(map(tuple, gaps(islands(frame, "height")).collect()))
+    found = sorted(map(tuple, gaps(frame, "height").collect()))
     assert [at for lo, hi in found for at in range(lo, hi + 1)] == missing
     assert all(b[0] > a[1] + 1 for a, b in zip(found, found[1:]))  # whole gaps, not pieces
     wanted = [at for at in range(100, 3500) if at not in set(present)]
