@@ -65,6 +65,7 @@ TABLES = {
         player_address=STRING, old_tier=STRING, new_tier=STRING, reason=STRING, changed_at=STAMP),
     "indexing_progress": _record(last_scanned_block=LONG, total_blocks_scanned=LONG),
 }
+TIERS = _record(player_address=STRING, vip_tier=STRING)
 SESSIONS = _record(
     player_address=STRING, game_id=STRING, join_block=LONG, join_seq=INT, leave_block=LONG,
     buy_in_amount=LONG, cash_out_amount=LONG)
