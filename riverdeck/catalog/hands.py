@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riverdeck.catalog.entry import over
+from riverdeck.catalog.entry import Entry, over
+from riverdeck.fixtures import view, with_views
 from riverdeck.operators import folds
 from riverdeck.operators import lookup as k
+from riverdeck.session import scratch_path
+from riverdeck.sources.tables import write_ranges, write_table
 
 HANDS, RESULTS, CARDS, CHAIN = "fx_poker_hands", "fx_hand_results", "fx_revealed_cards", "fx_chain_events"
 PAGE_START, PAGE_END, PAGE_SIZE, PAGE_OFFSET = 100, 900_000, 50, 10
@@ -28,6 +31,14 @@ def _status_of_chain(hands, chain):
     return k.indexing_status(hands, folds.progress(chain), 200_000)
 
 
+def _newest(spark, sf_dir):
+    """A page of the stored hands, from the files that can hold it."""
+    root = scratch_path(spark, "index")
+    write_table(view(spark, sf_dir, HANDS), root, "poker_hands", "block_height")
+    write_ranges(spark, root, "poker_hands", "block_height")
+    return k.newest_hands(spark, root, end_block=20_000, limit=30, offset=15)
+
+
 def _absent(hands, results):
     """Table: hands with a result. Incoming: every hand, and a later copy of it."""
     columns = [*k.HAND_KEY, "block_height", "tx_hash"]
@@ -57,6 +68,9 @@ ENTRIES = [
                where game_id = 'g7' and block_height between {PAGE_START} and {PAGE_END})
 select matching.*, (select count(*) from matching) as total from matching
 order by block_height desc, hand_number desc, game_id limit {PAGE_SIZE} offset {PAGE_OFFSET}"""),
+    Entry("newest_hands", _newest, with_views("""
+select * from fx_poker_hands where block_height <= 20000
+order by block_height desc, hand_number desc, game_id limit 30 offset 15""", HANDS)),
     over("hands_after", lambda hands: k.hands_after(hands, 1000, 1000, "g30"), HANDS, """
 select * from fx_poker_hands where (-block_height, -hand_number, game_id) > (-1000, -1000, 'g30')
 order by block_height desc, hand_number desc, game_id limit 50"""),

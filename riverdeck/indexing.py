@@ -10,7 +10,7 @@ from riverdeck.operators import folds
 from riverdeck.operators.states import legacy_hands, showdown_results
 from riverdeck.schemas import TABLES
 from riverdeck.session import pinned
-from riverdeck.sources.tables import write_table
+from riverdeck.sources.tables import write_ranges, write_table
 
 # Tables laid out by block, so that block-range filters skip files.
 BY_BLOCK = {"poker_hands": "block_height", "hand_results": "block_height", "revealed_cards": "block_height",
@@ -57,3 +57,5 @@ def index_tables(events: DataFrame, heights: DataFrame, headers: DataFrame | Non
 def write_index(tables: dict[str, DataFrame], root: str) -> None:
     for name, table in tables.items():
         write_table(table, root, name, BY_BLOCK.get(name))
+        if name == "poker_hands":
+            write_ranges(table.sparkSession, root, name, BY_BLOCK[name])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverdeck.constants import MICRO_UNITS, PAGE_LIMIT
 from riverdeck.plans.paging import beside, page, top, top_per_key
 from riverdeck.plans.slices import gaps
+from riverdeck.sources.tables import newest_part
 
 HAND_KEY = ["game_id", "hand_number"]
 
@@ -28,6 +29,13 @@ def hands_page(hands: DataFrame, game_id: str | None = None, start_block: int =
     return page(hands, _newest_first(), limit, offset, with_total)
 
 
+def newest_hands(spark: SparkSession, root: str, end_block: int = 0, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
+    """The page of `hands_page` without a total, from the few files of a stored table (`indexing.write_index`)
+    that can hold it; `end_block` as there."""
+    part = newest_part(spark, root, "poker_hands", offset + limit, end_block if end_block > 0 else None)
+    return hands_page(part, end_block=end_block, limit=limit, offset=offset, with_total=False)
+
+
 def hands_after(hands: DataFrame, block_height: int, hand_number: int, game_id: str,
                 limit: int = PAGE_LIMIT) -> DataFrame:
     """The page that follows a known last row: the same cost at any depth, unlike an offset."""

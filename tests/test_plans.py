@@ -73,6 +73,23 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "TakeOrderedAndProject" in text
 
 
+def test_newest_hands_read_the_files_that_can_hold_them(spark, tmp_path):
+    from riverdeck.operators.lookup import hands_page, newest_hands
+    from riverdeck.schemas import TABLES
+    from riverdeck.sources.tables import read_table, write_ranges
+
+    rows = [(f"g{i % 3}", i, i // 2, "s", "", "", None) for i in range(3000)]  # two hands to a block
+    table = spark.createDataFrame(rows, TABLES["poker_hands"])
+    table.repartitionByRange(120, "block_height").write.parquet(f"{tmp_path}/poker_hands")
+    write_ranges(spark, str(tmp_path), "poker_hands", "block_height")
+    every = read_table(spark, str(tmp_path), "poker_hands")
+    assert len(every.inputFiles()) == 120
+    for limit, offset, end, most in ((50, 0, 0, 4), (7, 40, 700, 6), (1, 0, 0, 2), (1000, 2900, 0, 120), (5, 0, 1, 2), (20, 0, 5000, 4)):
+        page = newest_hands(spark, str(tmp_path), end, limit, offset)
+        whole = hands_page(every, end_block=end, limit=limit, offset=offset, with_total=False)
+        assert page.collect() == whole.collect() and len(page.inputFiles()) <= most
+
+
 def test_top_per_key_limits_before_the_shuffle(plans):
     text = plans("player_recent_actions")
     assert text.count("WindowGroupLimit") == 2
