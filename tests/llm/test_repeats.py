@@ -43,21 +43,23 @@ def made(seed, n):
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("places", [repeats.PLACES, 500])
-def test_against_brute_force(make_docs, monkeypatch, keep, places):
-    monkeypatch.setattr(repeats, "BATCH", 3000)
-    monkeypatch.setattr(repeats, "BUCKET", 2000)
+@pytest.mark.parametrize("group", [repeats.GROUP, 2])
+def test_against_brute_force(make_docs, monkeypatch, keep, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    monkeypatch.setattr(repeats, "STRETCHES", 3000)
     rows = made(7, 60)
     got = remove_repeats(make_docs(rows), keep=keep).collect()
     assert sorted([tuple(r)[:4] + (bytes(r.kept),) for r in got], key=str) == brute(rows, 400, keep == "first")
 
 
-def test_runs_do_not_depend_on_where_a_text_is_cut():
+def test_runs_do_not_depend_on_where_a_text_is_cut(monkeypatch):
     pick = np.random.default_rng(1)
     data = pick.integers(97, 101, 5000, np.uint8).tobytes()
-    low, high = (np.concatenate(x) for x in list(zip(*repeats.runs(data)))[2:])
+    low, high = (np.concatenate(x) for x in list(zip(*repeats.runs(data)))[3:])
+    assert low[0] == 0 and high[-1] == len(data) - 400 and (low[1:] == high[:-1] + 1).all()
+    monkeypatch.setattr(repeats, "PLACES", 500)
+    low, high = (np.concatenate(x) for x in list(zip(*repeats.runs(data)))[3:])
     assert low[0] == 0 and high[-1] == len(data) - 400 and (low[1:] == high[:-1] + 1).all()
-    assert len(repeats.names(data)) == len(data) - 399
 
 
 def test_factors_are_previous_and_next_matches():
@@ -66,6 +68,59 @@ def test_factors_are_previous_and_next_matches():
     assert seen == {1: (False, True), 3: (True, False), 2: (False, True), 0: (True, True), 4: (True, False), 5: (False, False)}
 
 
+@pytest.mark.parametrize("first_stays", [False, True])
+def test_distances_against_brute_force(first_stays):
+    """Short strings around made anchors, of few letters, in groups of several sizes."""
+    length, gram, pick = 20, 4, random.Random(3)
+    for n in (1, 2, 30, 300):
+        group, behind, ahead, pieces = [], [], [], []
+        for _ in range(n):
+            least = pick.randint(0, length - gram)
+            most = pick.randint(least, length - gram)
+            group.append(pick.randint(0, 3))
+            behind.append(most)
+            ahead.append(least)
+            letters = lambda size: "".join(pick.choices("ab", [20, 1], k=size))
+            pieces.append((letters(most) + pick.choice(["aaaa", "aaab"]) + letters(length - gram - least)).encode())
+        seen = collections.defaultdict(list)
+        for k in range(n):
+            for d in range(ahead[k], behind[k] + 1):
+                seen[group[k], d, pieces[k][behind[k] - d:behind[k] - d + length]].append(k)
+        expected = collections.defaultdict(list)
+        for (_, d, _), holders in seen.items():
+            for k in holders[1:] if first_stays else holders if len(holders) > 1 else []:
+                expected[k].append(d)
+        least, largest = repeats.repeated_distances(
+            np.array(group), np.array(behind), np.array(ahead), pieces, np.arange(n), first_stays, length, gram)
+        assert [(min(expected[k], default=-1), max(expected[k], default=-1)) for k in range(n)] == list(zip(least, largest))
+
+
+def test_texts_of_equal_polynomial_hash_stay(make_docs):
+    """Two texts whose difference is 0 for polynomial hashes modulo 2^64, whatever their base: a product of x^m - 1."""
+    difference = np.ones(1, int)
+    for m in (1, 2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 48, 64, 96):
+        factor = np.zeros(m + 1, int)
+        factor[[0, m]] = -1, 1
+        difference = np.convolve(difference, factor)
+    tail = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz", k=400 - difference.size))
+    one, other = ("".join(chr(ord("j") + int(max(c, 0))) for c in part) + tail for part in (difference, -difference))
+    assert one != other and len(one) == len(other) == 400
+    got = remove_repeats(make_docs([(1, one, "s"), (2, other, "s"), (3, "x" + other, "s")]), keep="none").collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 400, 3: 400}
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_a_hot_passage_in_differing_texts(make_docs, monkeypatch, keep):
+    """One passage in all texts, with surroundings that agree for some bytes: its anchors hold all of them."""
+    monkeypatch.setattr(repeats, "GROUP", 4)
+    pick = random.Random(5)
+    word = lambda size: "".join(pick.choices("abcdefgh", k=size))
+    passage, before, after = word(300), word(200), word(200)
+    rows = [(k, word(50) + before[pick.randint(0, 200):] + passage + after[:pick.randint(0, 200)] + word(50), "s") for k in range(60)]
+    got = remove_repeats(make_docs(rows), keep=keep).collect()
+    assert sorted([tuple(r)[:4] + (bytes(r.kept),) for r in got], key=str) == brute(rows, 400, keep == "first")
+
+
 def test_report_of_a_table(spark, sf_dir):
     rows = [(r.doc_id, r.text, None) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     expected = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(rows, 400, False)]
