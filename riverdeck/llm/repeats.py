@@ -25,7 +25,7 @@ enough. Classes that agree in all bytes a half can see are decided at once, and
 All places of a run contain its anchor, so what is repeated of a run is one span.
 
 `keep="none"` removes every copy, `keep="first"` all but the earliest by (doc_id, place), null doc_ids last.
-Memory per task is a document, or some `GROUP` classes. Whole texts are shuffled twice, compressed.
+Memory per task is a document, or some `TOGETHER` classes. Whole texts are shuffled twice, compressed.
 
 Defined cases: a null or empty text has 0 bytes and an empty rest; texts under `LENGTH` bytes lose nothing;
 rows equal in doc_id and text are two occurrences under "none" and one under "first"; an empty table gives
@@ -52,8 +52,9 @@ LENGTH = 400
 GRAM = 64
 PLACES = 2 ** 17  # places looked at together
 INDEX_BITS = np.uint64(20)
-ROWS = 200_000  # of a frame that a task hands back
-GROUP = 20_000  # classes compared together
+ROWS = 50_000  # of a frame that a task hands back
+GROUP = 2_000  # classes of a key, beyond which it is cut up
+TOGETHER = 10_000  # classes compared together
 STRETCHES = 4 * 2 ** 20  # bytes of stretches that a task hands on together
 BASE = 0x9E3779B97F4A7C15
 LAST = 2 ** 63 - 1
@@ -136,14 +137,12 @@ def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rank, count[rank]
 
 
-def _aligned(behind: np.ndarray, ahead: np.ndarray, pieces: list[bytes], length: int, reach: int) -> np.ndarray:
+def _aligned(behind: np.ndarray, pieces: list[bytes], length: int, reach: int) -> np.ndarray:
     """A column per piece, a row per byte; anchors start in row `reach`."""
-    size = behind + length - ahead
-    begin = np.arange(len(pieces)) * (reach + length) + reach - behind
-    to = np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    out = np.zeros(len(pieces) * (reach + length), np.uint8)
-    out[to] = np.frombuffer(b"".join(pieces), np.uint8)
-    return np.ascontiguousarray(out.reshape(len(pieces), -1).T)
+    out = np.zeros((len(pieces), reach + length), np.uint8)
+    for row, begin, piece in zip(out, (reach - behind).tolist(), pieces):
+        row[begin:begin + len(piece)] = np.frombuffer(piece, np.uint8)
+    return np.ascontiguousarray(out.T)
 
 
 def repeated_distances(group: np.ndarray, behind: np.ndarray, ahead: np.ndarray, pieces: list[bytes], position: np.ndarray,
@@ -152,7 +151,7 @@ def repeated_distances(group: np.ndarray, behind: np.ndarray, ahead: np.ndarray,
     -1 where none is. A piece reaches from `behind` bytes before its anchor to `length - ahead` after its start:
     its strings lie at distances `ahead` to `behind`."""
     n, reach = len(pieces), length - gram
-    rows = _aligned(behind, ahead, pieces, length, reach)
+    rows = _aligned(behind, pieces, length, reach)
     anchors = np.ascontiguousarray(rows[reach:reach + gram].T).view(f"V{gram}").ravel()
     start, count = _ranked(_ranked(group)[0] * n + _ranked(anchors)[0])
     # Ranks of the parts that start at the anchor, by their length; -1 where it is the only one of its kind.
@@ -255,7 +254,7 @@ def _compared(stretches: DataFrame, length: int, gram: int, first_stays: bool) -
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = int((held["key"] != held["key"].iloc[-1]).sum()) if len(held) >= GROUP else 0  # whole keys only
+            last = int((held["key"] != held["key"].iloc[-1]).sum()) if len(held) >= TOGETHER else 0  # whole keys only
             if last:
                 yield settle(held.iloc[:last])
                 held = held.iloc[last:].reset_index(drop=True)
