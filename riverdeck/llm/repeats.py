@@ -25,7 +25,7 @@ enough. Classes that agree in all bytes a half can see are decided at once, and
 All places of a run contain its anchor, so what is repeated of a run is one span.
 
 `keep="none"` removes every copy, `keep="first"` all but the earliest by (doc_id, place), null doc_ids last.
-Memory per task is a document, or some `TOGETHER` classes. Whole texts are shuffled twice, compressed.
+Memory per task is a document, or some `GROUP` classes. Whole texts are shuffled twice, compressed.
 
 Defined cases: a null or empty text has 0 bytes and an empty rest; texts under `LENGTH` bytes lose nothing;
 rows equal in doc_id and text are two occurrences under "none" and one under "first"; an empty table gives
@@ -53,8 +53,7 @@ GRAM = 64
 PLACES = 2 ** 17  # places looked at together
 INDEX_BITS = np.uint64(20)
 ROWS = 50_000  # of a frame that a task hands back
-GROUP = 2_000  # classes of a key, beyond which it is cut up
-TOGETHER = 10_000  # classes compared together
+GROUP = 10_000  # classes compared together; a key with more is cut up
 STRETCHES = 4 * 2 ** 20  # bytes of stretches that a task hands on together
 BASE = 0x9E3779B97F4A7C15
 LAST = 2 ** 63 - 1
@@ -254,7 +253,7 @@ def _compared(stretches: DataFrame, length: int, gram: int, first_stays: bool) -
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = int((held["key"] != held["key"].iloc[-1]).sum()) if len(held) >= TOGETHER else 0  # whole keys only
+            last = int((held["key"] != held["key"].iloc[-1]).sum()) if len(held) >= GROUP else 0  # whole keys only
             if last:
                 yield settle(held.iloc[:last])
                 held = held.iloc[last:].reset_index(drop=True)

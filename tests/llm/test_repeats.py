@@ -46,7 +46,6 @@ def made(seed, n):
 @pytest.mark.parametrize("group", [repeats.GROUP, 2])
 def test_against_brute_force(make_docs, monkeypatch, keep, group):
     monkeypatch.setattr(repeats, "GROUP", group)
-    monkeypatch.setattr(repeats, "TOGETHER", group)
     monkeypatch.setattr(repeats, "STRETCHES", 3000)
     rows = made(7, 60)
     got = remove_repeats(make_docs(rows), keep=keep).collect()
