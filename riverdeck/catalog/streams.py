@@ -10,13 +10,14 @@ from riverdeck.catalog.entry import Entry
 from riverdeck.catalog.events import (
     ACTIONS_SQL, CARDS_SQL, LEGACY, LEGACY_FOLD_SQL, RESULTS_SQL, SESSION_SQL, SHOWDOWN, SHOWN_SQL, STARTED_SQL, STATES)
 from riverdeck.catalog.hands import PROGRESS
+from riverdeck.catalog.players import STATS_SQL, STATS_VIEWS
 from riverdeck.constants import ROUTED_TYPES
 from riverdeck.fixtures import view, with_views
 from riverdeck.operators import events as ev
 from riverdeck.operators import folds
 from riverdeck.session import scratch_path, slice_count
 from riverdeck.sources import blocks
-from riverdeck.streaming import counters, hands, ingest, matches, sessions, tables
+from riverdeck.streaming import counters, hands, ingest, matches, profiles, sessions, tables
 
 BATCHES = 4
 
@@ -134,6 +135,19 @@ def _tables(current, compacted=False):
     return run
 
 
+def _player_stats(spark, sf_dir):
+    """Player figures refreshed by portions of the actions; the logs are compacted after each."""
+    def start(stream, out, checkpoint):
+        query = profiles.start_players(stream, out, checkpoint)
+        query.awaitTermination()
+        profiles.compact_players(spark, out)
+        return query
+
+    actions, *others = [view(spark, sf_dir, name) for name in STATS_VIEWS.split()]
+    out = _taken_up(staging.portions(actions, "block_height", 4), spark, "players", start)
+    return profiles.current_player_stats(spark, out, *others).drop("biggest_pot_won")
+
+
 def _results(spark, out):
     return tables.current_results(spark, out).withColumn("community_cards", F.array_join("community_cards", ","))
 
@@ -165,6 +179,8 @@ from fx_revealed_cards where regexp_full_match(card, '[2-9TJQKA][hdcs]') group b
           with_views("""
 select player_address, count(*) as total_actions, min(block_height) as first_seen_block,
        max(block_height) as last_seen_block from fx_player_actions group by player_address""", "fx_player_actions")),
+    Entry("stream_player_stats", _player_stats,
+          with_views(STATS_SQL + "select * exclude (biggest_pot_won) from stats", *STATS_VIEWS.split())),
     Entry("stream_hands_fold", _hands, with_views(STARTED_SQL, "fx_events")),
     Entry("stream_sessions", _sessions, with_views(SESSION_SQL, "fx_events")),
     Entry("stream_closing_hands", _closing_hands, with_views(STARTED_SQL, "fx_events")),

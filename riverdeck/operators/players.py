@@ -13,6 +13,14 @@ from riverdeck.plans.slices import global_rank
 # Action name -> column that counts it.
 COUNTED = {"bet": "bets", "raise": "raises", "call": "calls", "fold": "folds", "check": "checks",
            "all-in": "allins"}
+ACTION_FIGURES = ["total_actions", *COUNTED.values()]
+
+
+def action_figures() -> list[Column]:
+    """Actions in all and by kind, first and last block, of a group of actions."""
+    return [F.count("*").alias("total_actions"),
+            *[F.count_if(F.col("action") == name).alias(out) for name, out in COUNTED.items()],
+            F.min("block_height").alias("first_block"), F.max("block_height").alias("last_block")]
 
 
 def action_counts(actions: DataFrame) -> DataFrame:
@@ -20,13 +28,9 @@ def action_counts(actions: DataFrame) -> DataFrame:
 
     Rows shrink to one per (player, hand) first, which also is the distinct count: a hot
     player spreads over its hands."""
-    per_hand = actions.groupBy("player_address", "game_id", "hand_number").agg(
-        F.count("*").alias("total_actions"),
-        *[F.count_if(F.col("action") == name).alias(out) for name, out in COUNTED.items()],
-        F.min("block_height").alias("first_block"), F.max("block_height").alias("last_block"))
+    per_hand = actions.groupBy("player_address", "game_id", "hand_number").agg(*action_figures())
     return per_hand.groupBy("player_address").agg(
-        F.sum("total_actions").alias("total_actions"),
-        *[F.sum(out).alias(out) for out in COUNTED.values()],
+        *[F.sum(out).alias(out) for out in ACTION_FIGURES],
         F.count("*").alias("unique_hands"),
         F.min("first_block").alias("first_block"), F.max("last_block").alias("last_block"))
 
@@ -47,12 +51,24 @@ def player_stats(actions: DataFrame, sessions: DataFrame, monthly: DataFrame | N
 
     Hands are the sessions' when they report any, else the distinct hands acted in. Rake comes
     from `monthly`, tiers from `tiers`, pots from `biggest_pot`, each when given."""
+    return player_summary_of(action_counts(actions), sessions, monthly, tiers, pots)
+
+
+def player_stats_of(player: str, actions: DataFrame, sessions: DataFrame, *others: DataFrame | None) -> DataFrame:
+    """`player_stats` of one player: the filter reaches every scan. No row for a player without actions."""
+    own = [None if frame is None else frame.filter(F.col("player_address") == player) for frame in (actions, sessions, *others)]
+    return player_stats(*own)
+
+
+def player_summary_of(counts: DataFrame, sessions: DataFrame, monthly: DataFrame | None = None,
+                      tiers: DataFrame | None = None, pots: DataFrame | None = None) -> DataFrame:
+    """`player_stats` from action counts, computed or kept."""
     def zero(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("bigint")
 
     bets = F.col("bets") + F.col("allins")
     totals = session_totals(sessions).withColumnRenamed("total_hands", "session_hands")
-    joined = action_counts(actions).join(totals, "player_address", "left")
+    joined = counts.join(totals, "player_address", "left")
     if monthly is not None:
         rake = monthly.groupBy("player_address").agg(F.sum("rake_contributed").alias("rake"))
         joined = joined.join(rake, "player_address", "left")
