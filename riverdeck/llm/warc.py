@@ -38,6 +38,7 @@ from riverdeck.session import pinned, scratch_path
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 512 * 2 ** 20
 SPLIT_BYTES = 4 * 2 ** 20
+TASK_BYTES = 128 * 2 ** 20  # of archives that a task reads, split by split, where there are more than a cluster's slots
 READ_BYTES = 256 * 2 ** 10
 MAGIC = b"\x1f\x8b\x08"
 STEP_BYTES = 64 * 2 ** 10
@@ -200,7 +201,8 @@ def parsed(data: bytes, with_payload: bool) -> tuple:
 
 
 def read_archives(archives: DataFrame, root: str, with_payload: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """(path, bytes) of archives -> their records, a task per byte range."""
+    """(path, bytes) of archives -> their records. A task reads a byte range, or, where ranges outnumber the
+    cluster's slots by far, as many as make up `TASK_BYTES`."""
     ship(archives.sparkSession)
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))
     splits = archives.filter("bytes > 0").select("path", F.explode(starts).alias("start"), F.least(
@@ -221,7 +223,10 @@ def read_archives(archives: DataFrame, root: str, with_payload: bool = True, spl
                     if rows:
                         yield pd.DataFrame(rows, columns=names)
 
-    return splits.repartition(max(1, splits.count())).mapInPandas(
+    count, size = splits.agg(F.count("*"), F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()
+    slots = 4 * archives.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(count, max(slots, -(-size // TASK_BYTES))))
+    return splits.repartition(tasks).mapInPandas(
         read, "page_id string, url string, record_type string, payload_bytes bigint, payload_digest string, "
               "refers_to string, intact boolean, payload binary")
 

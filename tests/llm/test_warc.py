@@ -3,6 +3,7 @@ import hashlib
 import io
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from riverdeck.llm import warc
@@ -76,3 +77,16 @@ def test_edges(spark):
     nameless = spark.createDataFrame([(None, "u", big)] * 2, "page_id bigint, url string, html string")
     assert [r.record_type for r in archive_report(nameless).collect()] == ["response"] * 2
     assert archive_report(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("task_bytes", [1, 50_000, 2 ** 30])
+def test_tasks_read_many_splits(spark, sf_dir, tmp_path, monkeypatch, task_bytes):
+    monkeypatch.setattr(warc, "TASK_BYTES", task_bytes)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    root = str(tmp_path / "warc")
+    archives = write_archives(pages, root)
+    size, splits = archives.agg(F.sum("bytes"), F.sum(F.ceil(F.col("bytes") / 2000))).first()
+    slots = 4 * spark.sparkContext.defaultParallelism
+    found = read_archives(archives, root, split_bytes=2000)
+    assert found.rdd.getNumPartitions() == min(splits, max(slots, -(-size // task_bytes))) and splits > slots
+    assert sorted(int(r.page_id) for r in found.collect()) == sorted(r.page_id for r in pages.collect())
