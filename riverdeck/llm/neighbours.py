@@ -2,15 +2,16 @@
 
 Each tree splits at the median projection on a random direction. A query walks all trees through one
 priority queue, whose key is the squared distance by which a subtree lies on the far side of the splits
-above it, until the leaves found hold enough rows
-(`SEARCH_SHARE`, `SEARCH_MORE`). Candidates in those leaves are reranked
-by their exact inner product in double precision. One more coordinate, sqrt(largest norm^2 - norm^2) for
+above it, until the leaves found hold enough rows. How many are enough is measured: the exact neighbours of
+`PROBES` entries are sought among all entries, and the search goes as far as it takes to meet `RECALL` of them,
+though never less far than `LEAST_ROWS`. Candidates
+in the leaves are reranked by their exact inner product in double precision. One more coordinate, sqrt(largest norm^2 - norm^2) for
 rows and 0 for queries, turns the largest inner product into the smallest distance.
 
 The forest is fitted on the driver, on a sample of at most `FIT_ROWS` vectors; every vector is indexed.
 Rows with one vector are one entry with its smallest ids, so copies never share a bucket. Leaves are
-gathered in blocks of about `BLOCK_ROWS` entries and queries in chunks of `CHUNK_QUERIES`; a query goes
-only to blocks in which it visits a leaf, with the list of those leaves, and takes its best back.
+gathered in blocks of about `BLOCK_ROWS` entries; a query goes only to blocks in which it visits a leaf, with the list
+of those leaves, and takes its best back. A block is sent once per `CHUNK_QUERIES` queries that come to it.
 
 Vectors without direction (independent, as in the test tables) are the worst case: near neighbours are
 hardly nearer than others, and a recall of 0.9 takes leaves with about half of all rows.
@@ -38,9 +39,11 @@ from riverdeck.session import pinned
 
 TREES = 6
 LEAF_ROWS = 96
-#: Rows that the leaves a query visits hold, over all trees: this share of the table, and as many more.
-SEARCH_SHARE = 1.0
-SEARCH_MORE = 2000
+#: Entries whose exact neighbours are sought to see how far a search must go, and the part of them it must meet.
+PROBES = 256
+RECALL = 0.96
+#: Rows, over all trees, that the leaves of a search hold at least, so that each finds k of its own.
+LEAST_ROWS = 2000
 FIT_ROWS = 65_536
 BLOCK_ROWS = 65_536
 CHUNK_QUERIES = 8192
@@ -107,7 +110,7 @@ class Forest:
         return np.stack(out, 1)
 
     def search(self, query: np.ndarray, share: float) -> list[int]:
-        """Leaves in the order of the shared queue, until they hold `share` of the rows."""
+        """Leaves in the order of the shared queue, until they hold `share` of the rows, over all trees."""
         lifted, firsts = np.append(query, 0.0), self.offsets()
         margins = [(t.normals @ lifted - t.splits).tolist() for t in self.trees]
         children = [t.children.tolist() for t in self.trees]
@@ -165,8 +168,43 @@ def _block_of(leaf: np.ndarray, firsts: list[int], blocks: int) -> np.ndarray:
     return tree * blocks + (leaf - first[tree]) * blocks // (first[tree + 1] - first[tree])
 
 
-def search(rows: DataFrame, is_query: Column, k: int, share: float = SEARCH_SHARE) -> DataFrame:
-    """(id, vector) -> query_id, rank, vec_id, score: the k nearest found of each row that `is_query`."""
+def fitted_share(index: DataFrame, forest: Forest, k: int, probes: int = PROBES, recall: float = RECALL) -> float:
+    """How far a search must go to meet `recall` of the k nearest of `probes` entries, chosen by a hash: the share
+    of rows in the leaves visited, over all trees. The probes are held against every entry, a batch at a time."""
+    chosen = index.select("key", "vector", F.xxhash64("key").alias("hash")).orderBy("hash", "key").limit(probes).collect()
+    if len(chosen) < 2:
+        return 1.0
+    own = np.array([r["key"] for r in chosen])
+    asked = np.array([r["vector"] for r in chosen])
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            vectors, keys = _stack(batch["vector"]), batch["key"].to_numpy()
+            score = asked @ vectors.T
+            score[own[:, None] == keys] = -np.inf
+            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            probe, at = np.repeat(np.arange(len(own)), best.shape[1]), best.ravel()
+            yield pd.DataFrame({"probe": probe, "key": keys[at], "score": score[probe, at], "leaves": list(forest.leaves(vectors[at]))})
+
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "key")
+    near = (index.select("key", "vector").mapInPandas(nearest, "probe int, key bigint, score double, leaves array<bigint>")
+            .filter(F.col("score") > float("-inf")).withColumn("place", F.row_number().over(order))
+            .filter(F.col("place") <= k).select("probe", "leaves").collect())  # at most `probes` times k
+    rows = np.concatenate([t.rows for t in forest.trees])
+    reached = {}
+    for probe, vector in enumerate(asked):
+        order = np.array(forest.search(vector, math.inf))
+        reached[probe] = np.empty(len(rows))
+        reached[probe][order] = np.cumsum(rows[order])
+    needed = np.array([reached[r["probe"]][r["leaves"]].min() for r in near])
+    return float(np.quantile(needed, recall, method="higher"))
+
+
+def search(rows: DataFrame, is_query: Column, k: int, share: float | None = None) -> DataFrame:
+    """(id, vector) -> query_id, rank, vec_id, score: the k nearest found of each row that `is_query`. Searches go as far
+    as is measured to be needed, or until their leaves hold `share` of the rows."""
     spark = rows.sparkSession
     ship(spark)
     lengths = rows.filter(usable(F.col("vector"))).groupBy(F.size("vector").alias("n")).count()
@@ -176,12 +214,12 @@ def search(rows: DataFrame, is_query: Column, k: int, share: float = SEARCH_SHAR
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")) & (F.size("vector") == most["n"]))
     index = entries(rows, k)
     forest, n = fit_forest(index)
-    firsts, share = forest.offsets(), share + SEARCH_MORE / max(n, 1)
+    share = fitted_share(index, forest, k) if share is None else share
+    firsts, share = forest.offsets(), max(share, max(LEAST_ROWS, 2 * TREES * (k + 1)) / max(n, 1))
     blocks = max(1, math.ceil(n / BLOCK_ROWS))
     asked = pinned(rows.filter(is_query).dropDuplicates(["id", "vector"]).join(index.select("key", "vector"), "vector")
                    .select(F.col("id").alias("query_id"), F.col("key").alias("query")), "asked")
     queries = index.join(asked.select(F.col("query").alias("key")).distinct(), "key", "left_semi")
-    chunks = max(1, math.ceil(asked.count() / CHUNK_QUERIES))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,12 +265,14 @@ def search(rows: DataFrame, is_query: Column, k: int, share: float = SEARCH_SHAR
         return pd.DataFrame({"query": asking["key"].to_numpy()[row], "key": keys[chosen],
                              "score": np.einsum("nd,nd->n", q[row], m[chosen])})  # the same in any block
 
+    routed = pinned(queries.select("key", "vector").mapInPandas(
+        route, "block bigint, key bigint, vector array<double>, leaves array<bigint>"), "routed")
+    visited = pinned(routed.groupBy("block").agg(F.ceil(F.count("*") / CHUNK_QUERIES).cast("int").alias("chunks")), "visited")
     indexed = (index.select("key", "vector")
                .mapInPandas(place, "block bigint, leaf bigint, key bigint, vector array<double>")
-               .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
-    routed = (queries.select("key", "vector")
-              .mapInPandas(route, "block bigint, key bigint, vector array<double>, leaves array<bigint>")
-              .withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")))
+               .join(visited, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks"))
+    routed = routed.join(visited, "block").withColumn(
+        "chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")).drop("chunks")
     found = (indexed.groupBy("block", "chunk").cogroup(routed.groupBy("block", "chunk"))
              .applyInPandas(rerank, "query bigint, key bigint, score double"))
     first = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0]))

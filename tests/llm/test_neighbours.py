@@ -1,7 +1,8 @@
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from riverdeck.llm.neighbours import neighbour_report, search
+from riverdeck.llm.neighbours import entries, fit_forest, fitted_share, neighbour_report, search
 
 
 def exact(ids, x, k):
@@ -54,3 +55,33 @@ def test_few_rows(spark):
     assert lists(search(few, F.col("id") % 20 == 0, 20)) == {20: [(1, 1, 0.5), (2, 2, 0.5)]}
     assert search(few.limit(0), F.col("id") == 1, 20).count() == 0
     assert search(few, F.col("id") == 7, 20).count() == 0
+
+
+def test_clustered_vectors_need_few_rows(spark):
+    """50,000 vectors around 500 centres: nine in ten neighbours, from under a tenth of the rows."""
+    rng = np.random.default_rng(8)
+    n, k = 50_000, 20
+    centres = rng.normal(size=(500, 24))
+    x = centres[rng.integers(500, size=n)] + 0.15 * rng.normal(size=(n, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "vector": x.tolist()}), "id bigint, vector array<double>").repartition(8)
+    index = entries(table, k)
+    forest, count = fit_forest(index)
+    share = fitted_share(index, forest, k)
+    assert count == n and 0 < share < 0.1  # of the rows, over all trees: the rows visited are fewer still
+    got, hit = lists(search(table, F.col("id") % 500 == 0, k)), 0
+    assert len(got) == 100
+    for q, own in got.items():
+        truth = [j for j in np.argsort(-(x @ x[q]))[:k + 1] if j != q][:k]
+        assert len(own) == k
+        hit += len({v for _, v, _ in own} & set(truth))
+    assert hit / (100 * k) >= 0.9
+
+
+def test_a_wider_recall_searches_further(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    index = entries(table, 5)
+    forest, _ = fit_forest(index)
+    shares = [fitted_share(index, forest, 5, recall=r) for r in (0.1, 0.5, 0.9, 1.0)]
+    assert shares == sorted(shares) and 0 < shares[0] and shares[-1] <= len(forest.trees)
