@@ -1,7 +1,7 @@
 """Explicit schemas: nothing in the library infers one."""
 
 from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from riverdeck.constants import ATTRIBUTES, ROUTED_TYPES
@@ -87,7 +87,7 @@ CARD_LOG = _record(
 ACTION_LOG = _record(player_address=STRING, game_id=STRING, block_height=LONG, action=STRING, amount=LONG)
 PLAYER_TOTALS = _record(player_address=STRING, **dict.fromkeys(
     ("total_actions", "bets", "raises", "calls", "folds", "checks", "allins", "unique_hands", "first_block", "last_block"), LONG))
-HAND_BITS = _record(player_address=STRING, game_id=STRING, hands_from=LONG, hands=BinaryType())
+HAND_BITS = _record(player_address=STRING, game_id=STRING, hands_from=LONG, hands=LONG)
 MOVES = _record(
     player_address=STRING, game_id=STRING, height=LONG, event_seq=INT, is_join=BooleanType(), amount=LONG)
 SNAPSHOT = _record(

@@ -83,3 +83,16 @@ def test_one_player_is_filtered_at_every_scan(spark, tmp_path):
     assert one.collect() == p.player_stats(*stored).filter("player_address = 'a'").collect() != []
     assert one._jdf.queryExecution().toString().count("EqualTo(player_address,a)") >= 2
     assert p.player_stats_of("nobody", *stored).collect() == []
+
+
+def test_hands_are_summed_at_fixed_width(spark, tmp_path):
+    """Bytes as buffers can't be hashed: each task would sort a bitmap per scattered hand."""
+    out = str(tmp_path / "players")
+    scattered = spark.createDataFrame([("p", "g", k * 40_000, 7, "bet", 0, None, None) for k in range(60)], SCHEMA)
+    profiles.refresh_players(scattered, out, 0)
+    profiles.refresh_players(scattered, out, 1)
+    stored = logs.read_log(spark, out, "hands", schemas.HAND_BITS)
+    assert dict(stored.dtypes)["hands"] == "bigint" and [r.unique_hands for r in profiles.current_action_counts(spark, out).collect()] == [60]
+    for summed in (profiles._by_range(scattered), profiles._all_hands(stored)):
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
