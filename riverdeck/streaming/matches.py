@@ -1,11 +1,15 @@
 """Events met by the snapshot of their time, on a stream: hands and showdowns of older chains, kept current.
 
-Snapshots and events are two streams that go on at their own pace. State per game: the newest snapshot of
-the settled blocks, the snapshots after them, and the events that may still meet another one. An event
-is answered at once with what is there; if a snapshot that suits it better comes later, it is answered
+Snapshots and events are two streams that go on at their own pace. State per game and span of `SPAN` blocks: the newest
+snapshot of its settled blocks, the snapshots after them, and the events that may still meet another one. It goes
+when the span settles, and no call of Python holds more of a hot game than a span. An event
+is answered at once with what is there in its span; if a snapshot that suits it better comes later, it is answered
 again, and the newest logged answer counts. A block settles when both streams have passed it, so an event
 that runs ahead of the snapshots waits for them, and neither stream needs the other's past.
 
+What a span hands on is its newest snapshot, logged as an answer to no event (event_seq -1); an event that meets
+none in its own span takes, when read, what the newest span before it handed on.
+
 Both may come up to `late_blocks` blocks late, in any order and more than once; what comes later is dropped.
 Of several snapshots of a game in one block one is chosen by content, as `operators.states` does.
 """
@@ -14,7 +18,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,6 +26,7 @@ from pyspark.sql.types import StructType
 from riverdeck.operators.events import explode_cards
 from riverdeck.operators.states import (
     HAND_STATE, SHOWDOWN_STATE, first_shown, hands_of, new_hand_requests, results_of, showdown_requests)
+from riverdeck.plans.slices import SPAN
 from riverdeck.schemas import MATCHES, SNAPSHOT
 from riverdeck.streaming import logs
 from riverdeck.streaming.keyed import by_height, start, with_state
@@ -31,6 +36,7 @@ HAND, SHOWDOWN = 1, 2
 _STATE = ("snapshots array<struct<kind:int,height:bigint,choice:bigint,payload:string>>, "
           "waiting array<struct<kind:int,height:bigint,event_seq:int,met:bigint,choice:bigint>>")
 _KEY = ["game_id", "height", "event_seq", "kind"]
+_HANDED_ON, _SPAN = -1, "_span"
 
 
 def requests(events: DataFrame) -> DataFrame:
@@ -87,6 +93,28 @@ def step(key: tuple, state: tuple | None, rows: list, settled: int) -> tuple:
     return (kept, waiting), max(ahead, default=None), changed
 
 
+def span_step(width: int):
+    """`step` within spans of a game: keys are (game, number of the span)."""
+    def within(key: tuple, state: tuple | None, rows: list, settled: int) -> tuple:
+        game, span = key
+        kept, block, changed = step((game,), state, rows, settled)
+        if kept is None:
+            return None, None, changed
+        if any(is_snapshot for _, _, _, is_snapshot, _, _ in rows):
+            newest = {kind: (height, payload) for kind, height, _, payload in kept[0]}  # in order of height
+            changed += [(game, span * width, _HANDED_ON, kind, *last) for kind, last in newest.items()]
+        end = span * width + width - 1
+        if end <= settled:
+            return None, None, changed
+        return kept, end if block is None else block, changed
+
+    return within
+
+
+def _spans(height: str = "height"):
+    return F.floor(F.col(height) / SPAN)
+
+
 def start_matches(events: DataFrame, states: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                   late_blocks: int = 0) -> StreamingQuery:
     """Log the answers to a stream of events from a stream of snapshots (`sources.blocks.game_states`)."""
@@ -95,7 +123,8 @@ def start_matches(events: DataFrame, states: DataFrame, out: str, checkpoint: st
         logs.commit(batch.sparkSession, out, batch_id)
 
     both = by_height(requests(events), late_blocks).unionByName(by_height(answers(states), late_blocks))
-    return start(with_state(both, ["game_id"], step, MATCHES, _STATE), each_batch, checkpoint, trigger)
+    changed = with_state(both.withColumn(_SPAN, _spans()), ["game_id", _SPAN], span_step(SPAN), MATCHES, _STATE)
+    return start(changed, each_batch, checkpoint, trigger)
 
 
 def _newest(rows: DataFrame) -> DataFrame:
@@ -104,8 +133,14 @@ def _newest(rows: DataFrame) -> DataFrame:
 
 def _matched(spark: SparkSession, out: str, kind: int, columns: list[str]) -> DataFrame:
     shape = StructType([SNAPSHOT[c] for c in ("as_of_block", *columns)])
-    found = logs.read_log(spark, out, "matches", MATCHES).filter(F.col("kind") == kind)
-    return _newest(found).select("game_id", "height", "event_seq", F.from_json("payload", shape).alias("state"))
+    found = _newest(logs.read_log(spark, out, "matches", MATCHES).filter(F.col("kind") == kind)).withColumn(_SPAN, _spans())
+    # A row per game and span; what the spans before it hand on is looked for over those.
+    earlier = Window.partitionBy("game_id").orderBy(_SPAN).rowsBetween(Window.unboundedPreceding, -1)
+    carried = found.groupBy("game_id", _SPAN).agg(
+        F.max(F.when(F.col("event_seq") == _HANDED_ON, F.col("payload"))).alias("_edge")).select(
+        "game_id", _SPAN, F.last("_edge", ignorenulls=True).over(earlier).alias("_carried"))
+    asked = found.filter(F.col("event_seq") != _HANDED_ON).join(carried, ["game_id", _SPAN], "left")
+    return asked.select("game_id", "height", "event_seq", F.from_json(F.coalesce("payload", "_carried"), shape).alias("state"))
 
 
 def current_legacy_hands(spark: SparkSession, out: str, headers: DataFrame) -> DataFrame:

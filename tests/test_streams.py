@@ -366,3 +366,26 @@ def test_a_straggler_reads_the_batches_that_hold_its_block(spark, tmp_path):
     assert looked(4, 11, 12) == ([12], {"1", "2"})
     assert looked(5, 25) == ([5, 25], set())  # no batch landed them: nothing is read
     assert looked(31, 99) == ([31, 99], set())
+
+
+def test_matches_cross_the_spans_of_a_game(spark, tmp_path, monkeypatch):
+    """A hot game is cut up by spans of blocks; snapshots of one serve the events of all that follow without any."""
+    monkeypatch.setattr(matches, "SPAN", 4)
+    asked = [dict(height=h, event_seq=s, type="action_performed", game_id=f"g{s % 2}", player="p", action=("new-hand", "fold")[h % 2])
+             for h in range(1, 60) for s in range(2)]
+    snapshots = [(f"g{h % 2}", h, h, "showdown", f"deck{h}", ["Kd"], [("p", 0, "1", ["Ah"], "x")], [("p", "1", None)])
+                 for h in (3, 6, 8, 9, 10, 31, 32, 33, 50)]
+    out, all_events, all_states = str(tmp_path / "out"), events_frame(spark, asked), spark.createDataFrame(snapshots, STATES)
+    for lo, hi, slo, shi in ((0, 20, 0, 9), (20, 40, 9, 32), (40, 60, 32, 60)):
+        all_events.filter(f"height >= {lo} and height < {hi}").coalesce(1).write.mode("append").parquet(str(tmp_path / "e"))
+        all_states.filter(f"as_of_block >= {slo} and as_of_block < {shi}").coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+        query = matches.start_matches(
+            spark.readStream.schema(schemas.EVENTS).parquet(str(tmp_path / "e")),
+            spark.readStream.schema(all_states.schema).parquet(str(tmp_path / "s")), out, str(tmp_path / "c"))
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] > 2  # more entries than games
+        matches.compact_matches(spark, out)
+    headers = spark.createDataFrame([(h, f"H{h}") for h in range(61)], "height bigint, app_hash string")
+    same = lambda a, b: sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+    assert same(matches.current_legacy_hands(spark, out, headers), legacy_hands(all_events, headers, all_states))
+    assert same(matches.current_showdown_results(spark, out), showdown_results(all_events, all_states))
