@@ -23,6 +23,7 @@ from riverdeck.schemas import HAND_PARTIALS, OPEN_HANDS
 from riverdeck.streaming import logs
 from riverdeck.streaming.keyed import by_height, start, with_state
 
+_NEAR = 6  # so many low bits of the hand number apart, hands of a game share an entry of the state store
 _STATE = ("first_height bigint, first_seq int, block_height bigint, last_height bigint, last_seq int, deck_seed string, "
           "deck string, completed bigint")
 
@@ -89,7 +90,9 @@ def _start_closing(events: DataFrame, out: str, checkpoint: str, trigger: dict |
         logs.write_batch(batch.filter("closed = 1").drop("closed"), out, "closed", batch_id)
         logs.commit(batch.sparkSession, out, batch_id)
 
-    changed = with_state(by_height(_hand_events(events), late_blocks), HAND_KEY, closing_step(close_after), OPEN_HANDS, _STATE)
+    near = F.xxhash64("game_id", F.shiftright("hand_number", _NEAR))  # hands of near numbers are open together
+    changed = with_state(
+        by_height(_hand_events(events), late_blocks), HAND_KEY, closing_step(close_after), OPEN_HANDS, _STATE, near)
     return start(changed, each_batch, checkpoint, trigger)
 
 

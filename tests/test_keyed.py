@@ -5,7 +5,7 @@ import random
 import pytest
 from test_folds import chain, replay_hands, replay_sessions, stated
 
-from riverdeck.streaming import hands, matches, sessions
+from riverdeck.streaming import hands, keyed, matches, sessions
 
 
 class Store:
@@ -196,3 +196,33 @@ def test_state_of_closing_hands_is_bounded():
         store.batch(list(hand_rows(r for r in rows if r["height"] == height)))
         most = max(most, len(store.state))
     assert most <= 8
+
+
+class Buckets(Store):
+    """As `Store`, with the keys of a bucket in one entry."""
+
+    def __init__(self, step, late=0, of=lambda key: sum(map(ord, str(key))) % 3):
+        super().__init__(self.in_bucket, late)
+        self.one, self.of = step, of
+
+    def in_bucket(self, bucket, held, rows, settled):
+        arrived = {}
+        for key, row in rows:
+            arrived.setdefault(key, []).append(row)
+        kept, block, out = keyed.in_bucket(self.one, arrived, held or [], settled)
+        return kept or None, block, out
+
+    def batch(self, rows):
+        return super().batch([(self.of(key), height, (key, row)) for key, height, row in rows])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_keys_in_a_bucket_step_as_they_do_alone(seed):
+    rows = list(chain(seed, blocks=90))
+    for step, given in ((sessions.step, moves), (hands.closing_step(3), hand_rows)):
+        alone, together = Store(step), Buckets(step)
+        for part in cut(rows, random.Random(seed)):
+            a, b = alone.batch(list(given(part))), together.batch(list(given(part)))
+            assert sorted(map(str, a)) == sorted(map(str, b))
+        kept = {tuple(key): state for entry in together.state.values() for key, _, state in entry}
+        assert kept == alone.state and len(together.state) <= 3

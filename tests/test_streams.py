@@ -368,6 +368,16 @@ def test_a_straggler_reads_the_batches_that_hold_its_block(spark, tmp_path):
     assert looked(31, 99) == ([31, 99], set())
 
 
+def test_small_keys_share_entries_of_the_state_store(spark, tmp_path):
+    """A call of Python and an entry per hand or player would cost milliseconds each."""
+    rows = [dict(height=h, event_seq=0, type="hand_started", game_id="g", hand_number=str(h), deck_seed="s", deck="d") for h in range(1, 128)]
+    land(spark, tmp_path / "in", rows)
+    query = hands.start_hands(tail(spark, tmp_path / "in"), str(tmp_path / "h"), str(tmp_path / "hc"), close_after=3)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    assert hands.current_hands(spark, str(tmp_path / "h"), closing=True).count() == 127
+
+
 def test_matches_cross_the_spans_of_a_game(spark, tmp_path, monkeypatch):
     """A hot game is cut up by spans of blocks; snapshots of one serve the events of all that follow without any."""
     monkeypatch.setattr(matches, "SPAN", 4)
