@@ -2,8 +2,9 @@
 
 State per player and game: the sessions open at the settled block, and the moves of the blocks after it. A
 batch adds its moves, folds from the settled block on and logs the sessions that changed; what lies at or
-below the watermark is then settled, and a key with nothing open and nothing recent has no state. A batch so
-costs as much as its own moves, whatever is open or was ever logged.
+below the watermark is then settled, and a key with nothing open and nothing recent has no state. Keys share a
+call of Python and an entry of the state store by `_BUCKETS` buckets, so a batch costs as much as its own moves and
+what is open in the buckets they fall into, whatever was ever logged.
 
 Moves may come up to `late_blocks` blocks late, in any order and more than once. Later ones are dropped, which
 is what a replay of older blocks needs. The newest logged version of a session counts.
@@ -12,6 +13,7 @@ is what a replay of older blocks needs. The newest logged version of a session c
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riverdeck.operators.events import session_events
@@ -20,6 +22,8 @@ from riverdeck.streaming import logs
 from riverdeck.streaming.keyed import by_height, start, with_state
 
 _KEY = ["player_address", "game_id", "join_block"]
+#: Players share entries of the state store; fixed for the life of a checkpoint.
+_BUCKETS = 2048
 _STATE = ("opened array<struct<join_block:bigint,join_seq:int,buy_in:bigint>>, "
           "moves array<struct<height:bigint,event_seq:int,is_join:boolean,amount:bigint>>")
 
@@ -59,7 +63,8 @@ def step(key: tuple, state: tuple | None, rows: list, settled: int) -> tuple:
 def changed_sessions(events: DataFrame, late_blocks: int = 0) -> DataFrame:
     """A stream of events -> the sessions that each batch opens or ends."""
     moves = by_height(session_events(events), late_blocks)
-    return with_state(moves, ["player_address", "game_id"], step, SESSIONS, _STATE)
+    key = ["player_address", "game_id"]
+    return with_state(moves, key, step, SESSIONS, _STATE, F.pmod(F.xxhash64(*key), F.lit(_BUCKETS)))
 
 
 def start_sessions(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,

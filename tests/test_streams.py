@@ -371,11 +371,17 @@ def test_a_straggler_reads_the_batches_that_hold_its_block(spark, tmp_path):
 def test_small_keys_share_entries_of_the_state_store(spark, tmp_path):
     """A call of Python and an entry per hand or player would cost milliseconds each."""
     rows = [dict(height=h, event_seq=0, type="hand_started", game_id="g", hand_number=str(h), deck_seed="s", deck="d") for h in range(1, 128)]
+    joins = [dict(height=1, event_seq=n, type="player_joined_game", player=f"p{n}", game_id="g", buy_in_amount="5") for n in range(6000)]
     land(spark, tmp_path / "in", rows)
+    land(spark, tmp_path / "joins", joins)
     query = hands.start_hands(tail(spark, tmp_path / "in"), str(tmp_path / "h"), str(tmp_path / "hc"), close_after=3)
     query.awaitTermination()
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
     assert hands.current_hands(spark, str(tmp_path / "h"), closing=True).count() == 127
+    query = sessions.start_sessions(tail(spark, tmp_path / "joins"), str(tmp_path / "s"), str(tmp_path / "sc"))
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4096
+    assert sessions.current_sessions(spark, str(tmp_path / "s")).count() == 6000
 
 
 def test_matches_cross_the_spans_of_a_game(spark, tmp_path, monkeypatch):
