@@ -71,11 +71,17 @@ def portions(df: DataFrame, position: str, count: int = 3) -> Iterator[DataFrame
         yield df.filter(F.col(position).between(low, low + width - 1))
 
 
+def sliced_documents(events: DataFrame, slices: int) -> DataFrame:
+    """`block_documents` in slices of the chain. The flat events are dealt out by range, once; blocks are put together
+    where their events lie, so the wider documents never move."""
+    return block_documents(events.repartitionByRange(slices, "height"))
+
+
 def landed_blocks(spark: SparkSession, sf_dir: str) -> str:
     """Block-result documents, one file per slice of the chain."""
     def write(path: str) -> None:
-        documents = block_documents(view(spark, sf_dir, "fx_events"))
-        documents.repartitionByRange(slice_count(spark), F.col("result.height").cast("bigint")).write.json(path)
+        documents = sliced_documents(view(spark, sf_dir, "fx_events"), slice_count(spark))
+        documents.write.option("compression", "gzip").json(path)
 
     return _staged_once(spark, sf_dir, "blocks", write)
 

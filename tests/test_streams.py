@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_decode import block, event, events_frame
 from test_folds import chain, replay_hands, replay_sessions, sessions_of
 
-from riverdeck import schemas
+from riverdeck import schemas, staging
 from riverdeck.operators.events import actions
 from riverdeck.operators.lookup import scan_gaps
 from riverdeck.operators import events as ev
@@ -405,3 +405,15 @@ def test_matches_cross_the_spans_of_a_game(spark, tmp_path, monkeypatch):
     same = lambda a, b: sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
     assert same(matches.current_legacy_hands(spark, out, headers), legacy_hands(all_events, headers, all_states))
     assert same(matches.current_showdown_results(spark, out), showdown_results(all_events, all_states))
+
+
+def test_documents_are_dealt_out_once(spark, sf_dir, tmp_path):
+    """Events move once, by range of blocks; documents land where they are put together, compressed."""
+    events = events_frame(spark, list(chain(2)))
+    documents = staging.sliced_documents(events, 3)
+    assert len(re.findall(r"Exchange \w+partitioning", documents._jdf.queryExecution().executedPlan().toString())) == 1
+    documents.write.json(str(tmp_path / "in"))
+    parts = [{r[0] for r in spark.read.json(str(f)).select(F.col("result.height").cast("int")).collect()} for f in (tmp_path / "in").glob("part-*")]
+    parts = sorted(part for part in map(sorted, parts) if part)
+    assert [h for part in parts for h in part] == sorted({r["height"] for r in chain(2)}) and len(parts) == 3
+    assert all(f.endswith(".json.gz") for f in spark.read.text(staging.landed_blocks(spark, sf_dir)).inputFiles())
