@@ -135,3 +135,30 @@ def test_repeated_rows_and_empty_table(make_docs):
     assert [r.n_removed for r in remove_repeats(make_docs(rows), keep="none").collect()] == [1000, 1000]
     assert [r.n_removed for r in remove_repeats(make_docs(rows), keep="first").collect()] == [0, 0]
     assert remove_repeats(make_docs([])).count() == 0
+
+
+def test_no_batch_of_texts_outgrows_its_bytes(spark, make_docs, monkeypatch):
+    """The rows that Python gets together are bounded by bytes, and texts to pack or to cut go row by row."""
+    monkeypatch.setattr(repeats, "BATCH", 20_000, raising=False)
+    pick = random.Random(6)
+    word = lambda size: "".join(pick.choices("abcdefgh", k=size))
+    passage = word(800)
+    docs, name = make_docs([(k, word(600) + passage + word(600), "s") for k in range(300)]), "spark.sql.execution.arrow.maxBytesPerBatch"
+    real, before = type(docs).mapInPandas, spark.conf.get(name, None)
+
+    def watched(self, func, schema, *more):
+        def run(batches):
+            def checked():
+                for batch in batches:
+                    size = sum(len(x) for c in ("payload", "packed", "piece") if c in batch for x in batch[c])
+                    assert size < 60_000, size
+                    yield batch
+            return func(checked())
+        return real(self, run, schema, *more)
+
+    monkeypatch.setattr(type(docs), "mapInPandas", watched)
+    got = remove_repeats(docs, keep="none")
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().toString()
+    assert spark.conf.get(name, None) == before
+    rows = got.collect()
+    assert len(rows) == 300 and all(r.n_removed >= 800 and r.n_spans == 1 for r in rows)
